@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The question this library answers is a batch computation over a complete
+ratings set: the top items, the contrarian users and every favourite depend
+on all ratings at once, and the original job has no streaming input,
+watermark, window or state. No streaming operator is built; new rating
+files are handled by re-running the batch job (`tastes.job.run_job`).
+"""
