@@ -4,10 +4,18 @@ contrarian users among them.
 The item set is small by construction (it comes out of `top_items`, so it
 has at most `top_n` rows). It is broadcast once, together with its own
 size, so no scalar subquery recomputes it and the big ratings side is
-filtered map-side without a shuffle. The division itself is two partial
-aggregations, (user, item) then user: no user's ratings are ever collected
-into one list, and a heavy user costs one pre-aggregated row per item and
-map partition.
+filtered map-side without a shuffle.
+
+The division is exact in both of its forms, and no user's ratings are ever
+collected into one list:
+
+* bounded set of at most 63 items (the pipeline's top items): every item
+  gets one bit, and one aggregation by user ORs the bits together with the
+  rating sum and row count. "Rated all" is `bit_count(mask) = set size`.
+  One shuffle, partially aggregated map-side, so a heavy user moves one
+  row per map partition.
+* larger or unbounded set: two partial aggregations, (user, item) and then
+  user, counting distinct items exactly.
 """
 
 from __future__ import annotations
@@ -27,6 +35,10 @@ from tastes.schemas import (
 )
 
 _SET_SIZE = "_item_set_size"
+_BIT = "_item_bit"
+
+# Item sets up to this size use the one-shuffle bitmask division.
+BITMASK_ITEMS = 63
 
 
 def _items_with_size(items: DataFrame) -> DataFrame:
@@ -55,6 +67,8 @@ def rated_all(
     not stand in for another. The average is over distinct rating rows, so
     a user's repeat ratings of one item all count.
     """
+    if max_items is not None and max_items <= BITMASK_ITEMS:
+        return _rated_all_bitmask(ratings, items, max_items)
     sized = bounded_broadcast(_items_with_size(items), max_items)
     rows = ratings.select(*RATING_COLUMNS).join(sized, MOVIE_ID).distinct()
     per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
@@ -75,6 +89,33 @@ def rated_all(
     )
 
 
+def _rated_all_bitmask(ratings: DataFrame, items: DataFrame, max_items: int) -> DataFrame:
+    size = F.col(_SET_SIZE)
+    indexed = (
+        _items_with_size(items)
+        .withColumn("_index", F.row_number().over(Window.orderBy(MOVIE_ID)) - 1)
+        .select(
+            MOVIE_ID,
+            F.when(size > max_items, F.raise_error(F.lit("item set exceeds its stated bound")))
+            .otherwise(size)
+            .alias(_SET_SIZE),
+            F.expr("shiftleft(cast(1 as bigint), _index)").alias(_BIT),
+        )
+    )
+    rows = ratings.select(*RATING_COLUMNS).join(F.broadcast(indexed), MOVIE_ID).distinct()
+    per_user = rows.groupBy(CUSTOMER_ID).agg(
+        F.bit_or(_BIT).alias("_mask"),
+        F.sum(RATING).alias("_sum"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(_SET_SIZE).alias(_SET_SIZE),
+    )
+    return per_user.where(F.bit_count("_mask") == F.col(_SET_SIZE)).select(
+        CUSTOMER_ID,
+        (F.col("_sum") / F.col("_rows")).alias(AVG_RATING),
+        F.col("_rows").alias(RATINGS_COUNT),
+    )
+
+
 def contrarian_order() -> list:
     """Lowest average first; on a tie the lower user id."""
     return [F.col(AVG_RATING).asc(), F.col(CUSTOMER_ID).asc()]

@@ -1,17 +1,23 @@
 """Each user's own favourite item.
 
-Order of steps matters and is fixed: the user's maximum rating is taken over
-all their ratings first, then the rows at that maximum are joined to the
-titles, then one row is picked by release year (newest), title (first),
-rating date (latest) and item id (lowest). A user whose best-rated items
-all lack a title drops out; they do not fall back to a lower rating.
-
-Skew: the maximum is an aggregation with a partial (map-side) step, so a
-user holding a third of all rows still shuffles one row per map partition.
-The pick is `row_number() = 1`, which Spark plans as a partial
-`WindowGroupLimit` before the shuffle, again one row per user and map
-partition. With a bounded user set (the contrarian users) the per-user
-maxima are broadcast back and the big side never shuffles before the pick.
+The rule: a user's maximum rating is taken over all their ratings, before
+any titles join; among their rows at that maximum, the titled ones compete
+by release year (newest), title (first), rating date (latest) and item id
+(lowest). A user whose best-rated items all lack a title drops out; they do
+not fall back to a lower rating.
+
+Plan: one scan. Rows are left-joined to the titles and one row per user is
+picked by (rating desc, titled first, year desc, title asc, date desc, id
+asc). The pick has the user's overall maximum rating, and it is titled
+exactly when some row at that maximum is titled, so dropping an untitled
+pick gives the rule above. `row_number() = 1` is planned as a partial
+`WindowGroupLimit` before the shuffle: a user holding a third of all rows
+still moves one row per map partition.
+
+`best_ratings` (all rows at the maximum, ties kept) cannot shrink to one
+row per user, so it aggregates the maxima (partial, map-side) and joins
+them back; a bounded user set is broadcast, an unbounded one is a shuffled
+join that AQE splits when one user is skewed.
 """
 
 from __future__ import annotations
@@ -86,13 +92,15 @@ def favourites(
     `users=None` means every user; otherwise only users in `users`, which
     is broadcast when `max_users` bounds it.
     """
-    best = _rows_at_max(ratings, users, max_users)
+    rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
     named = unique_titles(titles)
-    joined = best.join(named, best[MOVIE_ID] == named[ID])
-    pick = Window.partitionBy(CUSTOMER_ID).orderBy(*favourite_order())
+    joined = rows.join(named, rows[MOVIE_ID] == named[ID], "left")
+    pick = Window.partitionBy(CUSTOMER_ID).orderBy(
+        F.col(RATING).desc(), F.col(ID).isNull().asc(), *favourite_order()
+    )
     return (
         joined.withColumn("_pick", F.row_number().over(pick))
-        .where(F.col("_pick") == 1)
+        .where((F.col("_pick") == 1) & F.col(ID).isNotNull())
         .select(
             CUSTOMER_ID,
             MOVIE_ID,

@@ -4,8 +4,16 @@
     contrarians    = contrarian_users(ratings, top items, U)     ≤ U rows
     report         = favourites(ratings, titles, contrarians)
 
+Ratings are deduplicated once, up front, and all three branches read that
+result. The dedup is a partial aggregation, one shuffle hashed on all four
+rating columns, and a final aggregation; Spark reuses that one exchange in
+every branch, so the source is scanned and mapped once, and the branches'
+own duplicate removal is dropped by Catalyst as redundant. The hash on all
+four columns spreads a heavy item or user over all tasks, and the partial
+step collapses a repeated line before it moves.
+
 Both intermediate sets come out of a `limit`, so their size is bounded by a
-parameter and they are broadcast into the ratings scans: the big side is
+parameter and they are broadcast into the ratings side: the big side is
 filtered map-side and never shuffled for those joins. Nothing is collected
 to the driver; the caller's action runs everything.
 """
@@ -16,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from tastes.operators.division import contrarian_users
 from tastes.operators.favourites import favourites
-from tastes.operators.ranking import top_items
+from tastes.operators.ranking import distinct_ratings, top_items
 from tastes.params import TasteParams
 from tastes.schemas import REPORT_COLUMNS
 
@@ -25,6 +33,7 @@ def contrarian_tastes(
     ratings: DataFrame, titles: DataFrame, params: TasteParams = TasteParams()
 ) -> DataFrame:
     """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate."""
+    ratings = distinct_ratings(ratings)
     top = top_items(
         ratings, titles, params.min_ratings, params.top_items, params.inclusive
     )
