@@ -1,0 +1,78 @@
+"""Plan shape: the physical operators the design relies on are really planned."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from tastes.operators import favourites, rated_all, top_items
+from tastes.sources.tables import nation_ratings, nation_titles, part_ratings, part_titles
+
+SF = "/root/testdata/sf0.001"
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas")
+
+
+def plan(df, executed: bool = False) -> str:
+    if executed:
+        df.collect()  # the same query execution, so AQE's final plan is shown
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode="formatted")
+    return out.getvalue()
+
+
+def test_top_items_is_a_take_ordered(spark):
+    df = top_items(part_ratings(spark, SF), part_titles(spark, SF), 25, 100)
+    assert "TakeOrderedAndProject" in plan(df)
+
+
+def test_favourite_pick_is_a_partial_window_group_limit(spark):
+    df = favourites(part_ratings(spark, SF), part_titles(spark, SF))
+    text = plan(df)
+    # one WindowGroupLimit before the shuffle, one after
+    assert text.count("WindowGroupLimit (") >= 2
+    assert re.search(r"Mode: Partial", text) or text.count("WindowGroupLimit") >= 4
+
+
+def test_pipeline_plan(spark):
+    df = entry.entry(spark)
+    text = plan(df, executed=True)
+    assert "isFinalPlan=true" in text
+    assert "TakeOrderedAndProject" in text
+    assert "BroadcastHashJoin LeftSemi" in text
+    assert "WindowGroupLimit" in text
+    assert "ReusedExchange" in text
+    for node in PYTHON_NODES:
+        assert node not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_scans_read_only_used_columns(spark):
+    text = plan(nation_ratings(spark, SF).groupBy("movieId").count())
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
+    assert schemas
+    for s in schemas:
+        assert "l_extendedprice" not in s and "l_comment" not in s and "o_totalprice" not in s
+    assert "struct<l_orderkey:bigint,l_suppkey:bigint>" in text
+
+
+def test_bitmask_division_shuffles_once_by_user(spark):
+    ratings = nation_ratings(spark, SF)
+    top = top_items(ratings, nation_titles(spark, SF), 50, 5)
+    text = plan(rated_all(ratings, top, 5))
+    assert "bit_or" in text
+    assert "hashpartitioning(customerId" in text
+    assert "hashpartitioning(customerId#" in text and "movieId#" not in re.findall(
+        r"hashpartitioning\(customerId[^)]*\)", text
+    )[0]
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_registered_queries_run_without_python(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    for node in PYTHON_NODES:
+        assert node not in text
