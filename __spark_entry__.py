@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tastes.operators import (
     best_ratings,
     contrarian_users,
+    distinct_ratings,
     favourites,
     item_ratings,
     popular_items,
@@ -71,21 +72,32 @@ def q_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(spark, sf_dir, "part", PART, positioned=True)
 
 
+def _shared_nation(spark: SparkSession, sf_dir: str):
+    """Deduplicated nation ratings, computed once and read by every branch.
+
+    The mapped ratings are a join of two fact tables, expensive to derive
+    again; the operators' own dedup of this input is dropped as redundant.
+    """
+    ratings = distinct_ratings(nation_ratings(spark, sf_dir))
+    top = top_items(
+        ratings, nation_titles(spark, sf_dir), NATION.min_ratings, NATION.top_items
+    )
+    return ratings, top
+
+
 def q_top_item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _top(spark, sf_dir, "nation", NATION)
-    return item_ratings(nation_ratings(spark, sf_dir), top, NATION.top_items)
+    ratings, top = _shared_nation(spark, sf_dir)
+    return item_ratings(ratings, top, NATION.top_items)
 
 
 def q_rated_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _top(spark, sf_dir, "nation", NATION)
-    return rated_all(nation_ratings(spark, sf_dir), top, NATION.top_items)
+    ratings, top = _shared_nation(spark, sf_dir)
+    return rated_all(ratings, top, NATION.top_items)
 
 
 def q_contrarian_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _top(spark, sf_dir, "nation", NATION)
-    return contrarian_users(
-        nation_ratings(spark, sf_dir), top, NATION.top_users, NATION.top_items, positioned=True
-    )
+    ratings, top = _shared_nation(spark, sf_dir)
+    return contrarian_users(ratings, top, NATION.top_users, NATION.top_items, positioned=True)
 
 
 def q_user_max_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +120,8 @@ def q_segment_favourites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_contrarian_tastes(spark: SparkSession, sf_dir: str, mapping: str, p: TasteParams):
     ratings, titles = _inputs(spark, sf_dir, mapping)
-    return contrarian_tastes(ratings, titles, p)
+    # The mapped ratings are a join of two fact tables: share one copy.
+    return contrarian_tastes(ratings, titles, p, share_ratings=True)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -31,11 +31,16 @@ def bounded_broadcast(
 def restrict_to(
     df: DataFrame, keys: DataFrame | None, column: str, max_keys: int | None = None
 ) -> DataFrame:
-    """Keep rows of `df` whose `column` occurs in `keys` (a left semi join).
-
-    `keys=None` means no restriction. The semi join never multiplies rows,
-    so duplicate keys are harmless.
+    """Keep rows of `df` whose `column` occurs in `keys`.
+
+    `keys=None` means no restriction. Written as an inner join with the
+    distinct keys, which keeps exactly the rows a left semi join keeps, but
+    which Catalyst does not push below an aggregation in `df`: when `df` is
+    a deduplicated result that other branches of the plan also read, this
+    branch reads that shared result instead of recomputing its input. On a
+    plain scan both forms plan the same broadcast filter.
     """
     if keys is None:
         return df
-    return df.join(bounded_broadcast(keys.select(column), max_keys), column, "left_semi")
+    distinct_keys = keys.select(column).distinct()
+    return df.join(bounded_broadcast(distinct_keys, max_keys), column)

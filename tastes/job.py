@@ -18,11 +18,13 @@ def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
     """The report DataFrame for `params`, not yet written."""
     if params.partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(params.partitions))
-    ratings = read_ratings(spark, params.ratings_dir)
-    if params.materialize_ratings:
-        ratings = materialize(spark, ratings, "ratings")
+    parsed = read_ratings(spark, params.ratings_dir)
+    ratings = materialize(spark, parsed, "ratings") if params.materialize_ratings else parsed
     titles = read_titles(spark, params.titles_file)
-    return contrarian_tastes(ratings, titles, params.tastes)
+    # A parquet copy is cheap to rescan with pushed-down filters; unparsed
+    # text is not, so then the branches share one deduplicated result.
+    stored = ratings is not parsed
+    return contrarian_tastes(ratings, titles, params.tastes, share_ratings=not stored)
 
 
 def run_job(spark: SparkSession, params: JobParams) -> None:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastes.functions.joins import bounded_broadcast
+from tastes.functions.joins import bounded_broadcast, restrict_to
 from tastes.operators.ranking import with_position
 from tastes.schemas import (
     AVG_RATING,
@@ -51,11 +51,7 @@ def item_ratings(
     ratings: DataFrame, items: DataFrame, max_items: int | None = None
 ) -> DataFrame:
     """Distinct rating rows of the given items."""
-    return (
-        ratings.select(*RATING_COLUMNS)
-        .join(bounded_broadcast(items.select(MOVIE_ID), max_items), MOVIE_ID, "left_semi")
-        .distinct()
-    )
+    return restrict_to(ratings.select(*RATING_COLUMNS), items, MOVIE_ID, max_items).distinct()
 
 
 def rated_all(

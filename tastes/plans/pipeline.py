@@ -4,13 +4,23 @@
     contrarians    = contrarian_users(ratings, top items, U)     ≤ U rows
     report         = favourites(ratings, titles, contrarians)
 
-Ratings are deduplicated once, up front, and all three branches read that
-result. The dedup is a partial aggregation, one shuffle hashed on all four
-rating columns, and a final aggregation; Spark reuses that one exchange in
-every branch, so the source is scanned and mapped once, and the branches'
-own duplicate removal is dropped by Catalyst as redundant. The hash on all
-four columns spreads a heavy item or user over all tasks, and the partial
-step collapses a repeated line before it moves.
+Two physical layouts, same result:
+
+* `share_ratings=False` (for a stored ratings table, such as the parquet
+  copy `run_job` writes): every branch scans the ratings with its own
+  filter pushed into the scan (top items, contrarian users), so only the
+  statistics branch deduplicates and shuffles all rows; the other branches
+  shuffle their filtered rows only.
+* `share_ratings=True` (for ratings that are expensive to recompute, such
+  as a join of two fact tables or unparsed text): ratings are deduplicated
+  once, up front, and all three branches read that result. Spark reuses the
+  one dedup exchange in every branch, so the source is computed once; the
+  branches' own duplicate removal is dropped by Catalyst as redundant.
+
+In both, the dedup is a partial aggregation, a shuffle hashed on all four
+rating columns and a final aggregation: the hash spreads a heavy item or
+user over all tasks, and the partial step collapses a repeated line
+before it moves.
 
 Both intermediate sets come out of a `limit`, so their size is bounded by a
 parameter and they are broadcast into the ratings side: the big side is
@@ -30,10 +40,14 @@ from tastes.schemas import REPORT_COLUMNS
 
 
 def contrarian_tastes(
-    ratings: DataFrame, titles: DataFrame, params: TasteParams = TasteParams()
+    ratings: DataFrame,
+    titles: DataFrame,
+    params: TasteParams = TasteParams(),
+    share_ratings: bool = False,
 ) -> DataFrame:
     """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate."""
-    ratings = distinct_ratings(ratings)
+    if share_ratings:
+        ratings = distinct_ratings(ratings)
     top = top_items(
         ratings, titles, params.min_ratings, params.top_items, params.inclusive
     )

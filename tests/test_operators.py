@@ -219,7 +219,9 @@ titles_strategy = st.lists(
 def test_random_fixtures_match_brute_force(ratings_df, titles_df, ratings, titles, r, m, u):
     rdf, tdf = ratings_df(ratings), titles_df(titles)
     p = TasteParams(min_ratings=r, top_items=m, top_users=u)
-    assert rows(contrarian_tastes(rdf, tdf, p)) == model.report(ratings, titles, r, m, u)
+    expected_report = model.report(ratings, titles, r, m, u)
+    assert rows(contrarian_tastes(rdf, tdf, p)) == expected_report
+    assert rows(contrarian_tastes(rdf, tdf, p, share_ratings=True)) == expected_report
 
     top = model.top_items(ratings, titles, r, m)
     assert [x[0] for x in rows(top_items(rdf, tdf, r, m, positioned=True), "position", "movieId")] == list(
