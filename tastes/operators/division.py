@@ -1,10 +1,10 @@
 """Relational division: users who rated every item of a set, and the
 contrarian users among them.
 
-The item set is small by construction (it comes out of `top_items`, so it
-has at most `top_n` rows). It is broadcast once, together with its own
-size, so no scalar subquery recomputes it and the big ratings side is
-filtered map-side without a shuffle.
+The pipeline's item set is small by construction (it comes out of
+`top_items`, so it has at most `top_n` rows). It is broadcast once,
+together with its own size, and the big ratings side is filtered map-side
+without a shuffle.
 
 The division is exact in both of its forms, and no user's ratings are ever
 collected into one list:
@@ -15,7 +15,8 @@ collected into one list:
   One shuffle, partially aggregated map-side, so a heavy user moves one
   row per map partition.
 * larger or unbounded set: two partial aggregations, (user, item) and then
-  user, counting distinct items exactly.
+  user, counting distinct items exactly, compared with the set size from a
+  scalar subquery (a partial count, not a window in one task).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastes.functions.joins import bounded_broadcast, restrict_to
+from tastes.functions.joins import restrict_to
 from tastes.operators.ranking import with_position
 from tastes.schemas import (
     AVG_RATING,
@@ -42,7 +43,11 @@ BITMASK_ITEMS = 63
 
 
 def _items_with_size(items: DataFrame) -> DataFrame:
-    """Distinct item ids, each carrying the number of distinct ids."""
+    """Distinct item ids, each carrying the number of distinct ids.
+
+    The count is a window without a partition key: only for item sets with
+    a small proven bound.
+    """
     ids = items.select(MOVIE_ID).distinct()
     return ids.withColumn(_SET_SIZE, F.count(F.lit(1)).over(Window.partitionBy()))
 
@@ -65,20 +70,20 @@ def rated_all(
     """
     if max_items is not None and max_items <= BITMASK_ITEMS:
         return _rated_all_bitmask(ratings, items, max_items)
-    sized = bounded_broadcast(_items_with_size(items), max_items)
-    rows = ratings.select(*RATING_COLUMNS).join(sized, MOVIE_ID).distinct()
+    ids = items.select(MOVIE_ID).distinct()
+    # Scalar subquery: partial counts merged once, no single-task window.
+    set_size = ids.select(F.count(F.lit(1))).scalar()
+    rows = restrict_to(ratings.select(*RATING_COLUMNS), ids, MOVIE_ID, max_items).distinct()
     per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
         F.sum(RATING).alias("_sum"),
         F.count(F.lit(1)).alias("_rows"),
-        F.max(_SET_SIZE).alias(_SET_SIZE),
     )
     per_user = per_item.groupBy(CUSTOMER_ID).agg(
         F.count(F.lit(1)).alias("_items"),
         F.sum("_sum").alias("_sum"),
         F.sum("_rows").alias("_rows"),
-        F.max(_SET_SIZE).alias(_SET_SIZE),
     )
-    return per_user.where(F.col("_items") == F.col(_SET_SIZE)).select(
+    return per_user.where(F.col("_items") == set_size).select(
         CUSTOMER_ID,
         (F.col("_sum") / F.col("_rows")).alias(AVG_RATING),
         F.col("_rows").alias(RATINGS_COUNT),
