@@ -31,6 +31,7 @@ from tastes.sources.tables import (
     nation_titles,
     part_ratings,
     part_titles,
+    region_nations,
     segment_customers,
 )
 
@@ -43,6 +44,7 @@ NATION_FEW_POPULAR = TasteParams(min_ratings=2400, top_items=20, top_users=25)
 PART = TasteParams(min_ratings=25, top_items=100, top_users=25)
 PART_PIPELINE = TasteParams(min_ratings=25, top_items=1, top_users=25)
 SEGMENT = "MACHINERY"
+REGION = 0
 
 _MAPPINGS = {
     "nation": (nation_ratings, nation_titles),
@@ -100,6 +102,13 @@ def q_contrarian_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contrarian_users(ratings, top, NATION.top_users, NATION.top_items, positioned=True)
 
 
+def q_rated_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # An item set from a filter, not a limit: no proven bound, so the
+    # general (two-aggregation) division runs.
+    items = region_nations(spark, sf_dir, REGION)
+    return rated_all(nation_ratings(spark, sf_dir), items)
+
+
 def q_user_max_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_max_rating(part_ratings(spark, sf_dir))
 
@@ -137,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_item_ratings": q_top_item_ratings,
         "rated_all": q_rated_all,
         "contrarian_users": q_contrarian_users,
+        "rated_region": q_rated_region,
         "user_max_rating": q_user_max_rating,
         "best_ratings": q_best_ratings,
         "favourites": q_favourites,
@@ -268,6 +278,16 @@ def oracle_sql() -> dict[str, str]:
         + "\nselect * from rated_all",
         "contrarian_users": _sql_base("nation", NATION.min_ratings, NATION.top_items)
         + f'\nselect * from ranked_users where "position" <= {NATION.top_users}',
+        "rated_region": _sql_base("nation")
+        + f""",
+region_items as (select n_nationkey as "movieId" from nation where n_regionkey = {REGION}),
+region_rows as (
+  select distinct r.* from ratings r
+  where r."movieId" in (select "movieId" from region_items))
+select "customerId", avg(rating) as "avgRating", count(*) as "ratingsCount"
+from region_rows
+group by "customerId"
+having count(distinct "movieId") = (select count(*) from region_items)""",
         "user_max_rating": _sql_base("part")
         + '\nselect "customerId", max(rating) as "maxRating" from ratings group by "customerId"',
         "best_ratings": _sql_base("part")

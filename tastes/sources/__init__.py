@@ -5,6 +5,7 @@ from tastes.sources.tables import (
     nation_titles,
     part_ratings,
     part_titles,
+    region_nations,
     segment_customers,
 )
 from tastes.sources.text import read_ratings, read_titles
@@ -16,5 +17,6 @@ __all__ = [
     "part_titles",
     "read_ratings",
     "read_titles",
+    "region_nations",
     "segment_customers",
 ]

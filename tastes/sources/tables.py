@@ -113,6 +113,15 @@ def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def region_nations(spark: SparkSession, sf_dir: str, region: int) -> DataFrame:
+    """Items of the nation mapping that lie in one region: (movieId INT)."""
+    return (
+        table(spark, sf_dir, "nation")
+        .where(F.col("n_regionkey") == region)
+        .select(F.col("n_nationkey").alias(MOVIE_ID))
+    )
+
+
 def segment_customers(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
     """Users of one market segment: (customerId BIGINT)."""
     return (

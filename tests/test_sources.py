@@ -133,3 +133,12 @@ def test_titles_bad_id_fails(spark, tmp_path):
     path.write_text("one,2000,Title\n")
     with pytest.raises(Exception):
         read_titles(spark, str(path)).collect()
+
+
+def test_header_join_without_broadcast_gives_same_rows(spark, tmp_path):
+    files = {f"mv_{m}.txt": rating_file(m, [f"{u},{(u + m) % 5 + 1},2005-01-0{m}" for u in range(30)]) for m in range(1, 6)}
+    d = write_rating_files(tmp_path / "r", files)
+    broadcast = read_ratings(spark, str(d))
+    shuffled = read_ratings(spark, str(d), header_broadcast_bytes=0)
+    assert rows(broadcast) == rows(shuffled)
+    assert len(rows(shuffled)) == 150
