@@ -27,6 +27,10 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # A session that runs many distinct queries keeps their compiled
+        # whole-stage code; the default of 100 classes is exceeded by a
+        # dozen multi-stage queries, and each run would compile again.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
