@@ -42,6 +42,13 @@ _BIT = "_item_bit"
 BITMASK_ITEMS = 63
 
 
+def _rating_rows(ratings: DataFrame) -> DataFrame:
+    """The rating columns of rows that have both an item and a user id."""
+    return ratings.select(*RATING_COLUMNS).where(
+        F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull()
+    )
+
+
 def _items_with_size(items: DataFrame) -> DataFrame:
     """Distinct item ids, each carrying the number of distinct ids.
 
@@ -56,7 +63,7 @@ def item_ratings(
     ratings: DataFrame, items: DataFrame, max_items: int | None = None
 ) -> DataFrame:
     """Distinct rating rows of the given items."""
-    return restrict_to(ratings.select(*RATING_COLUMNS), items, MOVIE_ID, max_items).distinct()
+    return restrict_to(_rating_rows(ratings), items, MOVIE_ID, max_items).distinct()
 
 
 def rated_all(
@@ -73,7 +80,7 @@ def rated_all(
     ids = items.select(MOVIE_ID).distinct()
     # Scalar subquery: partial counts merged once, no single-task window.
     set_size = ids.select(F.count(F.lit(1))).scalar()
-    rows = restrict_to(ratings.select(*RATING_COLUMNS), ids, MOVIE_ID, max_items).distinct()
+    rows = restrict_to(_rating_rows(ratings), ids, MOVIE_ID, max_items).distinct()
     per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
         F.sum(RATING).alias("_sum"),
         F.count(F.lit(1)).alias("_rows"),
@@ -103,7 +110,7 @@ def _rated_all_bitmask(ratings: DataFrame, items: DataFrame, max_items: int) ->
             F.expr("shiftleft(cast(1 as bigint), _index)").alias(_BIT),
         )
     )
-    rows = ratings.select(*RATING_COLUMNS).join(F.broadcast(indexed), MOVIE_ID).distinct()
+    rows = _rating_rows(ratings).join(F.broadcast(indexed), MOVIE_ID).distinct()
     per_user = rows.groupBy(CUSTOMER_ID).agg(
         F.bit_or(_BIT).alias("_mask"),
         F.sum(RATING).alias("_sum"),

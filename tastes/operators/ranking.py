@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tastes.schemas import (
     AVG_RATING,
+    CUSTOMER_ID,
     ID,
     MOVIE_ID,
     POSITION,
@@ -27,12 +28,18 @@ from tastes.schemas import (
 
 
 def distinct_ratings(ratings: DataFrame) -> DataFrame:
-    """Exact-duplicate removal over the four rating columns.
+    """Ratings as a set: exact-duplicate removal over the four columns.
 
-    A rating is a set member: the same line twice, in one file or in two
-    files of the same movie, counts once.
+    The same line twice, in one file or in two files of the same movie,
+    counts once. A row without an item or a user id is not a rating. Stating
+    that here also makes every plan that shares this result carry the same
+    null checks, so Spark can reuse its exchange across branches.
     """
-    return ratings.select(*RATING_COLUMNS).distinct()
+    return (
+        ratings.select(*RATING_COLUMNS)
+        .where(F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull())
+        .distinct()
+    )
 
 
 def unique_titles(titles: DataFrame) -> DataFrame:

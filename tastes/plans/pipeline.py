@@ -31,12 +31,13 @@ to the driver; the caller's action runs everything.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tastes.operators.division import contrarian_users
 from tastes.operators.favourites import favourites
 from tastes.operators.ranking import distinct_ratings, top_items
 from tastes.params import TasteParams
-from tastes.schemas import REPORT_COLUMNS
+from tastes.schemas import CUSTOMER_ID, MOVIE_ID, REPORT_COLUMNS
 
 
 def contrarian_tastes(
@@ -45,7 +46,14 @@ def contrarian_tastes(
     params: TasteParams = TasteParams(),
     share_ratings: bool = False,
 ) -> DataFrame:
-    """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate."""
+    """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate.
+
+    A row without an item or a user id is not a rating and is ignored. The
+    filter is stated once here, so every branch carries the same one: the
+    null checks each branch's join would infer are then redundant, and the
+    branches stay identical up to the shared exchange.
+    """
+    ratings = ratings.where(F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull())
     if share_ratings:
         ratings = distinct_ratings(ratings)
     top = top_items(
