@@ -76,3 +76,19 @@ def test_registered_queries_run_without_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for node in PYTHON_NODES:
         assert node not in text
+
+
+def test_shared_ratings_are_computed_once(spark):
+    df = entry.entry(spark)
+    df.collect()
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    text = out.getvalue()
+    final = text[text.index("== Final Plan ==") : text.index("== Initial Plan ==")]
+    dedup = re.compile(r"Exchange hashpartitioning\(movieId#\d+, customerId#\d+L?, rating#\d+, ratingDate")
+    computed = [line for line in final.splitlines() if dedup.search(line) and "ReusedExchange" not in line]
+    reused = [line for line in final.splitlines() if dedup.search(line) and "ReusedExchange" in line]
+    assert len(computed) == 1
+    assert len(reused) >= 1
+    assert final.count("SortMergeJoin") == 1
