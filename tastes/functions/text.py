@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # The characters a Java-style trim removes from both ends,
 # every code point from U+0000 to U+0020 inclusive.
 TRIM_CHARACTERS = "".join(chr(code) for code in range(0x00, 0x21))
+# An integer field is an optional sign and decimal digits.
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
 def _col(c: Column | str) -> Column:
@@ -45,14 +47,16 @@ def field(fields: Column, index: int) -> Column:
 
 
 def strict_int(c: Column | str, what: str) -> Column:
-    """Cast text to INT and fail the job on anything that is not a number.
+    """Cast text to INT and fail the job on anything that is not an integer.
 
-    Independent of the session's ANSI setting: a value that does not parse
-    raises, like the integer parsing of the original job.
+    Accepts an optional sign and decimal digits only (no fraction, no
+    exponent), within the INT range; anything else raises, like the integer
+    parsing of the original job. Independent of the session's ANSI setting.
     """
     text = _col(c)
     value = text.try_cast("int")
+    valid = text.rlike(INTEGER_PATTERN) & value.isNotNull()
     return F.when(
-        value.isNull() & text.isNotNull(),
+        text.isNotNull() & ~valid,
         F.raise_error(F.concat(F.lit(f"malformed {what}: '"), text, F.lit("'"))),
     ).otherwise(value)

@@ -46,6 +46,11 @@ def test_ratings_crlf_and_blanks_around_fields(spark, tmp_path):
     assert rows(read_ratings(spark, str(d))) == [(6, 7, 3, "2005-01-01"), (6, 8, 2, "2005-01-02")]
 
 
+def test_ratings_signed_integers(spark, tmp_path):
+    d = write_rating_files(tmp_path / "r", {"a.txt": "+7:\n+10,-1,2005-01-01\n007,3,d\n"})
+    assert rows(read_ratings(spark, str(d))) == [(7, 7, 3, "d"), (7, 10, -1, "2005-01-01")]
+
+
 def test_ratings_header_with_blanks(spark, tmp_path):
     d = write_rating_files(tmp_path / "r", {"a.txt": " 42 :\n1,2,2005-01-01\n"})
     assert rows(read_ratings(spark, str(d))) == [(42, 1, 2, "2005-01-01")]
@@ -87,6 +92,8 @@ def test_large_file_split_across_tasks_keeps_its_header(spark, tmp_path):
     [
         {"a.txt": rating_file(1, ["abc,3,2005-01-01"])},  # bad customer id
         {"a.txt": rating_file(1, ["10,x,2005-01-01"])},  # bad rating
+        {"a.txt": rating_file(1, ["10,5.0,2005-01-01"])},  # not an integer
+        {"a.txt": rating_file(1, ["99999999999,5,2005-01-01"])},  # out of INT range
         {"a.txt": "10,3,2005-01-01\n"},  # no header line
         {"a.txt": "x:\n10,3,2005-01-01\n"},  # non-numeric movie id
         {"a.txt": "1:\n2:\n10,3,2005-01-01\n"},  # two header lines
