@@ -149,3 +149,16 @@ def test_header_join_without_broadcast_gives_same_rows(spark, tmp_path):
     shuffled = read_ratings(spark, str(d), header_broadcast_bytes=0)
     assert rows(broadcast) == rows(shuffled)
     assert len(rows(shuffled)) == 150
+
+
+def test_duplicates_within_and_across_files_count_once(spark, tmp_path):
+    from tastes.operators import rating_stats
+
+    d = write_rating_files(
+        tmp_path / "r",
+        {
+            "a.txt": rating_file(1, ["10,3,2005-01-01", "10,3,2005-01-01", "11,5,2005-01-01"]),
+            "b.txt": rating_file(1, ["10,3,2005-01-01", "12,1,2005-01-01"]),
+        },
+    )
+    assert rows(rating_stats(read_ratings(spark, str(d)))) == [(1, 3.0, 3)]
