@@ -239,3 +239,19 @@ def test_random_fixtures_match_brute_force(ratings_df, titles_df, ratings, title
     assert rows(favourites(rdf, tdf), "customerId", "movieId") == sorted(
         (user, f[0]) for user, f in fav.items()
     )
+
+
+def test_heavy_user_and_item_match_model(ratings_df, titles_df):
+    import random
+
+    rnd = random.Random(7)
+    dates = [f"2005-0{m}-1{d}" for m in range(1, 10) for d in range(10)]
+    rows_ = [(1, 1, rnd.randint(1, 5), rnd.choice(dates)) for _ in range(600)]  # hot user, hot item
+    rows_ += [(rnd.randint(1, 8), rnd.randint(2, 60), rnd.randint(1, 5), rnd.choice(dates)) for _ in range(900)]
+    titles = [(m, str(1998 + m % 3), "T" + "ABC"[m % 3]) for m in range(1, 8)]
+    rdf, tdf = ratings_df(rows_), titles_df(titles)
+    for share in (False, True):
+        got = rows(contrarian_tastes(rdf, tdf, TasteParams(10, 3, 5), share_ratings=share))
+        assert got == model.report(rows_, titles, 10, 3, 5)
+    fav = model.favourites(rows_, titles)
+    assert rows(favourites(rdf, tdf), "customerId", "movieId") == sorted((u, f[0]) for u, f in fav.items())
