@@ -54,14 +54,10 @@ def _rows_at_max(
     ratings: DataFrame, users: DataFrame | None, max_users: int | None
 ) -> DataFrame:
     rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
-    maxima = bounded_broadcast(
-        rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(MAX_RATING)), max_users
-    )
-    return rows.join(
-        maxima,
-        (rows[CUSTOMER_ID] == maxima[CUSTOMER_ID]) & (rows[RATING] == maxima[MAX_RATING]),
-        "left_semi",
-    )
+    # The maximum is named `rating`, so the join keeps rows whose
+    # (customerId, rating) is a user's (customerId, maximum).
+    maxima = rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(RATING))
+    return rows.join(bounded_broadcast(maxima, max_users), [CUSTOMER_ID, RATING], "left_semi")
 
 
 def best_ratings(
