@@ -71,7 +71,8 @@ def _rating_columns(item: str) -> list:
         F.col(item).alias(MOVIE_ID),
         F.col("o_custkey").alias(CUSTOMER_ID),
         (F.col("l_quantity").cast("int") % STAR_LEVELS + 1).alias(RATING),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias(RATING_DATE),
+        # TIMESTAMP_NTZ -> DATE -> 'yyyy-MM-dd' never consults a time zone.
+        F.col("l_shipdate").cast("date").cast("string").alias(RATING_DATE),
     ]
 
 
