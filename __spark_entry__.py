@@ -70,6 +70,10 @@ def q_popular_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return popular_items(part_ratings(spark, sf_dir), PART.min_ratings)
 
 
+def q_popular_items_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return popular_items(part_ratings(spark, sf_dir), PART.min_ratings, inclusive=True)
+
+
 def q_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(spark, sf_dir, "part", PART, positioned=True)
 
@@ -142,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "rating_stats": q_rating_stats,
         "popular_items": q_popular_items,
+        "popular_items_inclusive": q_popular_items_inclusive,
         "top_items": q_top_items,
         "top_item_ratings": q_top_item_ratings,
         "rated_all": q_rated_all,
@@ -269,6 +274,8 @@ def oracle_sql() -> dict[str, str]:
         "rating_stats": _sql_base("nation") + "\nselect * from stats",
         "popular_items": _sql_base("part")
         + f'\nselect * from stats where "ratingsCount" > {PART.min_ratings}',
+        "popular_items_inclusive": _sql_base("part")
+        + f'\nselect * from stats where "ratingsCount" >= {PART.min_ratings}',
         "top_items": _sql_base("part", PART.min_ratings, PART.top_items)
         + '\nselect "movieId", "avgRating", "ratingsCount", "releaseYear", title, "position"'
         + "\nfrom top",
