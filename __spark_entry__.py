@@ -41,6 +41,7 @@ FLAGSHIP_DIR = "/root/testdata/sf0.001"
 FLAGSHIP = TasteParams(min_ratings=50, top_items=5, top_users=25)
 NATION = TasteParams(min_ratings=1783, top_items=5, top_users=25)
 NATION_FEW_POPULAR = TasteParams(min_ratings=2400, top_items=20, top_users=25)
+NATION_MANY_ITEMS = TasteParams(min_ratings=1783, top_items=70, top_users=25)
 PART = TasteParams(min_ratings=25, top_items=100, top_users=25)
 PART_PIPELINE = TasteParams(min_ratings=25, top_items=1, top_users=25)
 SEGMENT = "MACHINERY"
@@ -161,6 +162,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             q_contrarian_tastes, mapping="nation", p=NATION_FEW_POPULAR
         ),
         "contrarian_tastes_parts": partial(q_contrarian_tastes, mapping="part", p=PART_PIPELINE),
+        # M above the bitmask limit: the pipeline's general division path.
+        "contrarian_tastes_many_items": partial(
+            q_contrarian_tastes, mapping="nation", p=NATION_MANY_ITEMS
+        ),
     }
 
 
@@ -310,4 +315,5 @@ having count(distinct "movieId") = (select count(*) from region_items)""",
         "contrarian_tastes": _sql_pipeline("nation", NATION),
         "contrarian_tastes_few_popular": _sql_pipeline("nation", NATION_FEW_POPULAR),
         "contrarian_tastes_parts": _sql_pipeline("part", PART_PIPELINE),
+        "contrarian_tastes_many_items": _sql_pipeline("nation", NATION_MANY_ITEMS),
     }
