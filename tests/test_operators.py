@@ -255,3 +255,12 @@ def test_heavy_user_and_item_match_model(ratings_df, titles_df):
         assert got == model.report(rows_, titles, 10, 3, 5)
     fav = model.favourites(rows_, titles)
     assert rows(favourites(rdf, tdf), "customerId", "movieId") == sorted((u, f[0]) for u, f in fav.items())
+
+
+@pytest.mark.parametrize("m,u", [(0, 5), (3, 0)])
+def test_zero_items_or_users_give_empty_report(ratings_df, titles_df, m, u):
+    r = ratings_df(ratings_of(1, 3) + ratings_of(2, 3))
+    t = titles_df([(1, "2000", "A"), (2, "2000", "B")])
+    for share in (False, True):
+        report = contrarian_tastes(r, t, TasteParams(0, m, u), share_ratings=share)
+        assert report.collect() == []
