@@ -16,6 +16,10 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     executor re-reads it instead of recomputing the lineage, and later
     scans prune columns and push filters into parquet. Without a configured
     checkpoint folder the plan is returned unchanged.
+
+    Each call writes under a new unique folder, so a re-run never collides
+    with an earlier, possibly half-written copy; the copies stay for the
+    cluster's retention policy of that folder, as Spark's own checkpoints do.
     """
     base = checkpoint_dir(spark)
     if not base:
