@@ -162,3 +162,9 @@ def test_duplicates_within_and_across_files_count_once(spark, tmp_path):
         },
     )
     assert rows(rating_stats(read_ratings(spark, str(d)))) == [(1, 3.0, 3)]
+
+
+def test_files_in_subfolders_are_not_read(spark, tmp_path):
+    d = write_rating_files(tmp_path / "r", {"mv_1.txt": rating_file(1, ["10,3,2005-01-01"])})
+    write_rating_files(d / "archive", {"mv_2.txt": rating_file(2, ["11,4,2005-01-01"])})
+    assert rows(read_ratings(spark, str(d))) == [(1, 10, 3, "2005-01-01")]
