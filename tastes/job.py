@@ -55,7 +55,8 @@ def parse_args(argv: Sequence[str] | None = None) -> JobParams:
     parser.add_argument(
         "--no-materialize",
         action="store_true",
-        help="parse the rating files in every scan instead of writing a parquet copy",
+        help="skip the parquet copy; the plan then parses the text once and every "
+        "branch reads the shared deduplicated ratings",
     )
     args = parser.parse_args(argv)
     return JobParams(

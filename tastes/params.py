@@ -34,9 +34,10 @@ class JobParams:
     partitions: initial shuffle parallelism for this job (AQE coalesces
         and splits from there); None keeps the session setting.
     materialize_ratings: write the parsed ratings once as parquet under the
-        session's `spark.checkpoint.dir` and read that copy in the three
-        places the plan uses ratings, instead of parsing the text three
-        times. Also cuts the lineage, so a lost executor re-reads parquet.
+        session's `spark.checkpoint.dir` and let each branch rescan that copy
+        with its own filter. Also cuts the lineage, so a lost executor
+        re-reads parquet. Without it the text is parsed once in the plan and
+        the branches share the deduplicated ratings.
     """
 
     ratings_dir: str
