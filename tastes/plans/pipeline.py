@@ -6,13 +6,14 @@
 
 Two physical layouts, same result:
 
-* `share_ratings=False` (for a stored ratings table, such as the parquet
-  copy `run_job` writes): every branch scans the ratings with its own
+* `share_ratings=False` (for a stored ratings table that is cheap to scan
+  again, such as the parquet copy `run_job` writes): every branch scans the ratings with its own
   filter pushed into the scan (top items, contrarian users), so only the
   statistics branch deduplicates and shuffles all rows; the other branches
   shuffle their filtered rows only.
-* `share_ratings=True` (for ratings that are expensive to recompute, such
-  as a join of two fact tables or unparsed text): ratings are deduplicated
+* `share_ratings=True` (the default; for ratings that are expensive to
+  recompute, such as a join of two fact tables or unparsed text, and safe
+  for any input): ratings are deduplicated
   once, up front, and all three branches read that result. Spark reuses the
   one dedup exchange in every branch, so the source is computed once; the
   branches' own duplicate removal is dropped by Catalyst as redundant.
@@ -44,7 +45,7 @@ def contrarian_tastes(
     ratings: DataFrame,
     titles: DataFrame,
     params: TasteParams = TasteParams(),
-    share_ratings: bool = False,
+    share_ratings: bool = True,
 ) -> DataFrame:
     """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate.
 

@@ -83,7 +83,9 @@ def main(argv: list[str]) -> None:
     p = TasteParams(min_ratings=50, top_items=5, top_users=25)
 
     cases = {
-        "whole question, rescan": lambda: contrarian_tastes(ratings, titles, p),
+        "whole question, rescan": lambda: contrarian_tastes(
+            ratings, titles, p, share_ratings=False
+        ),
         "whole question, shared": lambda: contrarian_tastes(ratings, titles, p, share_ratings=True),
         "favourites, all users": lambda: favourites(ratings, titles),
     }
