@@ -31,8 +31,11 @@ def strip_trailing_separators(c: Column | str, sep: str = ",") -> Column:
     """Drop a run of separators at the end of a line.
 
     Splitting the result gives the same field count as Java's
-    `String.split`, which discards trailing empty fields.
+    `String.split`, which discards trailing empty fields. A one-character
+    separator is a plain right trim; longer ones need a pattern.
     """
+    if len(sep) == 1:
+        return F.rtrim(_col(c), F.lit(sep))
     return F.regexp_replace(_col(c), f"(?:{re.escape(sep)})+$", "")
 
 
