@@ -12,6 +12,9 @@ import __spark_entry__ as entry
 from tastes.schemas import REPORT_COLUMNS
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(
+    not Path(SF).is_dir(), reason="driver test data not available"
+)
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from pathlib import Path
 
 import pytest
 
@@ -13,6 +14,9 @@ from tastes.operators import favourites, rated_all, top_items
 from tastes.sources.tables import nation_ratings, nation_titles, part_ratings, part_titles
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(
+    not Path(SF).is_dir(), reason="driver test data not available"
+)
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas")
 
 
