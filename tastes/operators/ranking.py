@@ -72,14 +72,13 @@ def popular_items(ratings: DataFrame, min_ratings: int, inclusive: bool = False)
     return rating_stats(ratings).where(keep)
 
 
-def top_order(*tail: Column) -> list[Column]:
+def top_order() -> list[Column]:
     """Best average first, then the newest year, the first title, the lowest id."""
     return [
         F.col(AVG_RATING).desc(),
         F.col(RELEASE_YEAR).desc(),
         F.col(TITLE).asc(),
         F.col(MOVIE_ID).asc(),
-        *tail,
     ]
 
 
