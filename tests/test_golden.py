@@ -129,3 +129,29 @@ def test_command_line_names(tmp_path):
     assert params.partitions == 8
     defaults = parse_args(["--ratings-dir", "r", "--titles-file", "t", "--output-dir", "o"])
     assert defaults.tastes == TasteParams(min_ratings=50, top_items=5, top_users=25)
+
+
+def test_report_quotes_titles_with_commas(spark, tmp_path):
+    ratings = write_rating_files(
+        tmp_path / "training_set",
+        {
+            "mv_1.txt": rating_file(1, ["10,1,2005-01-01", "11,1,2005-01-02", "12,2,2005-01-03"]),
+            "mv_2.txt": rating_file(2, ["10,5,2005-02-01", "11,5,2005-02-02", "12,5,2005-02-03"]),
+            "mv_3.txt": rating_file(3, ["10,4,2005-03-01", "11,3,2005-03-02"]),
+        },
+    )
+    titles = tmp_path / "movie_titles.txt"
+    titles.write_text('1,2001,Alpha\n2,2002,"Quoted", Title, With Commas\n3,2003,Gamma\n')
+    out = tmp_path / "report"
+    run_job(
+        spark,
+        JobParams(str(ratings), str(titles), str(out), TasteParams(min_ratings=2, top_items=1, top_users=2)),
+    )
+    # top item: 2 (more than 2 rows, best average); users 10, 11, 12 tie on it
+    # and the two lowest ids stay; each user's own best is item 2 itself
+    assert report_lines(out) == sorted(
+        [
+            '10,"\\"Quoted\\", Title, With Commas",2002,2005-02-01',
+            '11,"\\"Quoted\\", Title, With Commas",2002,2005-02-02',
+        ]
+    )
