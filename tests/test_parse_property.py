@@ -1,0 +1,94 @@
+"""Random rating files against a plain statement of the line rules.
+
+The rules, as the original job applied them to each line after the header:
+split on "," dropping trailing empty fields; keep lines with exactly three
+fields; trim every field of characters up to U+0020; the first two fields
+are integers (optional sign, digits, INT range) or the job fails.
+"""
+
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from conftest import write_rating_files
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tastes.sources.text import read_ratings
+
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+_counter = itertools.count()
+
+
+def split_like_java(line: str) -> list[str]:
+    parts = line.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def trim(text: str) -> str:
+    return text.strip("".join(chr(c) for c in range(0x21)))
+
+
+def parse_int(text: str) -> int | None:
+    body = text[1:] if text[:1] in "+-" else text
+    if not body or not body.isascii() or not body.isdigit():
+        return None
+    value = int(text)
+    return value if INT_MIN <= value <= INT_MAX else None
+
+
+def expected_rows(files: dict[int, list[str]]):
+    rows = []
+    for movie, lines in files.items():
+        for line in lines:
+            fields = split_like_java(line)
+            if len(fields) != 3:
+                continue
+            customer, rating = parse_int(trim(fields[0])), parse_int(trim(fields[1]))
+            if customer is None or rating is None:
+                return None  # the job fails
+            rows.append((movie, customer, rating, trim(fields[2])))
+    return sorted(rows)
+
+
+number = st.one_of(
+    st.integers(-5, 99999).map(str),
+    st.sampled_from(["+7", "007", " 12 ", "\t3", "2147483647", "-2147483648"]),
+)
+bad = st.sampled_from(["x", "", "1.5", "2147483648", "--1", " "])
+field = st.one_of(number, number, number, bad)
+date = st.sampled_from(["2005-01-01", " 2004-12-31 ", "", "d", "2005-06-30\t"])
+line = st.one_of(
+    st.tuples(field, field, date).map(",".join),
+    st.tuples(field, field, date).map(lambda t: ",".join(t) + ",,"),
+    st.tuples(field, field).map(",".join),
+    st.tuples(field, field, date, field).map(",".join),
+    st.just(""),
+    st.just(",,,"),
+)
+files_strategy = st.dictionaries(
+    st.integers(1, 50), st.lists(line, max_size=8), min_size=1, max_size=4
+)
+
+
+@settings(
+    max_examples=25,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(files=files_strategy)
+def test_random_files_follow_the_line_rules(spark, tmp_path, files):
+    directory = write_rating_files(
+        tmp_path / f"r{next(_counter)}",
+        {f"mv_{movie}.txt": "\n".join([f"{movie}:", *lines]) + "\n" for movie, lines in files.items()},
+    )
+    expected = expected_rows(files)
+    df = read_ratings(spark, str(directory))
+    if expected is None:
+        with pytest.raises(Exception):
+            df.collect()
+    else:
+        assert sorted(tuple(r) for r in df.collect()) == expected
