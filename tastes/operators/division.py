@@ -14,9 +14,10 @@ collected into one list:
   rating sum and row count. "Rated all" is `bit_count(mask) = set size`.
   One shuffle, partially aggregated map-side, so a heavy user moves one
   row per map partition.
-* larger or unbounded set: two partial aggregations, (user, item) and then
-  user, counting distinct items exactly, compared with the set size from a
-  scalar subquery (a partial count, not a window in one task).
+* larger set: two partial aggregations, (user, item) and then user,
+  counting distinct items exactly. A bounded set carries its size through
+  the broadcast join; an unbounded one gets it from a scalar subquery (a
+  partial count, not a window in one task).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastes.functions.joins import restrict_to
+from tastes.functions.joins import bounded_broadcast, restrict_to
 from tastes.operators.ranking import with_position
 from tastes.schemas import (
     AVG_RATING,
@@ -77,20 +78,29 @@ def rated_all(
     """
     if max_items is not None and max_items <= BITMASK_ITEMS:
         return _rated_all_bitmask(ratings, items, max_items)
-    ids = items.select(MOVIE_ID).distinct()
-    # Scalar subquery: partial counts merged once, no single-task window.
-    set_size = ids.select(F.count(F.lit(1))).scalar()
-    rows = restrict_to(_rating_rows(ratings), ids, MOVIE_ID, max_items).distinct()
+    if max_items is not None:
+        # Bounded: the set travels once, broadcast with its own size.
+        sized = bounded_broadcast(_items_with_size(items), max_items)
+        rows = _rating_rows(ratings).join(sized, MOVIE_ID).distinct()
+        set_size = F.max(_SET_SIZE)
+    else:
+        # Unbounded: partial counts merged by a scalar subquery, no
+        # single-task window over the set.
+        ids = items.select(MOVIE_ID).distinct()
+        rows = restrict_to(_rating_rows(ratings), ids, MOVIE_ID).distinct()
+        set_size = F.lit(ids.select(F.count(F.lit(1))).scalar())
     per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
         F.sum(RATING).alias("_sum"),
         F.count(F.lit(1)).alias("_rows"),
+        set_size.alias(_SET_SIZE),
     )
     per_user = per_item.groupBy(CUSTOMER_ID).agg(
         F.count(F.lit(1)).alias("_items"),
         F.sum("_sum").alias("_sum"),
         F.sum("_rows").alias("_rows"),
+        F.max(_SET_SIZE).alias(_SET_SIZE),
     )
-    return per_user.where(F.col("_items") == set_size).select(
+    return per_user.where(F.col("_items") == F.col(_SET_SIZE)).select(
         CUSTOMER_ID,
         (F.col("_sum") / F.col("_rows")).alias(AVG_RATING),
         F.col("_rows").alias(RATINGS_COUNT),
