@@ -3,21 +3,60 @@
 from __future__ import annotations
 
 import argparse
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tastes.params import JobParams, TasteParams
 from tastes.plans.materialize import materialize
 from tastes.plans.pipeline import contrarian_tastes
 from tastes.sinks.report import write_report
-from tastes.sources.text import read_ratings, read_titles
+from tastes.sources.text import RATING_FILES_GLOB, read_ratings, read_titles
+
+
+# Target input bytes per shuffle partition when sizing from the input.
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def input_bytes(spark: SparkSession, directory: str) -> int:
+    """Total size of the rating files, from the file listing (no file is read).
+
+    A one-row distributed aggregate over Spark's `binaryFile` listing; the
+    file contents are not selected, so they are never read.
+    """
+    row = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", RATING_FILES_GLOB)
+        .load(directory.strip())
+        .agg(F.sum("length").alias("bytes"))
+        .first()
+    )
+    return int(row["bytes"] or 0)
+
+
+def size_shuffle_partitions(spark: SparkSession, directory: str) -> int:
+    """Raise the shuffle parallelism to about one partition per 128 MiB of input.
+
+    AQE coalesces small partitions but never splits the initial count, so at
+    scale the count must start high enough for partitions to fit in memory.
+    The session's setting is only ever raised.
+    """
+    current = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    wanted = max(current, math.ceil(input_bytes(spark, directory) / BYTES_PER_PARTITION))
+    if wanted != current:
+        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    return wanted
 
 
 def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
     """The report DataFrame for `params`, not yet written."""
     if params.partitions is not None:
-        spark.conf.set("spark.sql.shuffle.partitions", str(params.partitions))
+        spark.conf.set(SHUFFLE_PARTITIONS, str(params.partitions))
+    else:
+        size_shuffle_partitions(spark, params.ratings_dir)
     parsed = read_ratings(spark, params.ratings_dir)
     ratings = materialize(spark, parsed, "ratings") if params.materialize_ratings else parsed
     titles = read_titles(spark, params.titles_file)

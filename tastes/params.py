@@ -32,7 +32,8 @@ class JobParams:
     """Everything one report run needs.
 
     partitions: initial shuffle parallelism for this job (AQE coalesces
-        and splits from there); None keeps the session setting.
+        from there); None sizes it from the input, one partition per
+        128 MiB of rating files, never below the session setting.
     materialize_ratings: write the parsed ratings once as parquet under the
         session's `spark.checkpoint.dir` and let each branch rescan that copy
         with its own filter. Also cuts the lineage, so a lost executor

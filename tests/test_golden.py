@@ -155,3 +155,22 @@ def test_report_quotes_titles_with_commas(spark, tmp_path):
             '11,"\\"Quoted\\", Title, With Commas",2002,2005-02-02',
         ]
     )
+
+
+def test_shuffle_partitions_sized_from_input(spark, tmp_path, monkeypatch):
+    import sys
+
+    job = sys.modules["tastes.job"]
+    ratings, _ = write_golden(tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert job.input_bytes(spark, str(ratings)) == sum(
+            p.stat().st_size for p in ratings.glob("*.txt")
+        )
+        # a small input never lowers the session setting
+        assert job.size_shuffle_partitions(spark, str(ratings)) == int(before)
+        # a large one raises it: with a target of one byte per partition
+        monkeypatch.setattr(job, "BYTES_PER_PARTITION", 1)
+        assert job.size_shuffle_partitions(spark, str(ratings)) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
