@@ -44,7 +44,10 @@ def size_shuffle_partitions(spark: SparkSession, directory: str) -> int:
     scale the count must start high enough for partitions to fit in memory.
     The session's setting is only ever raised.
     """
-    current = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    setting = spark.conf.get(SHUFFLE_PARTITIONS)
+    if not setting.isdigit():  # a non-numeric setting is left to its owner
+        return 0
+    current = int(setting)
     wanted = max(current, math.ceil(input_bytes(spark, directory) / BYTES_PER_PARTITION))
     if wanted != current:
         spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
