@@ -264,3 +264,10 @@ def test_zero_items_or_users_give_empty_report(ratings_df, titles_df, m, u):
     for share in (False, True):
         report = contrarian_tastes(r, t, TasteParams(0, m, u), share_ratings=share)
         assert report.collect() == []
+
+
+def test_release_years_compare_as_text(ratings_df, titles_df):
+    # Years are strings, as in the original data: 'NULL' > '2005' as text.
+    r = ratings_df(ratings_of(1, 2) + ratings_of(2, 2))
+    t = titles_df([(1, "2005", "A"), (2, "NULL", "B")])
+    assert rows(top_items(r, t, 0, 2, positioned=True), "position", "movieId") == [(1, 2), (2, 1)]
