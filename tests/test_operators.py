@@ -271,3 +271,16 @@ def test_release_years_compare_as_text(ratings_df, titles_df):
     r = ratings_df(ratings_of(1, 2) + ratings_of(2, 2))
     t = titles_df([(1, "2005", "A"), (2, "NULL", "B")])
     assert rows(top_items(r, t, 0, 2, positioned=True), "position", "movieId") == [(1, 2), (2, 1)]
+
+
+def test_bitmask_at_its_largest_set_matches_general_division(ratings_df):
+    items = list(range(100, 163))  # 63 items: bits 0..62
+    rows_ = [(m, 1, 1 + m % 5, "d") for m in items]  # user 1 rated all of them
+    rows_ += [(m, 2, 3, "d") for m in items[:-1]]  # user 2 missed the last one
+    rows_ += [(m, 3, 2, "d") for m in items] + [(items[0], 3, 5, "e")]  # user 3: all, one twice
+    r = ratings_df(rows_)
+    item_df = ratings_df([(m, 0, 0, "") for m in items]).select("movieId")
+    bitmask = rows(rated_all(r, item_df, max_items=63))
+    general = rows(rated_all(r, item_df, max_items=None))
+    assert bitmask == general
+    assert [u for u, _avg, _n in bitmask] == [1, 3]
