@@ -122,6 +122,11 @@ def q_best_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_ratings(part_ratings(spark, sf_dir))
 
 
+def q_segment_best_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Users from a filter (one market segment): no bound, no broadcast hint.
+    return best_ratings(part_ratings(spark, sf_dir), segment_customers(spark, sf_dir, SEGMENT))
+
+
 def q_favourites(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings, titles = _inputs(spark, sf_dir, "part")
     return favourites(ratings, titles)
@@ -155,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rated_region": q_rated_region,
         "user_max_rating": q_user_max_rating,
         "best_ratings": q_best_ratings,
+        "segment_best_ratings": q_segment_best_ratings,
         "favourites": q_favourites,
         "segment_favourites": q_segment_favourites,
         "contrarian_tastes": partial(q_contrarian_tastes, mapping="nation", p=NATION),
@@ -274,6 +280,12 @@ select "customerId", "movieId", title as "movieTitle", "releaseYear" as "movieRe
 from picked where rn = 1"""
 
 
+_SEGMENT_USERS = (
+    'r."customerId" in (select c_custkey from customer '
+    f"where c_mktsegment = '{SEGMENT}')"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rating_stats": _sql_base("nation") + "\nselect * from stats",
@@ -305,12 +317,12 @@ having count(distinct "movieId") = (select count(*) from region_items)""",
         "best_ratings": _sql_base("part")
         + _sql_favourites("true")
         + "\nselect distinct * from best",
+        "segment_best_ratings": _sql_base("part")
+        + _sql_favourites(_SEGMENT_USERS)
+        + "\nselect distinct * from best",
         "favourites": _sql_base("part") + _sql_favourites("true") + _FAVOURITE_COLUMNS,
         "segment_favourites": _sql_base("part")
-        + _sql_favourites(
-            'r."customerId" in (select c_custkey from customer '
-            f"where c_mktsegment = '{SEGMENT}')"
-        )
+        + _sql_favourites(_SEGMENT_USERS)
         + _FAVOURITE_COLUMNS,
         "contrarian_tastes": _sql_pipeline("nation", NATION),
         "contrarian_tastes_few_popular": _sql_pipeline("nation", NATION_FEW_POPULAR),
