@@ -284,3 +284,10 @@ def test_bitmask_at_its_largest_set_matches_general_division(ratings_df):
     general = rows(rated_all(r, item_df, max_items=None))
     assert bitmask == general
     assert [u for u, _avg, _n in bitmask] == [1, 3]
+
+
+def test_user_max_rating_restricted_to_users(ratings_df):
+    r = ratings_df([(1, 10, 2, "d"), (2, 10, 4, "d"), (1, 11, 5, "d"), (1, 12, 1, "d")])
+    users = ratings_df([(0, 10, 0, ""), (0, 12, 0, ""), (0, 12, 0, "")]).select("customerId")
+    assert rows(user_max_rating(r, users)) == [(10, 4), (12, 1)]
+    assert rows(user_max_rating(r, users, max_users=3)) == [(10, 4), (12, 1)]

@@ -168,3 +168,9 @@ def test_files_in_subfolders_are_not_read(spark, tmp_path):
     d = write_rating_files(tmp_path / "r", {"mv_1.txt": rating_file(1, ["10,3,2005-01-01"])})
     write_rating_files(d / "archive", {"mv_2.txt": rating_file(2, ["11,4,2005-01-01"])})
     assert rows(read_ratings(spark, str(d))) == [(1, 10, 3, "2005-01-01")]
+
+
+def test_titles_with_crlf_line_ends(spark, tmp_path):
+    path = tmp_path / "titles.txt"
+    path.write_bytes(b"1,2000,First\r\n2,2001,Second, Part\r\n")
+    assert rows(read_titles(spark, str(path))) == [(1, "2000", "First"), (2, "2001", "Second, Part")]
