@@ -37,7 +37,7 @@ def normalised(records, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.taste_queries()) == set(entry.taste_oracle_sql())
 
 
 def test_entry_flagship(spark):
@@ -46,11 +46,11 @@ def test_entry_flagship(spark):
     assert df.count() == 25
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.taste_queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = entry.taste_queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(entry.taste_oracle_sql()[name])
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
