@@ -5,10 +5,11 @@ hashes. Documents with equal sets form one class first (an aggregation, so
 thousands of copies cost one row per task); only the class's smallest id
 goes on. `bands x rows` universal hash functions give its minima. Documents
 meet in a bucket when the minima of one band agree. In each bucket every
-member is paired with the smallest one (a star, linear in the bucket), the
-pairs' signatures are compared, and pairs that may reach the threshold are
-confirmed on the full sets. The confirmed links go through alternating
-large-star and small-star rounds.
+member is paired with one centre (a star, linear in the bucket): the member
+whose buckets hold the most documents altogether, which among edited copies
+is the text that they were made from. The pairs' signatures are compared,
+and pairs that may reach the threshold are confirmed on the full sets. The
+confirmed links go through alternating large-star and small-star rounds.
 
 A star alone could miss a link between two members that both fail against
 the centre. So a second pass looks at the buckets that still hold more than
@@ -18,8 +19,8 @@ connectivity is reported, so pairs inside one component need no check. No
 bucket is capped and none is collected into one task.
 
 With 32 bands of 5 rows a pair at exactly 0.8 misses every bucket with
-probability 3e-6; the signature filter (160 one-byte minima, limit 0.64)
-loses such a pair with less than 1e-6.
+probability 3e-6; the signature filter (320 one-byte minima, limit 0.725)
+loses such a pair with 3e-4, and pairs above it far more rarely.
 
 Null or blank texts have an empty set: component of their own. A null
 doc_id cannot be named by a link: its row gets a null component and is
@@ -40,8 +41,9 @@ from pyspark.sql import functions as F
 from tastes.llm.common import Scratch, ascii_lower_words
 
 BANDS, ROWS = 32, 5
-# Pairs whose one-byte minima agree less often than this cannot reach 0.8.
-SIGNATURE_LIMIT = 0.64
+MINIMA = 320
+# Over three standard deviations under 0.8, for a share of 320 one-byte minima.
+SIGNATURE_LIMIT = 0.725
 # Members of a bucket compared with each other in one task.
 BLOCK = 256
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -56,7 +58,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    n = BANDS * ROWS
+    n = MINIMA
     seeds = np.arange(1, 2 * n + 1, dtype=np.uint64) * _PRIME
     mixed = _mix(seeds)
     return mixed[:n] | np.uint64(1), mixed[n:]
@@ -100,37 +102,34 @@ def signature(sets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _sketch(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n_shingles long, digest binary, keys array<long>, sig binary")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingles, (a, b) = Shingler(k), _coefficients()
         salt = np.arange(1, BANDS + 1, dtype=np.uint64) * _PRIME
-        for batch in batches:
+        for batch in texts:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for text in batch:
                 s = shingles(text)
                 if not len(s):
-                    rows.append((doc_id, 0, None, None, None))
+                    rows.append((0, None, None, None))
                     continue
                 low = signature(s, a, b)
                 keys = np.zeros(BANDS, np.uint64)
-                for column in low.reshape(BANDS, ROWS).T:
+                for column in low[: BANDS * ROWS].reshape(BANDS, ROWS).T:
                     keys = _mix(keys * _PRIME + column)
                 rows.append(
                     (
-                        doc_id,
                         len(s),
                         xxhash.xxh3_128_digest(s.tobytes()),
-                        _mix(keys + salt).view(np.int64).tolist(),
+                        _mix(keys + salt).view(np.int64),
                         _mix(low).astype(np.uint8).tobytes(),
                     )
                 )
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "keys", "sig"])
+            yield pd.DataFrame(rows, columns=["n_shingles", "digest", "keys", "sig"])
 
     return run
 
 
-_SKETCH = "doc_id long, n_shingles long, digest binary, keys array<long>, sig binary"
-
-
 def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs whose signatures agree often enough."""
     for batch in batches:
@@ -160,20 +159,19 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, scratch: Scratch,
-               name: str, k: int, percent: int) -> DataFrame:
-    """Of candidate pairs (a, b), those that reach the threshold on full sets."""
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose sizes and signatures may reach the threshold."""
     sig = sketches.select("doc_id", "sig", "n_shingles")
-    both = (
-        pairs.join(sig.toDF("a", "sig_a", "n_a"), "a")
-        .join(sig.toDF("b", "sig_b", "n_b"), "b")
-        # Sets whose sizes differ by more cannot reach the threshold.
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .select("a", "b", "sig_a", "sig_b")
-    )
-    near = scratch.save(both.mapInPandas(_alike, "a long, b long"), f"{name}-near")
+    both = pairs.join(sig.toDF("a", "sig_a", "n_a"), "a").join(sig.toDF("b", "sig_b", "n_b"), "b")
+    sized = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    return sized.select("a", "b", "sig_a", "sig_b").mapInPandas(_alike, "a long, b long")
+
+
+def _confirmed(near: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: int,
+               percent: int) -> DataFrame:
+    """Of the pairs (a, b) of a table, those that reach the threshold on full sets."""
     ids = scratch.save(
-        near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids"
+        near.select("a").union(near.select("b")).distinct().toDF("doc_id"), f"{name}-ids"
     )
     texts = scratch.save(
         docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), f"{name}-texts"
@@ -239,37 +237,58 @@ def connected_components(links: DataFrame, scratch: Scratch, name: str = "cc") -
     return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("component_id"))
 
 
-def _cross_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of different components in each block of a bucket.
+def _cross_pairs(percent: int):
+    """Pairs of different components in each block of a bucket that may be links.
 
     Rows arrive sorted by (bucket, block pair); a block pair has at most two
-    blocks of rows, held only until the next begins.
+    blocks of rows, held only until the next begins. A pair that shares
+    several buckets is given in the first of them.
     """
-    held: list[tuple] = []
-    key = None
 
-    def pairs() -> list[tuple[int, int]]:
+    def pairs(held: list) -> list[tuple[int, int]]:
+        if len(held) < 2:
+            return []
+        doc, component, block = (
+            np.array([getattr(r, c) for r in held]) for c in ("doc_id", "component_id", "block")
+        )
+        size = np.array([r.n_shingles for r in held])
+        sig = np.frombuffer(b"".join(r.sig for r in held), np.uint8).reshape(len(held), -1)
+        keys = np.array([r.keys for r in held])
+        apart = held[0].i != held[0].j
         out = []
-        for n, (a, component, block, one_block) in enumerate(held):
-            for b, other, other_block, _ in held[n + 1 :]:
-                if component != other and (one_block or block != other_block):
-                    out.append((min(a, b), max(a, b)))
+        for n in range(len(held) - 1):
+            rest = slice(n + 1, None)
+            least, most = np.minimum(size[n], size[rest]), np.maximum(size[n], size[rest])
+            ok = (component[rest] != component[n]) & (100 * least >= percent * most)
+            if apart:
+                ok &= block[rest] != block[n]
+            at = np.flatnonzero(ok) + n + 1
+            if len(at):
+                at = at[(sig[at] == sig[n]).mean(axis=1) >= SIGNATURE_LIMIT]
+            if len(at):
+                first = np.argmax(keys[at] == keys[n], axis=1)
+                at = at[keys[n][first] == held[0].key]
+            out += [(min(doc[n], doc[m]), max(doc[n], doc[m])) for m in at]
         return out
 
-    for batch in batches:
-        out: list[tuple[int, int]] = []
-        for row in batch.itertuples(index=False):
-            now = (row.key, row.i, row.j)
-            if now != key:
-                out += pairs()
-                held, key = [], now
-            held.append((row.doc_id, row.component_id, row.block, row.i == row.j))
-        yield pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
-    yield pd.DataFrame(pairs(), columns=["a", "b"], dtype="int64").drop_duplicates()
-
-
-def _crossing(members: DataFrame, components: DataFrame, scratch: Scratch) -> DataFrame:
-    """Candidate pairs of different components that share a bucket, in blocks."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list = []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in batch.itertuples(index=False):
+                if held and (row.key, row.i, row.j) != (held[0].key, held[0].i, held[0].j):
+                    out += pairs(held)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(pairs(held), columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _crossing(members: DataFrame, heads: DataFrame, components: DataFrame, scratch: Scratch,
+              percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket and may be links."""
     named = scratch.save(
         members.join(components, "doc_id", "left").withColumn(
             "component_id", F.coalesce("component_id", "doc_id")
@@ -301,8 +320,11 @@ def _crossing(members: DataFrame, components: DataFrame, scratch: Scratch) -> Da
             "component_id",
         )
     )
+    rows = rows.join(heads.select("doc_id", "n_shingles", "sig", "keys"), "doc_id")
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return scratch.save(dealt.mapInPandas(_cross_pairs, "a long, b long").distinct(), "crossing")
+    return scratch.save(
+        dealt.mapInPandas(_cross_pairs(percent), "a long, b long").distinct(), "crossing"
+    )
 
 
 def near_duplicates(
@@ -316,7 +338,10 @@ def near_duplicates(
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scratch = scratch or Scratch(docs.sparkSession, "minhash")
-    sketches = scratch.save(docs.mapInPandas(_sketch(shingle_words), _SKETCH), "sketches")
+    sketches = scratch.save(
+        docs.withColumn("sketch", _sketch(shingle_words)("text")).select("doc_id", "sketch.*"),
+        "sketches",
+    )
     # A class is the documents with one and the same set.
     classes = scratch.save(
         sketches.where("digest is not null and doc_id is not null")
@@ -326,24 +351,34 @@ def near_duplicates(
     )
     first = classes.select("digest", F.col("first").alias("doc_id"))
     heads = scratch.save(
-        sketches.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]),
+        sketches.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]),
         "heads",
     )
     buckets = heads.select("doc_id", F.explode("keys").alias("key"))
-    shared = scratch.save(
-        buckets.groupBy("key")
-        .agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("key", "centre"),
-        "shared",
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = scratch.save(
+        buckets.join(scratch.save(sizes, "sizes"), "key"), "members"
+    )
+    # How many documents a document meets, over all its buckets.
+    met = members.groupBy("doc_id").agg(F.sum("n").alias("met"))
+    members = scratch.save(
+        members.select("doc_id", "key").join(scratch.save(met, "met"), "doc_id"), "met-members"
+    )
+    centre = members.groupBy("key").agg(F.max("met").alias("most"))
+    centre = (
+        members.join(scratch.save(centre, "most"), "key")
+        .where("met = most")
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("centre"))
     )
-    members = scratch.save(buckets.join(shared, "key"), "members")
     stars = (
-        members.where("doc_id <> centre")
+        members.join(scratch.save(centre, "centres"), "key")
+        .where("doc_id <> centre")
         .select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
-    links = _confirmed(stars, heads, docs, scratch, "star", shingle_words, percent)
+    near = scratch.save(_near(stars, heads, percent), "star-near")
+    links = _confirmed(near, docs, scratch, "star", shingle_words, percent)
     # Rows that repeat a doc_id with other texts tie its classes together.
     tied = sketches.join(classes, "digest").where("doc_id <> first")
     repeated = (
@@ -353,8 +388,8 @@ def near_duplicates(
     )
     links = scratch.save(links.union(repeated), "links")
     components = connected_components(links, scratch, "first")
-    crossing = _crossing(members.select("key", "doc_id"), components, scratch)
-    more = _confirmed(crossing, heads, docs, scratch, "cross", shingle_words, percent)
+    crossing = _crossing(members.select("key", "doc_id"), heads, components, scratch, percent)
+    more = _confirmed(crossing, docs, scratch, "cross", shingle_words, percent)
     if more.limit(1).count():
         components = connected_components(links.union(more), scratch, "second")
     of_class = scratch.save(
