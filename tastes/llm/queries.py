@@ -7,16 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from tastes.llm.bpe import decode, encode
 from tastes.llm.common import remainder, table
+from tastes.llm.decontaminate import contaminated
+from tastes.llm.language import fit_languages, identify
 from tastes.llm.minhash import near_duplicates
+from tastes.llm.quality import judge
+from tastes.llm.substring import substring_dedup
 from tastes.llm.toxicity import fit_lexicon, score_toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = fit_lexicon(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
-    scored = score_toxicity(docs, lexicon)
-    return scored.withColumn("held_out", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)))
+    return score_toxicity(docs, lexicon).select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "toxicity.*",
+    )
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated(docs, items)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "removed", "n_removed")
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +43,53 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs, remainder("doc_id", 4) != 2)
+    return identify(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "language.*",
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op3_benchmark_decontamination": op3_benchmark_decontamination,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op7_byte_level_bpe": op7_byte_level_bpe,
+        "op8_language_id": op8_language_id,
+        "op9_quality_rules": op9_quality_rules,
+        "pipeline": pipeline,
     }
 
 

@@ -250,16 +250,16 @@ def fit_lexicon(
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` (its doc_id and text) with score, predicted, hits, weight and words."""
+    """`docs` with one more column `toxicity`: score, predicted, hits, weight, words."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("score double, predicted int, hits long, weight double, words long")
+    def rate(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
-        for batch in batches:
-            found = [features(fold(t), automaton) for t in batch["text"]]
+        for batch in texts:
+            found = [features(fold(t), automaton) for t in batch]
             scores = [score(f, lexicon) for f in found]
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"].array,
                     "score": scores,
                     "predicted": [int(s >= threshold) for s in scores],
                     "hits": [f[2] for f in found],
@@ -268,21 +268,19 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHO
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, score double, predicted int, hits long, weight double, words long"
-    )
+    return docs.withColumn("toxicity", rate("text"))
 
 
 def reject_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, all columns, whose text scores under the threshold."""
-    names = docs.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         automaton = lexicon.automaton()
-        for batch in batches:
-            keep = [
-                score(features(fold(t), automaton), lexicon) < threshold for t in batch["text"]
-            ]
-            yield batch.loc[np.array(keep, bool), names]
+        for batch in texts:
+            yield pd.Series(
+                [score(features(fold(t), automaton), lexicon) < threshold for t in batch],
+                dtype=bool,
+            )
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.where(clean("text"))
