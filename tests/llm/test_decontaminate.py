@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from tastes.llm.decontaminate import Index, contaminated, question_and_answer, reject_contaminated
+
+ITEMS = "item_id long, text string"
+
+
+def words(rng, n, size=300):
+    return [f"w{int(rng.paretovariate(0.6)) % size}" for _ in range(n)]
+
+
+def test_search_equals_brute_force():
+    rng = random.Random(4)
+    items = [(i, " ".join(words(rng, rng.randint(3, 40)))) for i in range(200)]
+    for retrieve in (0.2, 0.4, 0.6):
+        index = Index(items, retrieve)
+        for _ in range(150):
+            passage = set(words(rng, 60))
+            if rng.random() < 0.5:
+                passage |= set(rng.choice(items)[1].split()[: rng.randint(1, 40)])
+            scores = [
+                sum(s[ids.index(k)] for t in passage if t in index.lists for ids, s in [index.lists[t]] if k in ids)
+                for k in range(len(index.ids))
+            ]
+            want = {k for k, s in enumerate(scores) if s >= retrieve - 1e-9}
+            assert {k for k, _ in index.search(passage)} == want
+            if want:  # the shared bound never hides a passage
+                assert not index.triggers.isdisjoint(passage)
+
+
+def _tables(spark, docs_df, n=120):
+    rng = random.Random(8)
+    items = [(i, ". ".join(" ".join(words(rng, 12, 5000)) for _ in range(3)) + ".") for i in range(30)]
+    rows, leaks = [], set()
+    for d in range(n):
+        text = words(rng, rng.randint(0, 400), 5000)
+        if d % 5 == 0:
+            i, item = items[rng.randrange(30)]
+            leak = item.upper() if d % 2 else item
+            text.insert(rng.randint(0, len(text)), leak)
+            leaks.add((d, i))
+        rows.append((d, " ".join(text)))
+    return docs_df(rows), spark.createDataFrame(items, ITEMS), leaks
+
+
+def test_finds_what_was_planted_and_nothing_else(spark, docs_df):
+    docs, items, leaks = _tables(spark, docs_df)
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()} == leaks
+    kept = {r.doc_id for r in reject_contaminated(docs, items).collect()}
+    assert kept == set(range(120)) - {d for d, _ in leaks}
+
+
+def test_shards_find_the_same(spark, docs_df):
+    docs, items, leaks = _tables(spark, docs_df)
+    found = contaminated(docs, items, shard_items=7).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == leaks
+
+
+def test_question_and_answer():
+    assert question_and_answer("Who was it? It was he.") == (["who", "was", "it"], ["it", "was", "he"])
+    assert question_and_answer("a b c d e f g h i j") == (list("abcdefgh"), ["i", "j"])
+    assert question_and_answer("one") == (["one"], [])
+    assert question_and_answer(" . ") == ([], [])
+
+
+def test_question_without_answer_is_no_leak(spark, docs_df):
+    items = spark.createDataFrame([(1, "What colour is the door of the mill? The door is painted green.")], ITEMS)
+    docs = docs_df([(1, "what colour is the door of the mill, he asked and went on along the road"),
+                    (2, "WHAT colour is the door of the mill? The door is painted green!!")])
+    assert [r.doc_id for r in contaminated(docs, items).collect()] == [2]
+
+
+def test_edges(spark, docs_df):
+    items = spark.createDataFrame(
+        [(1, None), (None, "some words that are here"), (2, ""), (3, "..."), (4, "some words that are here")] * 2, ITEMS
+    ).withColumn("doc_id", F.lit(1))
+    docs = docs_df([(1, None), (2, ""), (None, "some words that are here"), (None, "some words that are here"),
+                    (3, "x " * 300_000 + "some words that are here")])
+    docs = docs.withColumns({c: F.lit(1) for c in ("item_id", "hit", "score")})
+    found = contaminated(docs, items).collect()
+    assert sorted((str(r.doc_id), r.item_id) for r in found) == [("3", 4), ("None", 4), ("None", 4)]
+    assert reject_contaminated(docs, items).count() == 2
+    empty = items.limit(0)
+    assert contaminated(docs, empty).count() == 0 and reject_contaminated(docs, empty).count() == 5
+    assert contaminated(docs_df([]), items).count() == 0

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tastes.llm.toxicity import (
+    Lexicon,
+    choose_stems,
+    features,
+    fit_lexicon,
+    fold,
+    reject_toxic,
+    score_toxicity,
+)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["idiot", "IDIOT!", "1d10t", "іdіоt", "ｉｄｉｏｔ", "id*i*ot", "​idiot", "|d!ot"],
+)
+def test_folding_meets_disguises(text):
+    lexicon = Lexicon({fold("idiot").strip(): 2.0})
+    assert features(fold(f"you {text} there"), lexicon.automaton())[2] == 1
+
+
+def test_exceptions_excuse_hits():
+    lexicon = Lexicon({"grab": 2.0}, frozenset({"grab bag", "grabber"}))
+    found = [features(fold(t), lexicon.automaton()) for t in ("a grab", "a grab bag", "the grabber", "grab grabs")]
+    assert [f[2] for f in found] == [1, 0, 0, 2]
+
+
+def test_weights_are_normalised_by_length():
+    automaton = Lexicon({"bad": 1.0}).automaton()
+    short, long = (features(fold("bad " + "x " * n), automaton) for n in (10, 1000))
+    assert short[0] == long[0] and short[1] > long[1]
+
+
+def test_nested_stems_keep_the_most_evidence():
+    counts = [("abc", 0, 30), ("abcd", 0, 30), ("abcde", 0, 9), ("the", 300, 30), ("rare", 0, 2)]
+    assert list(choose_stems(counts, 300, 40)) == ["abc"]
+
+
+def _corpus(n=600):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice("alpha beta gamma delta sigma omega kappa lambda".split()) for _ in range(60)]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(60), rng.choice(["vrokan", "vrokil", "zumpf"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_learns_and_rejects(spark, docs_df):
+    rows, labels = _corpus()
+    labels = spark.createDataFrame(labels + [(None, 1), (7, None), (8, 5)], "doc_id long, toxic int")
+    docs = docs_df(rows)
+    lexicon = fit_lexicon(docs, labels, F.col("doc_id") % 3 != 1)
+    found = score_toxicity(docs, lexicon).select("doc_id", "toxicity.*").collect()
+    assert all(r.predicted == int(r.doc_id % 4 == 0) for r in found)
+    assert all(0 <= r.score <= 1 for r in found)
+    kept = {r.doc_id for r in reject_toxic(docs, lexicon).collect()}
+    assert kept == {i for i, _ in rows if i % 4}
+
+
+def test_edges(spark, docs_df):
+    rows, labels = _corpus(200)
+    lexicon = fit_lexicon(docs_df(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    odd = docs_df([(1, None), (2, ""), (3, " \n"), (None, "alpha zumpf zumpf vrokan"), (3, " \n"),
+                   (4, "alpha " * 200_000 + "zumpf")])
+    odd = odd.withColumns({c: F.lit("x") for c in ("score", "hits", "predicted")})
+    found = score_toxicity(odd, lexicon).collect()
+    assert len(found) == 6
+    assert [r.toxicity.predicted for r in found if r.doc_id in (1, 2, 3)] == [0] * 4
+    assert [r.toxicity.predicted for r in found if r.doc_id is None] == [1]
+    assert [r.toxicity.hits for r in found if r.doc_id == 4] == [1]
+    assert reject_toxic(odd, lexicon).columns == odd.columns
+    assert score_toxicity(docs_df([]), lexicon).count() == 0
+
+
+def test_without_labels_nothing_is_toxic(spark, docs_df):
+    docs = docs_df([(1, "zumpf"), (2, None)])
+    for labels in ([], [(1, 1)], [(99, 1), (98, 0)]):
+        lexicon = fit_lexicon(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        assert {r.toxicity.score for r in score_toxicity(docs, lexicon).collect()} == {0.0}
