@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tastes.llm.quality import Rule, judge
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def measured(text):
+    w = WORD.findall(text or "")
+    windows = list(zip(w, w[1:], w[2:], strict=False))
+    counts, under = Counter(windows), set()
+    for k, x in enumerate(windows):
+        if counts[x] > 1:
+            under |= {k, k + 1, k + 2}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (
+        len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
+        len(under), len(w) < 50 or 100 * len(under) > 50 * len(w),
+    )
+
+
+def test_measures_equal_brute_force(docs_df):
+    rng = random.Random(6)
+    alphabet = ["a", "b", "c", "dé", "#", "$x", "|", "\n", " ", "\t", "\x0b", "  ", "e!", " "]
+    texts = ["".join(rng.choice(alphabet) + rng.choice(["", " "]) for _ in range(rng.randint(0, 250))) for _ in range(300)]
+    texts += [None, "", " ", "a", "a b", "a b c", "a a a a", "\n\n", "x y z " * 30_000]
+    found = judge(docs_df(list(enumerate(texts)))).collect()
+    assert {r.doc_id: tuple(r[c] for c in COLUMNS) for r in found} == {
+        i: measured(t) for i, t in enumerate(texts)
+    }
+
+
+def test_rules_name_what_failed(docs_df):
+    rng = random.Random(1)
+    plain = " ".join(f"the w{rng.randrange(10**6)}" for _ in range(100))
+    rows = [(1, plain), (2, plain.replace(" ", "%% ")), (3, plain.upper().replace(" ", "!! ")),
+            (4, plain.replace("the ", "")), (5, "the short one")]
+    found = {r.doc_id: r for r in judge(docs_df(rows)).collect()}
+    assert [found[i].kept for i in range(1, 6)] == [True, False, False, False, False]
+    assert found[2].failed_rules == ["symbol_ratio"] and found[3].failed_rules == ["bang_ratio"]
+    assert found[4].failed_rules == ["stop_word_deficit"] and found[5].base_failed
+
+
+def test_table_of_rules_is_a_parameter(docs_df):
+    rows = [(1, " ".join(f"word{i}" for i in range(60)))]
+    rules = (Rule("n_words", least=10, most=59),)
+    assert judge(docs_df(rows), rules).first().failed_rules == ["n_words"]
+    assert judge(docs_df(rows), ()).first().kept
+
+
+def test_one_projection_without_user_functions(docs_df):
+    plan = judge(docs_df([(1, "a")], 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan and "Join" not in plan
+
+
+def test_clashing_columns_and_empty_table(docs_df):
+    docs = docs_df([(1, "a b")]).withColumns({c: F.lit("x") for c in ("n_words", "kept", "_places")})
+    assert judge(docs).first().n_words == 2
+    assert judge(docs_df([])).count() == 0
