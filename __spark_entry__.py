@@ -26,8 +26,12 @@ from tastes.operators import (
 )
 from tastes.params import TasteParams
 from tastes.plans import contrarian_tastes
+from tastes.sinks import format_report
+from tastes.sources import parse_ratings, parse_titles
 from tastes.sources.tables import (
+    nation_rating_lines,
     nation_ratings,
+    nation_title_lines,
     nation_titles,
     part_ratings,
     part_titles,
@@ -150,6 +154,21 @@ def q_contrarian_tastes(spark: SparkSession, sf_dir: str, mapping: str, p: Taste
     return contrarian_tastes(ratings, titles, p, share_ratings=True)
 
 
+def q_text_rating_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rating_stats(parse_ratings(nation_rating_lines(spark, sf_dir)))
+
+
+def q_text_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_titles(nation_title_lines(spark, sf_dir))
+
+
+def q_text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole question from lines of text to lines of the report."""
+    ratings = parse_ratings(nation_rating_lines(spark, sf_dir))
+    titles = parse_titles(nation_title_lines(spark, sf_dir))
+    return format_report(contrarian_tastes(ratings, titles, NATION, share_ratings=True))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the whole question on the nation mapping at sf0.001."""
     return q_contrarian_tastes(spark, FLAGSHIP_DIR, "nation", FLAGSHIP)
@@ -179,6 +198,9 @@ def taste_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             q_contrarian_tastes, mapping="nation", p=NATION_FEW_POPULAR
         ),
         "contrarian_tastes_parts": partial(q_contrarian_tastes, mapping="part", p=PART_PIPELINE),
+        "text_rating_stats": q_text_rating_stats,
+        "text_titles": q_text_titles,
+        "text_report": q_text_report,
         # M above the bitmask limit: the pipeline's general division path.
         "contrarian_tastes_many_items": partial(
             q_contrarian_tastes, mapping="nation", p=NATION_MANY_ITEMS
@@ -220,7 +242,7 @@ _SQL_TITLES = {
     "part": """
   select p_partkey as id, cast(1990 + p_size % 5 as varchar) as "releaseYear",
          p_name as title
-  from part where p_type <> 'PROMO'""",
+  from part""",
 }
 
 
@@ -285,6 +307,13 @@ from picked where rn = 1"""
     )
 
 
+def _as_text(sql: str) -> str:
+    """The nation mapping's SQL with a time of day and a comma in the titles."""
+    return sql.replace(
+        "strftime(l.l_shipdate, '%Y-%m-%d')", "strftime(l.l_shipdate, '%Y-%m-%d') || ' 10:30'"
+    ).replace("n_name as title", "n_name || ', nation' as title")
+
+
 _FAVOURITE_COLUMNS = """
 select "customerId", "movieId", title as "movieTitle", "releaseYear" as "movieReleaseYear",
        rating, "ratingDate"
@@ -339,6 +368,12 @@ having count(distinct "movieId") = (select count(*) from region_items)""",
         "segment_favourites": _sql_base("part")
         + _sql_favourites(_SEGMENT_USERS)
         + _FAVOURITE_COLUMNS,
+        "text_rating_stats": _as_text(_sql_base("nation")) + "\nselect * from stats",
+        "text_titles": _as_text(_sql_base("nation")) + "\nselect * from titles",
+        "text_report": "select \"customerId\" || ',\"' || \"movieTitle\" || '\",' || "
+        '"movieReleaseYear" || \',\' || "ratingDate" as line from ('
+        + _as_text(_sql_pipeline("nation", NATION))
+        + ")",
         "contrarian_tastes": _sql_pipeline("nation", NATION),
         "contrarian_tastes_few_popular": _sql_pipeline("nation", NATION_FEW_POPULAR),
         "contrarian_tastes_parts": _sql_pipeline("part", PART_PIPELINE),

@@ -1,31 +1,14 @@
-"""Join helpers: broadcast only behind a proven size bound.
+"""Join helper: keep the rows of some keys.
 
-A side is broadcast when the caller can prove how many rows it has at most
-(it comes out of a `limit(n)`, or one row per input file, ...). Without a
-bound the join is left to Catalyst and AQE, which broadcast at runtime only
-when the measured shuffle output is under
-`spark.sql.adaptive.autoBroadcastJoinThreshold`, and otherwise keep a
-shuffled join with skew splitting.
+No size hint and no size constant: Catalyst and AQE measure the sides and
+broadcast a small one; otherwise the join is shuffled. An unbounded key set
+is joined bare, with nothing between its scan and the exchange, a shape in
+which AQE can split a hot key's partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest row bound that is broadcast without further checks. Key-only
-# sides are a few tens of bytes per row, so this stays far below the
-# memory of one executor.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def bounded_broadcast(
-    df: DataFrame, max_rows: int | None, row_limit: int = BROADCAST_ROW_LIMIT
-) -> DataFrame:
-    """Hint a broadcast when `df` has at most `max_rows` rows and that is small."""
-    if max_rows is not None and 0 <= max_rows <= row_limit:
-        return F.broadcast(df)
-    return df
 
 
 def restrict_to(
@@ -33,14 +16,14 @@ def restrict_to(
 ) -> DataFrame:
     """Keep rows of `df` whose `column` occurs in `keys`.
 
-    `keys=None` means no restriction. Written as an inner join with the
-    distinct keys, which keeps exactly the rows a left semi join keeps, but
-    which Catalyst does not push below an aggregation in `df`: when `df` is
-    a deduplicated result that other branches of the plan also read, this
-    branch reads that shared result instead of recomputing its input. On a
-    plain scan both forms plan the same broadcast filter.
+    `keys=None` means no restriction. A set with a stated bound comes out of
+    a limit and is written as an inner join with its distinct keys: Catalyst
+    does not push that below an aggregation in `df`, so a deduplicated result
+    that other branches read too is shared, not recomputed. A set without a
+    bound is a left semi join on the bare keys.
     """
     if keys is None:
         return df
-    distinct_keys = keys.select(column).distinct()
-    return df.join(bounded_broadcast(distinct_keys, max_keys), column)
+    if max_keys is not None:
+        return df.join(keys.select(column).distinct(), column)
+    return df.join(keys.select(column), column, "left_semi")

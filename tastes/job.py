@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,29 +38,37 @@ def input_bytes(spark: SparkSession, directory: str) -> int:
     return int(row["bytes"] or 0)
 
 
-def size_shuffle_partitions(spark: SparkSession, directory: str) -> int:
-    """Raise the shuffle parallelism to about one partition per 128 MiB of input.
+def wanted_shuffle_partitions(spark: SparkSession, directory: str) -> int:
+    """About one partition per 128 MiB of input, never below the session's setting.
 
     AQE coalesces small partitions but never splits the initial count, so at
     scale the count must start high enough for partitions to fit in memory.
-    The session's setting is only ever raised.
+    A non-numeric setting is left to its owner (0).
     """
     setting = spark.conf.get(SHUFFLE_PARTITIONS)
-    if not setting.isdigit():  # a non-numeric setting is left to its owner
+    if not setting.isdigit():
         return 0
-    current = int(setting)
-    wanted = max(current, math.ceil(input_bytes(spark, directory) / BYTES_PER_PARTITION))
-    if wanted != current:
+    return max(int(setting), math.ceil(input_bytes(spark, directory) / BYTES_PER_PARTITION))
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, wanted: int) -> Iterator[None]:
+    """Run a job with `wanted` shuffle partitions (0: as set), then restore the setting."""
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    if wanted:
         spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
-    return wanted
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
-    """The report DataFrame for `params`, not yet written."""
-    if params.partitions is not None:
-        spark.conf.set(SHUFFLE_PARTITIONS, str(params.partitions))
-    else:
-        size_shuffle_partitions(spark, params.ratings_dir)
+    """The report DataFrame for `params`.
+
+    Lazy but for one step: with `materialize_ratings` the parsed ratings are
+    written as parquet before this returns.
+    """
     parsed = read_ratings(spark, params.ratings_dir)
     ratings = materialize(spark, parsed, "ratings") if params.materialize_ratings else parsed
     titles = read_titles(spark, params.titles_file)
@@ -71,7 +80,9 @@ def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
 
 def run_job(spark: SparkSession, params: JobParams) -> None:
     """Compute the report and write it to `params.output_dir`."""
-    write_report(build_report(spark, params), params.output_dir)
+    wanted = params.partitions or wanted_shuffle_partitions(spark, params.ratings_dir)
+    with shuffle_partitions(spark, wanted):
+        write_report(build_report(spark, params), params.output_dir)
 
 
 def parse_args(argv: Sequence[str] | None = None) -> JobParams:
@@ -80,17 +91,20 @@ def parse_args(argv: Sequence[str] | None = None) -> JobParams:
         prog="tastes",
         description="Items well loved by users who dislike what most users like.",
     )
-    parser.add_argument("--ratings-dir", "--movie-ratings-dir", required=True)
-    parser.add_argument("--titles-file", "--movie-titles-file", required=True)
-    parser.add_argument("--output-dir", required=True)
+    # The original job's long and short option names.
+    parser.add_argument("--ratings-dir", "--movie-ratings-dir", "-mrd", required=True)
+    parser.add_argument("--titles-file", "--movie-titles-file", "-mtf", required=True)
+    parser.add_argument("--output-dir", "-o", required=True)
+    parser.add_argument(
+        "--min-ratings", "--min-rate-users-number", "-mrun", type=int, default=defaults.min_ratings
+    )
     parser.add_argument(
-        "--min-ratings", "--min-rate-users-number", type=int, default=defaults.min_ratings
+        "--top-items", "--top-movies-number", "-tmn", type=int, default=defaults.top_items
     )
-    parser.add_argument("--top-items", "--top-movies-number", type=int, default=defaults.top_items)
     parser.add_argument(
-        "--top-users", "--contrarian-users-number", type=int, default=defaults.top_users
+        "--top-users", "--contrarian-users-number", "-cun", type=int, default=defaults.top_users
     )
-    parser.add_argument("--partitions", "--partitions-number", type=int, default=None)
+    parser.add_argument("--partitions", "--partitions-number", "-pn", type=int, default=None)
     parser.add_argument(
         "--inclusive", action="store_true", help="popular means at least R ratings, not more"
     )

@@ -2,9 +2,8 @@
 contrarian users among them.
 
 The pipeline's item set is small by construction (it comes out of
-`top_items`, so it has at most `top_n` rows). It is broadcast once,
-together with its own size, and the big ratings side is filtered map-side
-without a shuffle.
+`top_items`, so it has at most `top_n` rows). It travels once, together with
+its own size; a set that exceeds its stated bound fails the job.
 
 The division is exact in both of its forms, and no user's ratings are ever
 collected into one list:
@@ -12,12 +11,12 @@ collected into one list:
 * bounded set of at most 63 items (the pipeline's top items): every item
   gets one bit, and one aggregation by user ORs the bits together with the
   rating sum and row count. "Rated all" is `bit_count(mask) = set size`.
-  One shuffle, partially aggregated map-side, so a heavy user moves one
-  row per map partition.
+  Two shuffles of the filtered rows (their dedup, then one row per user and
+  map partition).
 * larger set: two partial aggregations, (user, item) and then user,
-  counting distinct items exactly. A bounded set carries its size through
-  the broadcast join; an unbounded one gets it from a scalar subquery (a
-  partial count, not a window in one task).
+  counting distinct items exactly. An unbounded set is joined bare between
+  the two, so a hot item's partition can be split, and its size comes from a
+  scalar subquery (a partial count, not a window in one task).
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastes.functions.joins import bounded_broadcast, restrict_to
+from tastes.functions.joins import restrict_to
 from tastes.operators.ranking import with_position
 from tastes.schemas import (
     AVG_RATING,
@@ -50,21 +49,30 @@ def _rating_rows(ratings: DataFrame) -> DataFrame:
     )
 
 
-def _items_with_size(items: DataFrame) -> DataFrame:
+def _items_with_size(items: DataFrame, max_items: int) -> DataFrame:
     """Distinct item ids, each carrying the number of distinct ids.
 
-    The count is a window without a partition key: only for item sets with
-    a small proven bound.
+    The count is a window without a partition key: only for item sets that
+    come out of a limit. More ids than the stated bound fail the job.
     """
     ids = items.select(MOVIE_ID).distinct()
-    return ids.withColumn(_SET_SIZE, F.count(F.lit(1)).over(Window.partitionBy()))
+    size = F.count(F.lit(1)).over(Window.partitionBy())
+    return ids.withColumn(_SET_SIZE, size).withColumn(
+        _SET_SIZE,
+        F.when(
+            F.col(_SET_SIZE) > max_items,
+            F.raise_error(F.lit("item set exceeds its stated bound")),
+        ).otherwise(F.col(_SET_SIZE)),
+    )
 
 
 def item_ratings(
     ratings: DataFrame, items: DataFrame, max_items: int | None = None
 ) -> DataFrame:
     """Distinct rating rows of the given items."""
-    return restrict_to(_rating_rows(ratings), items, MOVIE_ID, max_items).distinct()
+    if max_items is not None:
+        return restrict_to(_rating_rows(ratings), items, MOVIE_ID, max_items).distinct()
+    return restrict_to(_rating_rows(ratings).distinct(), items, MOVIE_ID)
 
 
 def rated_all(
@@ -74,49 +82,51 @@ def rated_all(
 
     "Every item" compares distinct item ids, so rating one item twice does
     not stand in for another. The average is over distinct rating rows, so
-    a user's repeat ratings of one item all count.
+    a user's repeat ratings of one item all count; a row without a rating is
+    a row but takes no part in the average, as in `rating_stats`.
     """
     if max_items is not None and max_items <= BITMASK_ITEMS:
         return _rated_all_bitmask(ratings, items, max_items)
     if max_items is not None:
-        # Bounded: the set travels once, broadcast with its own size.
-        sized = bounded_broadcast(_items_with_size(items), max_items)
+        # Bounded: the set travels once, with its own size.
+        sized = _items_with_size(items, max_items)
         rows = _rating_rows(ratings).join(sized, MOVIE_ID).distinct()
         set_size = F.max(_SET_SIZE)
     else:
-        # Unbounded: partial counts merged by a scalar subquery, no
-        # single-task window over the set.
-        ids = items.select(MOVIE_ID).distinct()
-        rows = restrict_to(_rating_rows(ratings), ids, MOVIE_ID).distinct()
+        rows = _rating_rows(ratings).distinct()
+        ids = items.select(MOVIE_ID).where(F.col(MOVIE_ID).isNotNull()).distinct()
         set_size = F.lit(ids.select(F.count(F.lit(1))).scalar())
     per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
         F.sum(RATING).alias("_sum"),
+        F.count(RATING).alias("_rated"),
         F.count(F.lit(1)).alias("_rows"),
         set_size.alias(_SET_SIZE),
     )
+    if max_items is None:
+        # After the aggregation: its order of keys is not the join's, so the
+        # join has exchanges of its own, which AQE can split.
+        per_item = restrict_to(per_item, items, MOVIE_ID)
     per_user = per_item.groupBy(CUSTOMER_ID).agg(
         F.count(F.lit(1)).alias("_items"),
         F.sum("_sum").alias("_sum"),
+        F.sum("_rated").alias("_rated"),
         F.sum("_rows").alias("_rows"),
         F.max(_SET_SIZE).alias(_SET_SIZE),
     )
     return per_user.where(F.col("_items") == F.col(_SET_SIZE)).select(
         CUSTOMER_ID,
-        (F.col("_sum") / F.col("_rows")).alias(AVG_RATING),
+        (F.col("_sum") / F.nullif(F.col("_rated"), F.lit(0))).alias(AVG_RATING),
         F.col("_rows").alias(RATINGS_COUNT),
     )
 
 
 def _rated_all_bitmask(ratings: DataFrame, items: DataFrame, max_items: int) -> DataFrame:
-    size = F.col(_SET_SIZE)
     indexed = (
-        _items_with_size(items)
+        _items_with_size(items, max_items)
         .withColumn("_index", F.row_number().over(Window.orderBy(MOVIE_ID)) - 1)
         .select(
             MOVIE_ID,
-            F.when(size > max_items, F.raise_error(F.lit("item set exceeds its stated bound")))
-            .otherwise(size)
-            .alias(_SET_SIZE),
+            _SET_SIZE,
             F.expr("shiftleft(cast(1 as bigint), _index)").alias(_BIT),
         )
     )
@@ -124,12 +134,13 @@ def _rated_all_bitmask(ratings: DataFrame, items: DataFrame, max_items: int) ->
     per_user = rows.groupBy(CUSTOMER_ID).agg(
         F.bit_or(_BIT).alias("_mask"),
         F.sum(RATING).alias("_sum"),
+        F.count(RATING).alias("_rated"),
         F.count(F.lit(1)).alias("_rows"),
         F.max(_SET_SIZE).alias(_SET_SIZE),
     )
     return per_user.where(F.bit_count("_mask") == F.col(_SET_SIZE)).select(
         CUSTOMER_ID,
-        (F.col("_sum") / F.col("_rows")).alias(AVG_RATING),
+        (F.col("_sum") / F.nullif(F.col("_rated"), F.lit(0))).alias(AVG_RATING),
         F.col("_rows").alias(RATINGS_COUNT),
     )
 

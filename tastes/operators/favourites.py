@@ -6,7 +6,9 @@ by release year (newest), title (first), rating date (latest) and item id
 (lowest). A user whose best-rated items all lack a title drops out; they do
 not fall back to a lower rating.
 
-Plan: one scan. Rows are left-joined to the titles and one row per user is
+Plan: one scan. Rows are left-joined to the bare titles (a repeated title id
+gives a row per title; the pick's own order takes the newest year and the
+first title, as `unique_titles` would) and one row per user is
 picked by (rating desc, titled first, year desc, title asc, date desc, id
 asc). The pick has the user's overall maximum rating, and it is titled
 exactly when some row at that maximum is titled, so dropping an untitled
@@ -15,9 +17,10 @@ pick gives the rule above. `row_number() = 1` is planned as a partial
 still moves one row per map partition.
 
 `best_ratings` (all rows at the maximum, ties kept) cannot shrink to one
-row per user, so it aggregates the maxima (partial, map-side) and joins
-them back; a bounded user set is broadcast, an unbounded one is a shuffled
-join that AQE splits when one user is skewed.
+row per user, so it removes duplicates first, aggregates the maxima
+(partial, map-side) and joins them back: nothing above the join needs its
+distribution, so AQE can split a hot user. An unbounded user set of
+`user_max_rating` is joined after the aggregation, one row per user.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastes.functions.joins import bounded_broadcast, restrict_to
-from tastes.operators.ranking import unique_titles
+from tastes.functions.joins import restrict_to
+from tastes.operators.ranking import distinct_ratings
 from tastes.schemas import (
     CUSTOMER_ID,
     ID,
@@ -39,6 +42,7 @@ from tastes.schemas import (
     RATING_DATE,
     RELEASE_YEAR,
     TITLE,
+    TITLE_COLUMNS,
 )
 
 
@@ -46,25 +50,26 @@ def user_max_rating(
     ratings: DataFrame, users: DataFrame | None = None, max_users: int | None = None
 ) -> DataFrame:
     """Highest rating per user, over all of that user's ratings."""
-    rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
-    return rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(MAX_RATING))
-
-
-def _rows_at_max(
-    ratings: DataFrame, users: DataFrame | None, max_users: int | None
-) -> DataFrame:
-    rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
-    # The maximum is named `rating`, so the join keeps rows whose
-    # (customerId, rating) is a user's (customerId, maximum).
-    maxima = rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(RATING))
-    return rows.join(bounded_broadcast(maxima, max_users), [CUSTOMER_ID, RATING], "left_semi")
+    if max_users is not None:
+        rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
+        return rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(MAX_RATING))
+    maxima = ratings.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(MAX_RATING))
+    return restrict_to(maxima, users, CUSTOMER_ID)
 
 
 def best_ratings(
     ratings: DataFrame, users: DataFrame | None = None, max_users: int | None = None
 ) -> DataFrame:
     """Distinct rating rows at their user's maximum rating; all ties kept."""
-    return _rows_at_max(ratings, users, max_users).distinct()
+    if users is None or max_users is not None:
+        rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
+        rows = distinct_ratings(rows)
+    else:
+        rows = restrict_to(distinct_ratings(ratings), users, CUSTOMER_ID)
+    # The maximum is named `rating`, so the join keeps rows whose
+    # (customerId, rating) is a user's (customerId, maximum).
+    maxima = rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(RATING))
+    return rows.join(maxima, [CUSTOMER_ID, RATING], "left_semi")
 
 
 def favourite_order() -> list:
@@ -85,11 +90,11 @@ def favourites(
 ) -> DataFrame:
     """One favourite per user: their best-rated titled item, tie-broken.
 
-    `users=None` means every user; otherwise only users in `users`, which
-    is broadcast when `max_users` bounds it.
+    `users=None` means every user; otherwise only users in `users`, at most
+    `max_users` of them where that is stated.
     """
     rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
-    named = unique_titles(titles)
+    named = titles.select(*TITLE_COLUMNS)
     joined = rows.join(named, rows[MOVIE_ID] == named[ID], "left")
     pick = Window.partitionBy(CUSTOMER_ID).orderBy(
         F.col(RATING).desc(), F.col(ID).isNull().asc(), *favourite_order()

@@ -1,5 +1,5 @@
 """Sinks: the CSV report."""
 
-from tastes.sinks.report import write_report
+from tastes.sinks.report import format_report, write_report
 
-__all__ = ["write_report"]
+__all__ = ["format_report", "write_report"]

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tastes.schemas import REPORT_COLUMNS
 
 
+def format_report(report: DataFrame) -> DataFrame:
+    """The report's CSV lines (column `line`), as `write_report` writes them."""
+    return report.select(F.to_csv(F.struct(*REPORT_COLUMNS), {"sep": ","}).alias("line"))
+
+
 def write_report(report: DataFrame, output_dir: str) -> None:
     """Write the report as a single CSV part file under `output_dir`.
 

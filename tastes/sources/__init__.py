@@ -8,13 +8,15 @@ from tastes.sources.tables import (
     region_nations,
     segment_customers,
 )
-from tastes.sources.text import read_ratings, read_titles
+from tastes.sources.text import parse_ratings, parse_titles, read_ratings, read_titles
 
 __all__ = [
     "nation_ratings",
     "nation_titles",
     "part_ratings",
     "part_titles",
+    "parse_ratings",
+    "parse_titles",
     "read_ratings",
     "read_titles",
     "region_nations",

@@ -6,8 +6,8 @@ the ship date.
 
 * nation mapping (dense, few items): the item is the supplier's nation;
   titles are the nations.
-* part mapping (sparse, many ties): the item is the part; titles cover the
-  catalogue except promotional parts, so some rated items have no title.
+* part mapping (sparse, many ties): the item is the part, titles are the
+  parts.
 
 Rows are not deduplicated here: a customer who bought the same quantity
 from two suppliers of one nation on one day gives two identical rating
@@ -31,7 +31,6 @@ STAR_LEVELS = 5
 FIRST_RELEASE_YEAR = 2000
 FIRST_PART_RELEASE_YEAR = 1990
 PART_YEAR_SPREAD = 5
-UNTITLED_PART_TYPE = "PROMO"
 
 
 # The columns read from each driver table, with their stored types. Declaring
@@ -48,7 +47,7 @@ TABLE_COLUMNS = {
     "orders": [("o_orderkey", _LONG), ("o_custkey", _LONG)],
     "supplier": [("s_suppkey", _LONG), ("s_nationkey", _INT)],
     "nation": [("n_nationkey", _INT), ("n_name", _STRING), ("n_regionkey", _INT)],
-    "part": [("p_partkey", _LONG), ("p_name", _STRING), ("p_type", _STRING), ("p_size", _INT)],
+    "part": [("p_partkey", _LONG), ("p_name", _STRING), ("p_size", _INT)],
     "customer": [("c_custkey", _LONG), ("c_mktsegment", _STRING)],
 }
 
@@ -100,17 +99,35 @@ def part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of non-promotional parts: (id BIGINT, releaseYear STRING, title STRING)."""
-    return (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_type") != UNTITLED_PART_TYPE)
-        .select(
-            F.col("p_partkey").alias(ID),
-            (F.lit(FIRST_PART_RELEASE_YEAR) + F.col("p_size") % PART_YEAR_SPREAD)
-            .cast("string")
-            .alias(RELEASE_YEAR),
-            F.col("p_name").alias(TITLE),
-        )
+    """Titles of parts: (id BIGINT, releaseYear STRING, title STRING)."""
+    year = F.lit(FIRST_PART_RELEASE_YEAR) + F.col("p_size") % PART_YEAR_SPREAD
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias(ID),
+        year.cast("string").alias(RELEASE_YEAR),
+        F.col("p_name").alias(TITLE),
+    )
+
+
+def nation_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation ratings as lines of rating files: (file, value), headers included.
+
+    The date carries a time of day, so rating lines hold colons too.
+    """
+    file = F.concat(F.lit("mv_"), F.col(MOVIE_ID).cast("string"), F.lit(".txt")).alias("file")
+    dated = F.concat(F.col(RATING_DATE), F.lit(" 10:30"))
+    ratings = nation_ratings(spark, sf_dir).select(
+        file, F.concat_ws(",", CUSTOMER_ID, RATING, dated).alias("value")
+    )
+    items = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(MOVIE_ID))
+    headers = items.select(file, F.concat(F.col(MOVIE_ID).cast("string"), F.lit(":")).alias("value"))
+    return headers.union(ratings)
+
+
+def nation_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation titles as lines of a titles file: (value); titles hold a comma."""
+    title = F.concat(F.col(TITLE), F.lit(", nation"))
+    return nation_titles(spark, sf_dir).select(
+        F.concat_ws(",", F.col(ID).cast("string"), RELEASE_YEAR, title).alias("value")
     )
 
 

@@ -7,15 +7,19 @@ Rating files (one per item)::
     ...
 
 The files are read line by line, never whole: a blockbuster's file is split
-across tasks like any other large text file. A header line carries the item
-id for the lines of its file, so header lines (the ones with a colon) are
-aggregated to one row per file and joined back on the file path. That side
-has at most one row per input file, a bound known from the file listing
-before anything runs; it is broadcast when that bound is small, and left to
-a shuffled join (with AQE's skew splitting) otherwise.
-
-Checks run inside the plan, with no extra pass: a file with no header line
-or more than one, and a non-numeric id or rating, fail the job.
+across tasks like any other large text file. A header line (blanks, digits
+with an optional sign, a colon) carries the item id for the lines of its
+file, so header lines are aggregated to one row per file and joined back on
+the file path. Rating lines carry a salt of their own text and every header
+is repeated once per salt, so in a shuffled join a hot file spreads over
+`HEADER_SALTS` tasks; AQE broadcasts the headers where they are small.
+
+`parse_ratings` and `parse_titles` work on any DataFrame of lines; the
+readers add the file scan. Checks run inside the plan, with no extra pass: a
+rating line in a file with no header line or more than one, and a
+non-numeric id or rating, fail the job. A colon elsewhere, as in a time of
+day, is ordinary text. Not checked: that the header is the file's first
+line, as lines of a split file have no order.
 """
 
 from __future__ import annotations
@@ -35,67 +39,67 @@ from tastes.schemas import CUSTOMER_ID, ID, MOVIE_ID, RATING, RATING_DATE, RELEA
 # Fixed values of the file formats.
 RATING_FILES_GLOB = "*.txt"
 HEADER_MARK = ":"
+HEADER_PATTERN = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*:"
 SEPARATOR = ","
 RATING_FIELDS = 3
 TITLE_FIELDS = 3
 
-# Broadcast the per-file header table while its estimated size stays below this.
-HEADER_BROADCAST_BYTES = 64 * 1024 * 1024
-_HEADER_ROW_OVERHEAD = 48
+# Copies of every header, so that a hot file's lines are dealt over as many tasks.
+HEADER_SALTS = 16
 
-_FILE = "_file"
+FILE = "file"
 
 
-def _header_side(headers: DataFrame, files: list[str], max_bytes: int) -> DataFrame:
-    estimate = sum(len(path) + _HEADER_ROW_OVERHEAD for path in files)
-    return F.broadcast(headers) if estimate <= max_bytes else headers
+def read_ratings(spark: SparkSession, directory: str) -> DataFrame:
+    """Ratings of the `*.txt` files directly in `directory` (see `parse_ratings`)."""
+    lines = (
+        spark.read.option("pathGlobFilter", RATING_FILES_GLOB)
+        .text(directory.strip())
+        .select("value", F.col("_metadata.file_path").alias(FILE))
+    )
+    return parse_ratings(lines)
 
 
-def read_ratings(
-    spark: SparkSession, directory: str, header_broadcast_bytes: int = HEADER_BROADCAST_BYTES
-) -> DataFrame:
+def parse_ratings(lines: DataFrame) -> DataFrame:
     """Ratings as rows (movieId INT, customerId INT, rating INT, ratingDate STRING).
 
-    Only `*.txt` files directly in `directory` are read. Rating lines that
-    do not have exactly three fields (trailing empty fields ignored) are
-    skipped. Exact duplicate lines are kept here; the operators count them
-    once.
+    `lines` has columns `file` and `value`. Rating lines that do not have
+    exactly three fields (trailing empty fields ignored) are skipped. Exact
+    duplicate lines are kept here; the operators count them once.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", RATING_FILES_GLOB)
-        .text(directory.strip())
-        .select("value", F.col("_metadata.file_path").alias(_FILE))
-    )
-    is_header = F.col("value").contains(HEADER_MARK)
+    is_header = F.col("value").rlike(HEADER_PATTERN)
 
     header_id = strict_int(java_trim(F.substring_index("value", HEADER_MARK, 1)), "movie id")
     headers = (
         lines.where(is_header)
-        .groupBy(_FILE)
+        .groupBy(FILE)
         .agg(F.count(F.lit(1)).alias("_headers"), F.min(header_id).alias(MOVIE_ID))
         .select(
-            _FILE,
+            FILE,
             F.when(F.col("_headers") == 1, F.col(MOVIE_ID))
             .otherwise(
-                F.raise_error(F.concat(F.lit("more than one header line in "), F.col(_FILE)))
+                F.raise_error(F.concat(F.lit("more than one header line in "), F.col(FILE)))
             )
             .alias(MOVIE_ID),
+            F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt"),
         )
     )
 
     fields = split_fields(strip_trailing_separators("value", SEPARATOR), SEPARATOR)
     rows = (
         lines.where(~is_header)
-        .select(_FILE, fields.alias("_fields"))
+        .select(
+            FILE,
+            fields.alias("_fields"),
+            F.pmod(F.xxhash64("value"), F.lit(HEADER_SALTS)).cast("int").alias("_salt"),
+        )
         .where(F.size("_fields") == RATING_FIELDS)
     )
-    joined = rows.join(
-        _header_side(headers, lines.inputFiles(), header_broadcast_bytes), _FILE, "left"
-    )
+    joined = rows.join(headers, [FILE, "_salt"], "left")
     return joined.select(
         F.when(
             F.col(MOVIE_ID).isNull(),
-            F.raise_error(F.concat(F.lit("no header line in "), F.col(_FILE))),
+            F.raise_error(F.concat(F.lit("no header line in "), F.col(FILE))),
         )
         .otherwise(F.col(MOVIE_ID))
         .alias(MOVIE_ID),
@@ -106,23 +110,26 @@ def read_ratings(
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
+    """Titles of one file (see `parse_titles`)."""
+    return parse_titles(spark.read.text(path.strip()))
+
+
+def parse_titles(lines: DataFrame) -> DataFrame:
     """Titles as rows (id INT, releaseYear STRING, title STRING).
 
     Each line is split into at most three fields, so a title keeps its
-    commas. Quotes are literal text. Lines with fewer than three fields or
-    an empty title are skipped; a non-numeric id fails the job. Repeated ids
-    are kept here and resolved by `unique_titles` in the operators.
+    commas, a trailing one too. Quotes are literal text. Lines with fewer
+    than three fields or nothing after the second comma are skipped; a title
+    of blanks is an empty title. A non-numeric id fails the job. Repeated
+    ids are kept here and resolved by the operators.
     """
     fields = split_fields("value", SEPARATOR, TITLE_FIELDS)
     return (
-        spark.read.text(path.strip())
-        .select(fields.alias("_fields"))
-        .where(F.size("_fields") == TITLE_FIELDS)
+        lines.select(fields.alias("_fields"))
+        .where((F.size("_fields") == TITLE_FIELDS) & (field(F.col("_fields"), 2) != ""))
         .select(
-            java_trim(field(F.col("_fields"), 0)).alias("_id"),
+            strict_int(java_trim(field(F.col("_fields"), 0)), "title id").alias(ID),
             java_trim(field(F.col("_fields"), 1)).alias(RELEASE_YEAR),
             java_trim(field(F.col("_fields"), 2)).alias(TITLE),
         )
-        .where(F.col(TITLE) != "")
-        .select(strict_int(F.col("_id"), "title id").alias(ID), RELEASE_YEAR, TITLE)
     )

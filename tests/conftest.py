@@ -21,6 +21,24 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """No side is small enough to broadcast, at planning or at run time."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
 def write_rating_files(directory: Path, files: dict[str, str]) -> Path:
     """Write {file name: text} into `directory` and return it."""
     directory.mkdir(parents=True, exist_ok=True)

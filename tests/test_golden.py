@@ -163,14 +163,26 @@ def test_shuffle_partitions_sized_from_input(spark, tmp_path, monkeypatch):
     job = sys.modules["tastes.job"]
     ratings, _ = write_golden(tmp_path)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert job.input_bytes(spark, str(ratings)) == sum(
-            p.stat().st_size for p in ratings.glob("*.txt")
-        )
-        # a small input never lowers the session setting
-        assert job.size_shuffle_partitions(spark, str(ratings)) == int(before)
-        # a large one raises it: with a target of one byte per partition
-        monkeypatch.setattr(job, "BYTES_PER_PARTITION", 1)
-        assert job.size_shuffle_partitions(spark, str(ratings)) > int(before)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert job.input_bytes(spark, str(ratings)) == sum(
+        p.stat().st_size for p in ratings.glob("*.txt")
+    )
+    # a small input never lowers the session setting
+    assert job.wanted_shuffle_partitions(spark, str(ratings)) == int(before)
+    # a large one raises it: with a target of one byte per partition
+    monkeypatch.setattr(job, "BYTES_PER_PARTITION", 1)
+    assert job.wanted_shuffle_partitions(spark, str(ratings)) > int(before)
+
+
+def test_a_job_restores_the_session(spark, tmp_path):
+    ratings, titles = write_golden(tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run_job(
+        spark, JobParams(str(ratings), str(titles), str(tmp_path / "a"), GOLDEN_PARAMS, partitions=3)
+    )
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_short_option_names():
+    params = parse_args("-mrd r -mtf t -o o -mrun 5 -tmn 3 -cun 4 -pn 8".split())
+    assert (params.ratings_dir, params.titles_file, params.output_dir) == ("r", "t", "o")
+    assert params.tastes == GOLDEN_PARAMS and params.partitions == 8

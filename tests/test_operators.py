@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -116,11 +117,21 @@ def test_contrarian_users_tie_goes_to_lower_id(ratings_df):
     assert rows(got, "position", "customerId") == [(1, 40), (2, 20)]
 
 
-def test_bitmask_bound_violation_fails(ratings_df):
+@pytest.mark.parametrize("more", [0, 70])
+def test_bound_violation_fails(ratings_df, more):
     items = ratings_df([(1, 0, 0, ""), (2, 0, 0, ""), (3, 0, 0, "")]).select("movieId")
     r = ratings_df([(1, 10, 3, "d")])
-    with pytest.raises(Exception):
-        rated_all(r, items, max_items=2).collect()
+    items = items.union(ratings_df([(10 + i, 0, 0, "") for i in range(more)]).select("movieId"))
+    with pytest.raises(PySparkException, match="exceeds its stated bound"):
+        rated_all(r, items, max_items=2 + max(0, more - 1)).collect()
+
+
+@pytest.mark.parametrize("bound", [None, 1, 100])
+def test_rows_without_a_rating_count_but_take_no_part_in_averages(ratings_df, bound):
+    items = ratings_df([(1, 0, 0, "")]).select("movieId")
+    r = ratings_df([(1, 10, 4, "d"), (1, 10, None, "d"), (1, 11, None, "d")])
+    assert rows(rated_all(r, items, bound)) == [(10, 4.0, 2), (11, None, 1)]
+    assert rows(rating_stats(r)) == [(1, 4.0, 3)]
 
 
 # --- favourites -------------------------------------------------------------------

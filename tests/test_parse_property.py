@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 
 import pytest
+from pyspark.errors import PySparkException
 from conftest import write_rating_files
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -88,7 +89,7 @@ def test_random_files_follow_the_line_rules(spark, tmp_path, files):
     expected = expected_rows(files)
     df = read_ratings(spark, str(directory))
     if expected is None:
-        with pytest.raises(Exception):
+        with pytest.raises(PySparkException, match="malformed"):
             df.collect()
     else:
         assert sorted(tuple(r) for r in df.collect()) == expected

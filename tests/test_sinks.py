@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tastes.schemas import REPORT_SCHEMA
 from tastes.sinks import write_report
@@ -29,7 +30,7 @@ def test_existing_output_fails(spark, tmp_path):
     df = spark.createDataFrame([(1, "A", "2000", "2005-01-01")], REPORT_SCHEMA)
     out = tmp_path / "report"
     write_report(df, str(out))
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException, match="already exists"):
         write_report(df, str(out))
 
 

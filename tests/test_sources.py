@@ -5,7 +5,10 @@ from __future__ import annotations
 import pytest
 from conftest import rating_file, write_rating_files
 
-from tastes.sources.text import read_ratings, read_titles
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tastes.sources.text import parse_ratings, read_ratings, read_titles
 
 
 def rows(df):
@@ -101,7 +104,7 @@ def test_large_file_split_across_tasks_keeps_its_header(spark, tmp_path):
 )
 def test_ratings_malformed_input_fails(spark, tmp_path, files):
     d = write_rating_files(tmp_path / "r", files)
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="malformed|no header line|more than one header"):
         read_ratings(spark, str(d)).collect()
 
 
@@ -138,17 +141,40 @@ def test_titles_first_line_with_comma(spark, tmp_path):
 def test_titles_bad_id_fails(spark, tmp_path):
     path = tmp_path / "titles.txt"
     path.write_text("one,2000,Title\n")
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="malformed title id"):
         read_titles(spark, str(path)).collect()
 
 
-def test_header_join_without_broadcast_gives_same_rows(spark, tmp_path):
+def test_header_join_without_broadcast_gives_same_rows(spark, tmp_path, shuffled_joins):
     files = {f"mv_{m}.txt": rating_file(m, [f"{u},{(u + m) % 5 + 1},2005-01-0{m}" for u in range(30)]) for m in range(1, 6)}
     d = write_rating_files(tmp_path / "r", files)
-    broadcast = read_ratings(spark, str(d))
-    shuffled = read_ratings(spark, str(d), header_broadcast_bytes=0)
-    assert rows(broadcast) == rows(shuffled)
-    assert len(rows(shuffled)) == 150
+    shuffled = rows(read_ratings(spark, str(d)))
+    assert len(shuffled) == 150
+    assert shuffled == sorted((m, u, (u + m) % 5 + 1, f"2005-01-0{m}") for m in range(1, 6) for u in range(30))
+
+
+def test_a_colon_outside_the_header_is_text(spark, tmp_path):
+    d = write_rating_files(
+        tmp_path / "r",
+        {"a.txt": "1:\n10,3,2005-01-01 10:30\n11,4,12:00:00\n", "b.txt": "12,5,2005-01-01\n 2 :\n", "c.txt": ""},
+    )
+    assert rows(read_ratings(spark, str(d))) == [
+        (1, 10, 3, "2005-01-01 10:30"), (1, 11, 4, "12:00:00"), (2, 12, 5, "2005-01-01")]
+
+
+def test_hot_file_is_dealt_over_many_tasks(spark, shuffled_joins):
+    lines = spark.range(20000).selectExpr("'big' as file", "concat(id, ',', id % 5 + 1, ',d') as value")
+    lines = lines.union(spark.sql("select 'big' as file, '7:' as value"))
+    found = parse_ratings(lines)
+    per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 20000
+    assert max(r["count"] for r in per_task) < 12000
+
+
+def test_titles_of_blanks_and_trailing_commas(spark, tmp_path):
+    path = tmp_path / "titles.txt"
+    path.write_text("1,2000,   \n2,2001,Title,\n3,2002,\n4\n")
+    assert rows(read_titles(spark, str(path))) == [(1, "2000", ""), (2, "2001", "Title,")]
 
 
 def test_duplicates_within_and_across_files_count_once(spark, tmp_path):
