@@ -6,8 +6,9 @@ passage retrieves every item whose BM25 score reaches a share of the item's
 own score (what a passage with all its words gets), by block-max WAND: lists
 sorted by item with a maximum per list and per block, a pivot where the
 maxima could reach the threshold, and skips over blocks that cannot. Before
-that a passage must hold one of the words without which no item reaches the
-threshold, the same safe bound taken once for the whole index.
+that the same safe bound is taken for the whole document: only items that a
+passage of all its words would retrieve go into its lists. They are found by
+the words without all of which an item stays under the threshold.
 
 A retrieved item counts as contaminating when the passage holds its question
 and its answer: the shares of their five-word shingles (of the whole
@@ -38,20 +39,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-RETRIEVE = 0.6
+# A passage with four fifths of an item's shingles has more of its score.
+RETRIEVE = 0.8
 OVERLAP = 0.8
 SHINGLE = 5
 SHARD_ITEMS = 20_000
 BLOCK = 16
-_PUNCTUATION = str.maketrans(
-    {chr(c): " " for c in range(128) if not chr(c).isalnum()}
-    | dict.fromkeys("…–—“”‘’«»¿¡", " ")
-)
+# ASCII punctuation and control characters become blanks.
+_BLANKED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+_MARKS = "…–—“”‘’«»¿¡"
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return text.lower().translate(_PUNCTUATION).split() if text else []
+    if not text:
+        return []
+    if not text.isascii():
+        for mark in _MARKS:
+            text = text.replace(mark, " ")
+    plain = text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED)
+    return plain.decode("utf-8", "surrogatepass").split()
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -81,8 +88,28 @@ def share_within(part: list[str], passage: list[str]) -> float:
     return len(wanted & there) / len(wanted)
 
 
+class Lists:
+    """Lists of (item, impact) by word, with maxima per list and per block."""
+
+    def __init__(self, impacts: dict[int, dict[str, float]]):
+        self.of: dict[str, tuple[list[int], list[float]]] = {}
+        for k in sorted(impacts):
+            for t, x in impacts[k].items():
+                ids, scores = self.of.setdefault(t, ([], []))
+                ids.append(k)
+                scores.append(x)
+        self.most = {t: max(s) for t, (_, s) in self.of.items()}
+        self.blocks = {
+            t: (
+                [ids[min(j + BLOCK, len(ids)) - 1] for j in range(0, len(ids), BLOCK)],
+                [max(s[j : j + BLOCK]) for j in range(0, len(ids), BLOCK)],
+            )
+            for t, (ids, s) in self.of.items()
+        }
+
+
 class Index:
-    """Impact-scored lists of a shard's items, relative to each item's own score."""
+    """Impacts of a shard's items, relative to each item's own score."""
 
     def __init__(self, items: list[tuple[int, str]], retrieve: float = RETRIEVE):
         self.retrieve = retrieve
@@ -94,39 +121,41 @@ class Index:
         counts = [Counter(w) for _, w, _ in kept]
         in_items = Counter(t for c in counts for t in c)
         idf = {t: math.log(1 + (len(kept) - n + 0.5) / (n + 0.5)) for t, n in in_items.items()}
-        self.lists: dict[str, tuple[list[int], list[float]]] = {}
-        self.triggers: set[str] = set()
+        self.impacts: dict[int, dict[str, float]] = {}
+        #: Items by the words without all of which they cannot be retrieved.
+        self.triggers: dict[str, list[int]] = {}
         for k, c in enumerate(counts):
             norm = K1 * (1 - B + B * sum(c.values()) / mean)
             impact = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in c.items()}
             own = sum(impact.values())
+            self.impacts[k] = {t: x / own for t, x in impact.items()}
             rest = 0.0
-            for t, x in sorted(impact.items(), key=lambda e: e[1]):
-                ids, scores = self.lists.setdefault(t, ([], []))
-                ids.append(k)
-                scores.append(x / own)
-                rest += x / own
-                if rest >= retrieve - 1e-9:  # without this word and better ones: too little
-                    self.triggers.add(t)
-        self.most = {t: max(s) for t, (_, s) in self.lists.items()}
-        self.blocks = {
-            t: (
-                [ids[min(j + BLOCK, len(ids)) - 1] for j in range(0, len(ids), BLOCK)],
-                [max(s[j : j + BLOCK]) for j in range(0, len(ids), BLOCK)],
-            )
-            for t, (ids, s) in self.lists.items()
+            for t, x in sorted(self.impacts[k].items(), key=lambda e: e[1]):
+                rest += x
+                if rest >= retrieve - 1e-9:
+                    self.triggers.setdefault(t, []).append(k)
+        self.keys = frozenset(self.triggers)
+
+    def possible(self, words: set[str]) -> dict[int, dict[str, float]]:
+        """The items that some passage of these words could retrieve."""
+        least = self.retrieve - 1e-9
+        found = {k for t in self.keys & words for k in self.triggers[t]}
+        return {
+            k: self.impacts[k]
+            for k in found
+            if sum(x for t, x in self.impacts[k].items() if t in words) >= least
         }
 
-    def search(self, passage: set[str]) -> list[tuple[int, float]]:
+    def search(self, passage: set[str], lists: Lists) -> list[tuple[int, float]]:
         """All items (positions) whose score reaches the threshold, by WAND."""
         least = self.retrieve - 1e-9
-        cursors = [[self.lists[t][0][0], 0, t] for t in passage if t in self.lists]
+        cursors = [[lists.of[t][0][0], 0, t] for t in passage if t in lists.of]
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[0])
             bound, pivot = 0.0, -1
             for n, c in enumerate(cursors):
-                bound += self.most[c[2]]
+                bound += lists.most[c[2]]
                 if bound >= least:
                     pivot = n
                     break
@@ -137,16 +166,14 @@ class Index:
                 pivot += 1
             bound, reach = 0.0, None
             for c in cursors[: pivot + 1]:
-                ends, tops = self.blocks[c[2]]
+                ends, tops = lists.blocks[c[2]]
                 j = bisect_left(ends, item, c[1] // BLOCK)
                 if j < len(ends):
                     bound += tops[j]
                     reach = ends[j] if reach is None else min(reach, ends[j])
             if bound >= least:
                 if cursors[0][0] == item:
-                    total = 0.0
-                    for c in cursors[: pivot + 1]:
-                        total += self.lists[c[2]][1][c[1]]
+                    total = sum(lists.of[c[2]][1][c[1]] for c in cursors[: pivot + 1])
                     if total >= least:
                         found.append((item, total))
                     target = item + 1
@@ -154,13 +181,13 @@ class Index:
                     target = item
             else:
                 # No item up to the nearest block end, or the next list, can do.
-                target = max(item + 1, (reach if reach is not None else item) + 1)
+                target = max(item, item if reach is None else reach) + 1
                 if pivot + 1 < len(cursors):
                     target = min(target, max(item + 1, cursors[pivot + 1][0]))
             moved = []
             for n, c in enumerate(cursors):
                 if n <= pivot and c[0] < target:
-                    ids = self.lists[c[2]][0]
+                    ids = lists.of[c[2]][0]
                     c[1] = bisect_left(ids, target, c[1])
                     if c[1] == len(ids):
                         continue
@@ -170,18 +197,18 @@ class Index:
         return found
 
     def contaminations(self, text: str | None, overlap: float) -> list[tuple]:
-        """(item id, score, question, answer, first word, words) of the best passage of each item."""
+        """(item id, score, question, answer, first word, words) of each item's best passage."""
         words = words_of(text)
-        if not self.triggers or self.triggers.isdisjoint(words):
+        possible = self.possible(set(words)) if words else {}
+        if not possible:
             return []
+        lists = Lists(possible)
         width = max(128, 2 * self.longest)
         stride = width - self.longest
         best: dict[int, tuple] = {}
         for start in range(0, max(1, len(words) - self.longest), stride):
             passage = words[start : start + width]
-            if self.triggers.isdisjoint(passage):
-                continue
-            for k, score in self.search(set(passage)):
+            for k, score in self.search(set(passage), lists):
                 question, answer = self.parts[k]
                 q, a = share_within(question, passage), share_within(answer, passage)
                 if q >= overlap and a >= overlap and (k not in best or score > best[k][1]):
