@@ -1,0 +1,129 @@
+"""The registered queries and the pipeline over the driver's smallest tables."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from test_entry import normalised
+from test_minhash import components
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tastes.llm import queries as llm_queries
+from tastes.llm.bpe import VOCABULARY, vocabulary
+from tastes.llm.common import DOCUMENT_COLUMNS, table
+from tastes.llm.decontaminate import words_of
+from tastes.llm.substring import Splitter, cut_repeats
+from tastes.llm.toxicity import features, fit_lexicon, fold, score
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="driver test data not available")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
+    yield con
+    con.close()
+
+
+def library():
+    ranks = vocabulary(public_tokenizers.path(VOCABULARY)).ranks
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
+def test_every_dealt_operator_is_registered():
+    names = set(entry.queries())
+    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SF)
+    res = duck.execute(entry.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    want = res.fetchall()
+    assert sorted(df.columns) == sorted(cols)
+    assert normalised([tuple(r) for r in df.collect()], df.columns) == normalised(want, cols)
+
+
+def test_held_out_rows(spark, duck):
+    texts = dict(duck.execute("select doc_id, text from documents").fetchall())
+    toxic = dict(duck.execute("select doc_id, toxic from labels").fetchall())
+    rows = entry.queries()["op1_toxicity"](spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts) and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(r.predicted == int(r.score >= 0.7) for r in rows)
+    assert sum(r.predicted for r in rows if toxic.get(r.doc_id) == 0) <= 2
+    rows = entry.queries()["op8_language_id"](spark, SF).collect()
+    langs = dict(duck.execute("select doc_id, lang from documents").fetchall())
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_decontamination_and_bpe_equal_brute_force(spark, duck):
+    texts = duck.execute("select doc_id, text from documents").fetchall()
+    items = [(i, f" {' '.join(words_of(t))} ") for i, t in duck.execute("from benchmark").fetchall()]
+    want = {(d, i) for d, t in texts for i, x in items if x in f" {' '.join(words_of(t))} "}
+    found = entry.queries()["op3_benchmark_decontamination"](spark, SF).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= want
+    enc, got = library(), entry.queries()["op7_byte_level_bpe"](spark, SF).collect()
+    expected = {}
+    for d, t in texts:
+        ids = np.array(enc.encode_ordinary(t or ""), "<u4")
+        expected[d] = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
+
+
+def test_near_duplicates_equal_brute_force(spark, duck):
+    texts = duck.execute("select doc_id, text from documents").fetchall()
+    found = entry.queries()["op5_minhash_near_dedup"](spark, SF).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(texts, 4)
+
+
+def test_pipeline_equals_brute_force(spark, duck):
+    lexicon = fit_lexicon(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    automaton = lexicon.automaton()
+    docs = duck.execute("select doc_id, text from documents order by doc_id").fetchall()
+    docs = [(d, t) for d, t in docs if score(features(fold(t), automaton), lexicon) < 0.7]
+    groups = components(docs, 5)
+    docs = [(d, t) for d, t in docs if groups[d][1] == d]
+    split, first, cut = Splitter(), {}, []
+    for d, t in docs:
+        for units in split(t or ""):
+            for u in units:
+                first.setdefault(u[3], d)
+    for d, t in docs:
+        parts = split(t or "")
+        elsewhere = {u[3] for units in parts for u in units if first[u[3]] < d}
+        cut.append((d, cut_repeats(t, parts, elsewhere, 25, 5)[0] if t else t))
+    items = [f" {' '.join(words_of(t))} " for _, t in duck.execute("from benchmark").fetchall()]
+    docs = [(d, t) for d, t in cut if not any(x in f" {' '.join(words_of(t))} " for x in items)]
+    enc = library()
+    want = {d: (t, len(enc.encode_ordinary(t or ""))) for d, t in docs}
+    got = {r.doc_id: (r.text, r.n_tokens) for r in entry.queries()["pipeline"](spark, SF).collect()}
+    assert got == want
+
+
+def test_stages_handle_odd_tables(spark, docs_df):
+    """Empty, null and repeated rows, and columns that the operators use themselves."""
+    rows = [(1, None), (2, ""), (None, "some words of a text that stays"), (3, "same text here"), (3, "same text here"), (4, "x " * 50_000)]
+    for docs in (docs_df([]), docs_df(rows).selectExpr("*", "1 as score", "2 as rank", "'k' as key", "0 as ids", "1 as sketch")):
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, docs, SF)
+            if n < 4:
+                assert tuple(docs.columns) == DOCUMENT_COLUMNS
+        kept = [r.doc_id for r in docs.collect()]
+        assert kept in ([], kept) and (not kept or sorted(map(str, kept)) == ["1", "2", "3", "4", "None"])
