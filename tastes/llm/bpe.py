@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _NONE = 1 << 62
-_CACHE = 300_000
-_BLOCK_CHARACTERS = 1_000_000
+_CACHE = 200_000
+_BLOCK_CHARACTERS = 500_000
 # Leaves of the trees that are worked on together, and rows at a time.
 _SIZES = (4, 8, 16, 32, 64)
-_ROWS = 1 << 15
+_ROWS = 1 << 13
 
 
 class Vocabulary:
@@ -199,6 +199,44 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class Encoder:
+    """Packed ids of texts; remembers the matches it has seen."""
+
+    def __init__(self, path: str, pattern: str):
+        self.words, self.split = vocabulary(path), regex.compile(pattern)
+        self.seen: dict[str, bytes] = {}
+
+    def __call__(self, texts: pd.Series) -> list[bytes]:
+        out: list[bytes] = []
+        block: list[list[str]] = []
+        size = 0
+        for value in texts:
+            block.append(self.split.findall(value) if value else [])
+            size += len(value) if value else 0
+            if size >= _BLOCK_CHARACTERS:
+                out += self._flush(block)
+                block, size = [], 0
+        return out + self._flush(block)
+
+    def _flush(self, block: list[list[str]]) -> list[bytes]:
+        seen = self.seen
+        new = set().union(*block).difference(seen)
+        if len(seen) + len(new) > _CACHE:
+            seen.clear()
+            new = set().union(*block)
+        names = list(new)
+        ids = self.words.merge_all([p.encode("utf-8") for p in names])
+        seen.update(zip(names, ids, strict=True))
+        return [b"".join(map(seen.__getitem__, pieces)) for pieces in block]
+
+
+def unpack(tokens: dict[int, bytes], packed: bytes | None) -> bytes:
+    """The bytes that packed ids stand for."""
+    if not packed:
+        return b""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
            text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with the packed token ids of its text column."""
@@ -206,33 +244,9 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
 
     @F.pandas_udf("binary")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, split = vocabulary(path), regex.compile(pattern)
-        seen: dict[str, bytes] = {}
+        encoder = Encoder(path, pattern)
         for batch in texts:
-            out: list[bytes] = []
-            block: list[list[str]] = []
-            size = 0
-
-            def flush(out=out, block=block) -> None:
-                new = set().union(*block).difference(seen)
-                if len(seen) + len(new) > _CACHE:
-                    seen.clear()
-                    new = set().union(*block)
-                names = list(new)
-                seen.update(
-                    zip(names, words.merge_all([p.encode("utf-8") for p in names]), strict=True)
-                )
-                out.extend(b"".join(map(seen.__getitem__, pieces)) for pieces in block)
-                block.clear()
-
-            for value in batch:
-                block.append(split.findall(value) if value else [])
-                size += len(value) if value else 0
-                if size >= _BLOCK_CHARACTERS:
-                    flush()
-                    size = 0
-            flush()
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(encoder(batch), dtype=object)
 
     return docs.withColumn(ids, run(text))
 
@@ -246,12 +260,21 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids",
     def run(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = vocabulary(path).tokens
         for batch in packed:
-            yield pd.Series(
-                [
-                    b"".join(map(tokens.__getitem__, np.frombuffer(p, "<u4").tolist())) if p else b""
-                    for p in batch
-                ],
-                dtype=object,
-            )
+            yield pd.Series([unpack(tokens, p) for p in batch], dtype=object)
 
     return encoded.withColumn(decoded, run(ids))
+
+
+def round_trip(docs: DataFrame, path: str | None = None,
+               pattern: str = public_tokenizers.PATTERN, text: str = "text") -> DataFrame:
+    """`docs` with `coded`: ids, and what they decode to, in one Python worker."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, tokens = Encoder(path, pattern), vocabulary(path).tokens
+        for batch in texts:
+            ids = encoder(batch)
+            yield pd.DataFrame({"ids": ids, "decoded": [unpack(tokens, p) for p in ids]})
+
+    return docs.withColumn("coded", run(text))

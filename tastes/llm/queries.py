@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tastes.llm.bpe import decode, encode
+from tastes.llm.bpe import round_trip
 from tastes.llm.common import remainder, table
 from tastes.llm.decontaminate import contaminated
 from tastes.llm.html_text import extract
@@ -64,12 +64,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    coded = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select(
         "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -9,7 +9,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from tastes.llm.bpe import VOCABULARY, decode, encode, vocabulary
+from tastes.llm.bpe import VOCABULARY, decode, encode, round_trip, vocabulary
 
 PATH = public_tokenizers.path(VOCABULARY)
 
@@ -48,4 +48,8 @@ def test_round_trip(docs_df, library):
         want = library.encode_ordinary(r.text or "")
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want
         assert bytes(r.decoded) == (r.text or "").encode()
+    both = round_trip(docs).collect()
+    assert sorted((bytes(r.coded.ids), bytes(r.coded.decoded)) for r in both) == sorted(
+        (bytes(r.ids), bytes(r.decoded)) for r in found
+    )
     assert encode(docs_df([])).count() == 0
