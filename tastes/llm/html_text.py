@@ -213,21 +213,18 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
         )
     )
     token = scratch.save(token, "tokens")
-    valid = (
-        token.where("tag")
-        .groupBy("host")
-        .agg(F.max("rows").alias("rows"))
-    )
+    valid = token.where("tag").groupBy("host").agg(F.max("rows").alias("rows"))
     valid = scratch.save(valid.where(F.col("rows") >= MIN_PAGES), "hosts")
     classes = (
         token.where("tag")
         .join(valid, ["host", "rows"], "left_semi")
         .where(F.col("different") >= MIN_PAGES)
-        .select("host", "vector")
+        .select("host", "vector", "rows")
         .distinct()
     )
     classes = scratch.save(classes, "classes")
-    own = token.where("not tag").join(classes, ["host", "vector"], "left_semi")
+    # Copies cancel in the XOR, so the number of rows is part of the vector.
+    own = token.where("not tag").join(classes, ["host", "vector", "rows"], "left_semi")
     # A template's text comes on every page: no more than a page holds.
     return scratch.save(
         own.groupBy("host").agg(F.collect_set("token").alias("template")), "templates"

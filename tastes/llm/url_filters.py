@@ -81,13 +81,13 @@ def filter_urls(captures: DataFrame, events: DataFrame, fetched: str = "fetched"
     keys = pairs.withColumn("pattern", F.explode(suffixes)).withColumn(
         "_bucket", F.floor(F.col("_day") / BUCKET_DAYS)
     )
-    horizon = pairs.agg(F.max("_day").alias("_last"))
-    spans = validity(events).crossJoin(F.broadcast(horizon)).where("start <= _last")
+    last = pairs.select(F.max("_day")).scalar()  # open intervals end with the captures
+    spans = validity(events).where(F.col("start") <= last)
     bucket = F.sequence(
         F.floor(F.col("start") / BUCKET_DAYS),
-        F.floor(F.least(F.coalesce(F.col("stop") - 1, F.col("_last")), F.col("_last")) / BUCKET_DAYS),
+        F.floor(F.least(F.coalesce(F.col("stop") - 1, last), last) / BUCKET_DAYS),
     )
-    spans = spans.withColumn("_bucket", F.explode(bucket)).drop("_last")
+    spans = spans.withColumn("_bucket", F.explode(bucket))
     held = keys.join(spans, ["pattern", "_bucket"]).where(
         (F.col("start") <= F.col("_day"))
         & (F.col("stop").isNull() | (F.col("_day") < F.col("stop")))

@@ -37,6 +37,14 @@ def test_template_text_of_a_host_without_article(spark):
     assert found[9] == "Welcome to the site\nBody 9\nRest 9\nMade by us"  # one page tells no template
 
 
+def test_text_missing_from_two_copies_is_not_the_templates(spark):
+    page = "<body><div><p>{0}</p><p>Often here</p></div></body>"
+    rows = [(i, "http://a/", page.format(f"Body {i}")) for i in range(6)]
+    rows += [(6 + i, "http://a/", page.format("Twice").replace("<p>Often here</p>", "<p>Other</p>")) for i in range(2)]
+    found = texts(spark, rows)
+    assert found[1] == "Body 1\nOften here" and found[7] == "Twice\nOther"
+
+
 def test_copies_do_not_void_each_other(spark):
     page = "<body><article><p>The same</p></article></body>"
     other = "<body><div><p>Also the same</p></div></body>"
