@@ -41,7 +41,7 @@ from tastes.sources.tables import (
 
 try:  # The subpackage of text operators may be absent.
     from tastes.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if (missing.name or "").split(".")[-1] not in ("llm", "corpus_pipeline"):
         raise
     llm_queries = None
