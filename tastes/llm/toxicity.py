@@ -26,6 +26,7 @@ kinds there is no lexicon: every score is 0.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -206,9 +207,8 @@ def fit_lexicon(
     # Proven bound: at most 2 * fit_rows distinct labels in expectation.
     drawn = F.broadcast(sample.withColumn("half", half))
     rows = docs.select("doc_id", "text").join(drawn, "doc_id")
-    held = Scratch(docs.sparkSession, "toxicity").save(
-        rows.dropDuplicates(["doc_id", "toxic"]), "sample"
-    )
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    held = scratch.save(rows.dropDuplicates(["doc_id", "toxic"]), "sample")
 
     first = held.where("half = 0")
     counted = first.mapInPandas(
@@ -217,6 +217,8 @@ def fit_lexicon(
     by_term = counted.groupBy("kind", "term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
     )
+    # Neither a stem nor an exception is rarer than this in both labels.
+    by_term = scratch.save(by_term.where("toxic >= 4 or clean >= 3"), "terms")
     sizes = Counter({r["toxic"]: r["count"] for r in first.groupBy("toxic").count().collect()})
     if not sizes[0] or not sizes[1]:
         return Lexicon()
@@ -227,9 +229,7 @@ def fit_lexicon(
     if not stems:
         return Lexicon()
     # Words and pairs that hold a stem and yet come in clean documents.
-    starts = F.array(*(F.lit(s) for s in stems))
-    holds = F.exists(starts, lambda s: F.startswith(F.col("term"), s) | F.contains(
-        F.col("term"), F.concat(F.lit(" "), s)))
+    holds = F.col("term").rlike("(?:^| )(?:" + "|".join(map(re.escape, stems)) + ")")
     rate = F.col("clean") / sizes[0] > F.col("toxic") / sizes[1]
     excused = by_term.where("kind <> 'stem' and clean >= 3").where(rate & holds).collect()
     lexicon = Lexicon(stems, frozenset(r["term"] for r in excused))
