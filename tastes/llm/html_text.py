@@ -7,17 +7,21 @@ each page of the host; it is kept as a fingerprint (an XOR of hashed page
 and count pairs), so that it is a partial aggregation however many pages a
 host has. Tokens of a host with one vector form an equivalence class. A
 class is valid when its tokens come on every page of the host, on `MIN_PAGES`
-different pages at least, and hold a tag token: paths nest, so the class
-nests in those of its enclosing elements. Valid classes make the template;
-their text tokens are the template's own text, everything else fills its
-slots.
-
-The main text is what the slots of the content hold: the blocks inside
-`article` elements, else inside the main element, else in the body, outside
-elements that their name, role, class or id marks as menu, header, footer,
-sidebar, notice, advert, form, script, style or comments. Template text is
-dropped outside `article` (copies of one article must not void each other),
-unless nothing would be left.
+different pages at least, and hold a tag token. A text token is the template's
+own when it nests in a tag token of its class, that is, when an element around
+it comes as often on every page; everything else fills the template's slots.
+
+Text in articles is deduced like any other, but over contents instead of
+pages: the content beside a text is the longest block of the article's path
+with most text, that text left out. Copies of an article, with another
+headline or another frame, are one content and cannot void each other.
+
+The main text is what the slots of the content hold. Element names, roles,
+classes and ids only tell which slots those are: the blocks inside `article`
+elements, else inside the main element, else in the body, outside elements
+marked as menu, header, footer, sidebar, notice, advert, form, script, style
+or comments. They decide alone where a host has too few pages for a template,
+or where the template would leave nothing.
 
 Character references are decoded, white space in a block becomes one blank,
 blocks are joined by a line feed. A line break element ends a block. Null
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 from tastes.llm.common import Scratch
 
 MIN_PAGES = 3
-# Template text up to this many hashes (8 bytes each) is broadcast.
+# Templates up to this many tokens (two hashes of 8 bytes each) are broadcast.
 BROADCAST_HASHES = 1_000_000
 
 # Names of HTML elements.
@@ -136,8 +140,9 @@ def blocks_of(page: str | None) -> tuple[list[Block], Counter]:
             stack.pop()
         _, path, out, article, main = stack[-1]
         label, words, hidden = _attributes(raw)
-        path = f"{path}>{name}{label}" if name not in INLINE else path
-        tags[path] += 1
+        if name not in INLINE:
+            path = f"{path}>{name}{label}"
+            tags[path] += 1
         if name in VOID or raw.endswith("/"):
             continue
         mark = bool(words & MARKS) and name not in ("html", "body", "article", "main")
@@ -161,17 +166,55 @@ def _hash(path: str, text: str | None = None) -> int:
     return xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def main_text(page: str | None, template: set[int]) -> str:
-    """The main text, without the template's own text outside articles."""
+def _own(block: Block, template: dict[int, int]) -> bool:
+    """Whether the block is the template's: nested in a tag token of its class."""
+    text, path = block[:2]
+    vector = template.get(_hash(path, text))
+    while vector is not None and path:
+        if template.get(_hash(path)) == vector:
+            return True
+        path = path[: path.rindex(">")]
+    return False
+
+
+def main_text(page: str | None, template: dict[int, int]) -> str:
+    """The main text: the content's blocks that are not the template's own.
+
+    `template` has the vectors of the host's template, by text and tag token.
+    """
     blocks, _ = blocks_of(page)
-    if any(b[2] for b in blocks):
-        return "\n".join(b[0] for b in blocks if b[2])
-    if any(b[3] for b in blocks):
-        blocks = [b for b in blocks if b[3]]
-    kept = [b for b in blocks if _hash(b[1], b[0]) not in template] if template else blocks
+    for area in (2, 3):
+        if any(b[area] for b in blocks):
+            blocks = [b for b in blocks if b[area]]
+            break
+    kept = [b for b in blocks if not _own(b, template)] if template else blocks
     return "\n".join(b[0] for b in kept or blocks)
 
 
+def _contents(blocks: list[Block]) -> dict[tuple[str, str], int | None]:
+    """By (path, text): a hash of the content beside it, none where it is alone."""
+    beside = _hash("", "\n".join(b[0] for b in blocks))
+    found: dict[tuple[str, str], int | None] = {(b[1], b[0]): beside for b in blocks if not b[2]}
+    paths: dict[str, Counter] = {}
+    for text, path, article, _ in blocks:
+        if article:
+            paths.setdefault(path, Counter())[text] += 1
+    # Per path: length of all texts, and its two longest texts.
+    sizes = {p: sum(len(t) * n for t, n in c.items()) for p, c in paths.items()}
+    longest = {p: sorted(c, key=lambda t: (-len(t), t))[:2] for p, c in paths.items()}
+    order = sorted(sizes, key=lambda p: (-sizes[p], p))
+    for path, texts in paths.items():
+        other = next((p for p in order if p != path), None)
+        for text, n in texts.items():
+            rest = sizes[path] - len(text) * n
+            if rest and (other is None or (-rest, path) < (-sizes[other], other)):
+                content = next(t for t in longest[path] if t != text)
+            else:
+                content = longest[other][0] if other is not None else None
+            found[path, text] = None if content is None else _hash("", content)
+    return found
+
+
 def host_of(url):
     """The host of a URL column, lower case, empty where there is none."""
     pattern = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -179,16 +222,22 @@ def host_of(url):
 
 
 def _tokens():
-    @F.pandas_udf("array<struct<token:long,tag:boolean,n:int>>")
+    @F.pandas_udf("array<struct<token:long,tag:boolean,n:int,content:long>>")
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in pages:
             out = []
             for page in batch:
                 blocks, tags = blocks_of(page)
-                # Text in articles is never the template's: no token needed.
-                texts = Counter(_hash(b[1], b[0]) for b in blocks if not b[2])
-                found = [{"token": _hash(p), "tag": True, "n": n} for p, n in tags.items()]
-                found += [{"token": t, "tag": False, "n": n} for t, n in texts.items()]
+                texts = Counter((b[1], b[0]) for b in blocks)
+                beside = _contents(blocks)
+                found = [
+                    {"token": _hash(p), "tag": True, "n": n, "content": None}
+                    for p, n in tags.items()
+                ]
+                found += [
+                    {"token": _hash(*t), "tag": False, "n": n, "content": beside[t]}
+                    for t, n in texts.items()
+                ]
                 out.append(found)
             yield pd.Series(out, dtype=object)
 
@@ -196,38 +245,40 @@ def _tokens():
 
 
 def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, template): hashes of the text tokens of each host's template."""
+    """(host, template): tokens of each host's template and their vectors."""
     one = pages.where("html is not null").select(
         host_of(F.col("url")).alias("host"),
         F.xxhash64("html").alias("page"),
         F.explode(_tokens()("html")).alias("t"),
     )
-    # The vector over different pages: copies of a page are one page.
+    # The vector over pages; support counts different pages or contents.
     token = (
-        one.select("host", "page", "t.token", "t.tag", "t.n")
+        one.select("host", "page", "t.token", "t.tag", "t.n", "t.content")
         .groupBy("host", "token", "tag")
         .agg(
             F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
             F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct("page").alias("different"),
+            F.approx_count_distinct(F.when(F.col("tag"), F.col("page")).otherwise(F.col("content"))).alias(
+                "different"
+            ),
         )
+        .where(F.col("different") >= MIN_PAGES)
     )
     token = scratch.save(token, "tokens")
     valid = token.where("tag").groupBy("host").agg(F.max("rows").alias("rows"))
-    valid = scratch.save(valid.where(F.col("rows") >= MIN_PAGES), "hosts")
-    classes = (
-        token.where("tag")
-        .join(valid, ["host", "rows"], "left_semi")
-        .where(F.col("different") >= MIN_PAGES)
-        .select("host", "vector", "rows")
-        .distinct()
-    )
-    classes = scratch.save(classes, "classes")
+    valid = scratch.save(valid, "hosts")
     # Copies cancel in the XOR, so the number of rows is part of the vector.
-    own = token.where("not tag").join(classes, ["host", "vector", "rows"], "left_semi")
-    # A template's text comes on every page: no more than a page holds.
+    keys = ["host", "vector", "rows"]
+    tags = token.where("tag").join(valid, ["host", "rows"], "left_semi")
+    texts = scratch.save(
+        token.where("not tag").join(tags.select(*keys).distinct(), keys, "left_semi"), "texts"
+    )
+    tags = tags.join(texts.select(*keys).distinct(), keys, "left_semi")
+    member = F.struct("token", F.xxhash64("vector", "rows").alias("vector"))
+    # A class comes whole on each of its pages: no more than a page holds.
     return scratch.save(
-        own.groupBy("host").agg(F.collect_set("token").alias("template")), "templates"
+        texts.unionByName(tags).groupBy("host").agg(F.collect_set(member).alias("template")),
+        "templates",
     )
 
 
@@ -238,18 +289,25 @@ def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     size = templates.agg(F.sum(F.size("template"))).first()[0] or 0
 
     @F.pandas_udf("string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for html, template in batches:
+    def run(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.Series]:
+        for html, token, vector in batches:
             yield pd.Series(
                 [
-                    main_text(page, set() if own is None else set(own.tolist()))
-                    for page, own in zip(html, template, strict=True)
+                    main_text(page, {} if t is None else dict(zip(t.tolist(), v.tolist(), strict=True)))
+                    for page, t, v in zip(html, token, vector, strict=True)
                 ],
                 dtype=object,
             )
 
-    named = templates.select(F.col("host").alias("_host"), F.col("template").alias("_template"))
+    named = templates.select(
+        F.col("host").alias("_host"),
+        F.col("template.token").alias("_token"),
+        F.col("template.vector").alias("_vector"),
+    )
     if size <= BROADCAST_HASHES:
         named = F.broadcast(named)
     joined = pages.withColumn("_host", host_of(F.col("url"))).join(named, "_host", "left")
-    return joined.withColumn("main_text", run("html", "_template")).drop("_host", "_template")
+    found = joined.withColumn("main_text", run("html", "_token", "_vector"))
+    return found.drop("_host", "_token", "_vector")

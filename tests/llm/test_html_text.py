@@ -73,3 +73,22 @@ def test_edges(spark):
     assert found[1] == found[2] == "" and found[3] == "x" and found[None] == "y"
     assert len(found[4]) == 200_000 * 5 - 1
     assert texts(spark, [])  == {}
+
+
+def test_text_repeated_inside_every_article_is_the_templates(spark):
+    page = """<body><article><h1>Head {0}</h1><div class="zq"><p>Pass this on to all of your friends</p></div>
+<p>{1}</p><p>{1} too</p><div class="zr">Made for you by the house with a long, long line of words</div></article></body>"""
+    rows = [(i, "http://h/", page.format(i, f"Body {i} " * 5)) for i in range(6)]
+    rows += [(10 + i, "http://g/", page.format(i, "The same body " * 5)) for i in range(6)]  # copies but for the head
+    found = texts(spark, rows)
+    body = ("Body 2 " * 5).strip()
+    assert found[2] == f"Head 2\n{body}\n{body} too"
+    assert "Pass this on" in found[12] and "The same body" in found[12]
+
+
+def test_text_of_a_class_that_does_not_enclose_it_stays(spark):
+    # The text comes where the other element does, but no element around it comes as often.
+    note = "<p>A quoted line</p>"
+    page = "<body><p>Body {0} a</p><p>Body {0} b</p>{1}</body>"
+    rows = [(i, "http://h/", page.format(i, note + "<hr class=k>" if i < 4 else "")) for i in range(8)]
+    assert texts(spark, rows)[1] == "Body 1 a\nBody 1 b\nA quoted line"
