@@ -67,6 +67,11 @@ MARKS = set(
     "newsletter subscribe signup login share sharing social related recommended widget toolbar "
     "pagination pager copyright contentinfo complementary search alert alertdialog dialog".split()
 )
+# Marks that name real blocks too: inside an article one of them is not enough.
+GENERIC = set(
+    "alert banner copyright dialog login menu notice notices overlay promotion related search "
+    "share sharing signup social subscribe toolbar widget".split()
+)
 CONTENT = {"main", "content", "post", "entry", "story", "article"}
 
 _TOKEN = re.compile(
@@ -74,28 +79,35 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(
-    r"(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I
-)
+# One attribute after the other from the tag's name on, with its whole value.
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORDS = re.compile(r"[a-z]+")
 
 # (text, path, in an article, in a main element)
 Block = tuple[str, str, bool, bool]
 
 
-def _attributes(raw: str) -> tuple[str, set[str], bool]:
-    """(label for the path, words of class, id and role, whether hidden)."""
-    label, words, hidden = "", set(), False
+def _attributes(raw: str) -> tuple[str, set[str], set[str], bool]:
+    """(label for the path, words of class and id, words of role, whether hidden)."""
+    label, words, roles, hidden = "", set(), set(), False
     for name, value in _ATTRIBUTE.findall(raw) if raw.strip() else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role"):
             label += f".{value}"
-            words.update(_WORDS.findall(value))
+            (roles if name == "role" else words).update(_WORDS.findall(value))
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "")
-        else:
-            hidden |= name == "hidden" and value != "false" or value == "true"
-    return re.sub(r"\d+", "0", label), words, hidden
+        elif name == "hidden":
+            hidden |= value != "false"
+        elif name == "aria-hidden":
+            hidden |= value == "true"
+    return re.sub(r"\d+", "0", label), words, roles, hidden
+
+
+def _marked(words: set[str], roles: set[str], article: bool) -> bool:
+    """Whether class, id and role mark what is not content."""
+    marks = words & MARKS
+    return bool(roles & MARKS) or bool(marks - GENERIC if article else marks) or len(marks) > 1
 
 
 def blocks_of(page: str | None) -> tuple[list[Block], Counter]:
@@ -139,13 +151,14 @@ def blocks_of(page: str | None) -> tuple[list[Block], Counter]:
         if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name:
             stack.pop()
         _, path, out, article, main = stack[-1]
-        label, words, hidden = _attributes(raw)
+        label, words, roles, hidden = _attributes(raw)
         if name not in INLINE:
             path = f"{path}>{name}{label}"
             tags[path] += 1
         if name in VOID or raw.endswith("/"):
             continue
-        mark = bool(words & MARKS) and name not in ("html", "body", "article", "main")
+        mark = _marked(words, roles, article) and name not in ("html", "body", "article", "main")
+        words |= roles
         mark |= name == "article" and bool(words & {"comment", "comments", "related"})
         head = name == "header" or "header" in words
         out = out or name in LEFT_OUT or hidden or mark or (head and not article)

@@ -92,3 +92,17 @@ def test_text_of_a_class_that_does_not_enclose_it_stays(spark):
     page = "<body><p>Body {0} a</p><p>Body {0} b</p>{1}</body>"
     rows = [(i, "http://h/", page.format(i, note + "<hr class=k>" if i < 4 else "")) for i in range(8)]
     assert texts(spark, rows)[1] == "Body 1 a\nBody 1 b\nA quoted line"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p>a <a href="/hidden-valley">b</a> c</p>', "a b c"), ('<div title="The hidden door"><p>x</p></div>', "x"),
+        ('<p>a <a href="/x?id=comment&n=2">b</a> <a href=/view?id=ad-12>c</a></p>', "a b c"), ("<p data-id=ad>x", "x"),
+        ("<p HIDDEN>x</p>y", "y"), ('<p aria-hidden="true">x</p>y', "y"), ("<p title='a' class='ad'>x</p>y", "y"),
+        ("<article><div class=menu>soup</div><div class='share notice'>s</div><p class=ad>a</article>", "soup"),
+        ("<article><div role=search>s</div>t</article>", "t"), ("<div class=menu>m</div>t", "t"),
+    ],
+)
+def test_attributes_are_names_with_whole_values(page, text):
+    assert main_text(page, {}) == text
