@@ -6,9 +6,9 @@ path that holds it. A token's occurrence vector says how often it comes on
 each page of the host; it is kept as a fingerprint (an XOR of hashed page
 and count pairs), so that it is a partial aggregation however many pages a
 host has. Tokens of a host with one vector form an equivalence class. A
-class is valid when its tokens come on every page of the host, on `MIN_PAGES`
-different pages at least, and hold a tag token. A text token is the template's
-own when it nests in a tag token of its class, that is, when an element around
+class is valid by its support: `MIN_PAGES` different pages at least, whatever
+the host's other pages hold, and a tag token. So a page's template are the
+classes that occur on it. A text token is the template's own when it nests in a tag token of its class, that is, when an element around
 it comes as often on every page; everything else fills the template's slots.
 
 Text in articles is deduced like any other, but over contents instead of
@@ -278,11 +278,9 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
         .where(F.col("different") >= MIN_PAGES)
     )
     token = scratch.save(token, "tokens")
-    valid = token.where("tag").groupBy("host").agg(F.max("rows").alias("rows"))
-    valid = scratch.save(valid, "hosts")
     # Copies cancel in the XOR, so the number of rows is part of the vector.
     keys = ["host", "vector", "rows"]
-    tags = token.where("tag").join(valid, ["host", "rows"], "left_semi")
+    tags = token.where("tag")
     texts = scratch.save(
         token.where("not tag").join(tags.select(*keys).distinct(), keys, "left_semi"), "texts"
     )

@@ -106,3 +106,11 @@ def test_text_of_a_class_that_does_not_enclose_it_stays(spark):
 )
 def test_attributes_are_names_with_whole_values(page, text):
     assert main_text(page, {}) == text
+
+
+def test_stray_pages_and_second_layouts_do_not_void_a_template(spark):
+    one = "<html><body><div class=x>Welcome to the site</div><div class=y><p>Body {0}</p><p>Rest {0}</p></div></body>"
+    two = "<html><body><section><b>Our shop</b></section><ul><li>Thing {0}<li>Price {0}</ul></body>"
+    rows = [(i, "http://h/", one.format(i)) for i in range(6)] + [(10 + i, "http://h/", two.format(i)) for i in range(4)]
+    found = texts(spark, [*rows, (99, "http://h/", "<html><body>Not found")])
+    assert found[2] == "Body 2\nRest 2" and found[12] == "Thing 2\nPrice 2" and found[99] == "Not found"
