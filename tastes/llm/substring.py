@@ -1,17 +1,27 @@
-"""Substring dedup: lines and pieces of lines, hashed and grouped globally.
-
-A unit is a stretch of a line between content-defined cuts: after a word
-that ends a sentence, before a capital that follows a word without one, and
-after words picked by their hash (1 in 32). The cuts depend on the text
-beside them only, so a passage pasted into the middle of another line yields
-the same units there. Units are normalised (case, blanks) and hashed to 64
-bits. Per hash the smallest document id is found by a partial aggregation;
-that document keeps its first such unit, every other occurrence is a repeat.
-
-Repeats are cut out when they form a run of `min_run` words or more, or fill
-a whole line of `min_line` words or more; shorter ones ("Yes.") are left, so
-ordinary text is not shredded. Every removed unit survives in the document
-that ranks first. Offsets of the removed stretches in the original text are
+"""Substring dedup: lines, paragraphs and pieces, hashed and grouped globally.
+
+Units of a document, normalised (case, blanks) and hashed to 64 bits:
+
+* every whole line, and every paragraph (lines up to a blank one);
+* two neighbouring pieces of the whole text, over line ends. A piece ends
+  after the word whose hash is the least of some `_WINDOW` consecutive words
+  (winnowing); only the normalised words decide. Two equal stretches of n
+  words have the same pieces but for `_WINDOW - 1` words at either end at
+  most, whatever stands beside them and wherever their lines end;
+* sentences: stretches of a line that end after a word that ends a sentence,
+  before a capital that follows a word without one, and after words picked by
+  their hash (1 in 32). They give a repeat its exact ends where it has them.
+
+Per hash the smallest document id is found by a partial aggregation; that
+document keeps its first such unit, every other occurrence is a repeat.
+
+Words that repeated units cover are cut out when they form a run of `min_run`
+words or more, or fill a line or paragraph of `min_line` words or more;
+shorter ones ("Yes.") are left, so ordinary text is not shredded. So every
+stretch of `min_run + 2 * _WINDOW - 2` words or more (49 with the defaults)
+that an earlier document holds, or the document itself before, loses
+`min_run` words at least. Every removed unit survives in the document that
+ranks first. Offsets of the removed stretches in the original text are
 returned (code points, end exclusive).
 
 Two shuffles of (hash, id) pairs and one join by id; texts are never grouped.
@@ -27,7 +37,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,6 +50,9 @@ from tastes.llm.common import BLANKS, Scratch
 MIN_RUN = 25
 MIN_LINE = 5
 _CUT_ONE_IN = 32
+# A run of MIN_RUN words is left of any 49 words: 25 + 2 * (13 - 1).
+_WINDOW = 13
+_BASE = 0x9E3779B97F4A7C15 | 1
 _CACHE = 300_000
 # Marks that end a sentence, and marks that may follow them.
 _ENDS = (".", "!", "?", "…", "。", "！", "？")
@@ -46,11 +61,39 @@ _CLOSING = "\"')]}»”’"
 Unit = tuple[int, int, int, int]  # start, end, words, hash
 
 
+class _Hashes(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _CACHE:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
+        return found
+
+
+class _Powers:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up), 1024)
+            self.up, self.down = (
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)]))
+                for b in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64)))
+            )
+        return self.up[:n], self.down[:n]
+
+
 class Splitter:
-    """Cuts a text into its lines' units; remembers what it saw of words."""
+    """Cuts a text into its units; remembers what it saw of words."""
 
     def __init__(self) -> None:
         self.seen: dict[str, tuple[str, bool, bool]] = {}
+        self.hashes = _Hashes()
+        self.powers = _Powers()
 
     def _look(self, word: str) -> tuple[str, bool, bool]:
         """(normal form, cut after it, begins with a capital)."""
@@ -64,7 +107,7 @@ class Splitter:
         return found
 
     def __call__(self, text: str) -> list[list[Unit]]:
-        """Units of every line of `text`, in order; a blank line has none."""
+        """Sentences of every line of `text`, in order; a blank line has none."""
         lines, at = [], 0
         seen = self.seen
         for line in text.split("\n"):
@@ -95,14 +138,67 @@ class Splitter:
         return lines
 
 
+    def wide(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lines, paragraphs and pairs of pieces, each kind in order of the text.
+
+        (first word, end, hash, whether a line or paragraph); words are
+        counted over the whole text.
+        """
+        # Bytes split on exactly the ASCII blanks.
+        low = text.lower().encode("utf-8", "surrogatepass")
+        lines = [line.split() for line in low.split(b"\n")]
+        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+        n = int(lengths.sum())
+        if not n:
+            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool))
+        words = chain.from_iterable(lines)
+        hashes = np.fromiter(map(self.hashes.__getitem__, words), np.int64, n).view(np.uint64)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        full = ends > starts
+        starts, ends = starts[full], ends[full]
+        # Paragraphs of more than one line.
+        at = np.flatnonzero(full)
+        new = np.flatnonzero(np.diff(at) > 1) + 1
+        first, last = np.append(0, new), np.append(new, len(at)) - 1
+        many = last > first
+        cuts = np.concatenate([[0], _cuts(hashes), [n]])
+        cuts = cuts[np.append(True, np.diff(cuts) > 0)]
+        a, b = (cuts[:-2], cuts[2:]) if len(cuts) > 2 else (cuts[:-1], cuts[1:])
+        begin = np.concatenate([starts, starts[first[many]], a])
+        end = np.concatenate([ends, ends[last[many]], b])
+        up, down = self.powers(n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
+        digest = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)
+        digest = (digest ^ (digest >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        digest ^= digest >> np.uint64(32)
+        whole = np.arange(len(begin)) < len(begin) - len(a)
+        return begin, end, digest.view(np.int64), whole
+
+
+def _cuts(hashes: np.ndarray) -> np.ndarray:
+    """Ends of pieces: after the least hash (the last of equals) of any window."""
+    n = len(hashes)
+    if n < _WINDOW:
+        return np.zeros(0, np.int64)
+    low = np.uint64(0xFFFFFFFF)
+    least = (hashes & ~low) | (low - np.arange(n, dtype=np.uint64))
+    size = 1
+    while size < _WINDOW:
+        step = min(size, _WINDOW - size)
+        least = np.minimum(least[:-step], least[step:])
+        size += step
+    chosen = np.zeros(n, bool)
+    chosen[(low - (least & low)).astype(np.int64)] = True
+    return np.flatnonzero(chosen) + 1
+
+
 def _words(line: str) -> list[str]:
     # str.split() also splits on other Unicode blanks; only these six count.
     if line.isascii() and not any(c in line for c in "\x1c\x1d\x1e\x1f"):
         return line.split()
-    return [w for w in line.translate(_ONE_BLANK).split(" ") if w]
-
-
-_ONE_BLANK = str.maketrans(dict.fromkeys(BLANKS, " "))
+    plain = b" ".join(line.encode("utf-8", "surrogatepass").split())
+    return plain.decode("utf-8", "surrogatepass").split(" ") if plain else []
 
 
 def _digest(words: list[str]) -> int:
@@ -110,57 +206,67 @@ def _digest(words: list[str]) -> int:
 
 
 def cut_repeats(
-    text: str, lines: list[list[Unit]], elsewhere: set[int], min_run: int, min_line: int
+    text: str,
+    lines: list[list[Unit]],
+    elsewhere: set[int],
+    min_run: int,
+    min_line: int,
+    wide: tuple[np.ndarray, ...] | None = None,
 ) -> tuple[str, list[tuple[int, int]]]:
-    """The text without its repeats, and the removed stretches."""
+    """The text without its repeats, and the removed stretches.
+
+    `lines` are its sentences; `wide` its lines, paragraphs and pieces.
+    """
+    n = sum(u[2] for units in lines for u in units)
+    repeat, doomed = np.zeros(n, bool), np.zeros(n, bool)
     own: set[int] = set()
-    flags: list[list[bool]] = []
+    at = 0
     for units in lines:
-        row = []
         for unit in units:
-            row.append(unit[3] in elsewhere or unit[3] in own)
+            if unit[3] in elsewhere or unit[3] in own:
+                repeat[at : at + unit[2]] = True
             own.add(unit[3])
-        flags.append(row)
+            at += unit[2]
+    if wide is not None:
+        # A pair of pieces does not repeat one that it overlaps.
+        first: dict[int, int] = {}
+        for a, b, digest, whole in zip(*(c.tolist() for c in wide), strict=True):
+            if digest in elsewhere or first.setdefault(digest, b) <= a:
+                repeat[a:b] = True
+                if whole and b - a >= min_line:
+                    doomed[a:b] = True
+    if not repeat.any():
+        return text, []
     # Runs of repeats, over line ends; a blank line does not break a run.
-    doomed = [[False] * len(row) for row in flags]
-    run: list[tuple[int, int]] = []
-    words = 0
-
-    def close() -> None:
-        nonlocal words
-        if words >= min_run:
-            for i, j in run:
-                doomed[i][j] = True
-        run.clear()
-        words = 0
-
-    for i, row in enumerate(flags):
-        for j, repeat in enumerate(row):
-            if repeat:
-                run.append((i, j))
-                words += lines[i][j][2]
-            else:
-                close()
-        if row and all(row) and sum(u[2] for u in lines[i]) >= min_line:
-            doomed[i] = [True] * len(row)
-    close()
-    if not any(map(any, doomed)):
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], repeat, [False]]).astype(np.int8)))
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        if b - a >= min_run:
+            doomed[a:b] = True
+    at = 0
+    for units in lines:
+        start, at = at, at + sum(u[2] for u in units)
+        if at - start >= min_line and repeat[start:at].all():
+            doomed[start:at] = True
+    if not doomed.any():
         return text, []
-    kept, spans, at = [], [], 0
-    for line, units, gone in zip(text.split("\n"), lines, doomed, strict=True):
+    kept, spans, at, word = [], [], 0, 0
+    for line, units in zip(text.split("\n"), lines, strict=True):
+        count = sum(u[2] for u in units)
+        gone = doomed[word : word + count].tolist()
+        word += count
         if not any(gone):
             kept.append(line)
         else:
-            parts, keep_from = [], 0
-            for k, unit in enumerate(units):
+            places, parts, keep_from = _places(line), [], 0
+            for k, (begin, end) in enumerate(places):
                 if not gone[k]:
                     continue
                 if k == 0 or not gone[k - 1]:
-                    parts.append(line[keep_from : unit[0] - at])
-                    spans.append((unit[0], unit[1]))
+                    parts.append(line[keep_from:begin])
+                    spans.append((at + begin, at + end))
                 else:
-                    spans[-1] = (spans[-1][0], unit[1])
-                keep_from = units[k + 1][0] - at if k + 1 < len(units) else unit[1] - at
+                    spans[-1] = (spans[-1][0], at + end)
+                keep_from = places[k + 1][0] if k + 1 < count else end
             parts.append(line[keep_from:])
             if not all(gone):
                 kept.append("".join(parts).strip(BLANKS))
@@ -168,15 +274,32 @@ def cut_repeats(
     return "\n".join(kept), spans
 
 
-def _unit_hashes():
-    @F.pandas_udf("array<long>")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _places(line: str) -> list[tuple[int, int]]:
+    """Start and end of every word of the line."""
+    places, pos = [], 0
+    for word in _words(line):
+        begin = line.find(word, pos)
+        pos = begin + len(word)
+        places.append((begin, pos))
+    return places
+
+
+def _unit_hashes(min_run: int, min_line: int):
+    @F.pandas_udf("units array<long>, own boolean")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         split = Splitter()
         for batch in texts:
-            yield pd.Series(
-                [list({u[3] for units in split(t) for u in units}) if t else [] for t in batch],
-                dtype=object,
-            )
+            rows = []
+            for text in batch:
+                lines, wide = (split(text), split.wide(text)) if text else ([], None)
+                units = [u[3] for row in lines for u in row]
+                found = set(units)
+                digests = wide[2].tolist() if wide else []
+                own = len(found) < len(units) or len(set(digests)) < len(digests)
+                # Whether the text is cut whatever the other documents hold.
+                own = own and bool(cut_repeats(text, lines, set(), min_run, min_line, wide)[1])
+                rows.append((list(found.union(digests)), own))
+            yield pd.DataFrame(rows, columns=["units", "own"])
 
     return run
 
@@ -195,7 +318,10 @@ def substring_dedup(
     scratch = scratch or Scratch(docs.sparkSession, "substring")
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     units = scratch.save(
-        docs.select(rank.alias("rank"), _unit_hashes()("text").alias("units")), "units"
+        docs.select(rank.alias("rank"), _unit_hashes(min_run, min_line)("text").alias("u")).select(
+            "rank", "u.units", "u.own"
+        ),
+        "units",
     )
     single = units.select("rank", F.explode("units").alias("unit"))
     repeated = scratch.save(
@@ -205,10 +331,14 @@ def substring_dedup(
         .select("unit", "first"),
         "repeated",
     )
-    # A document's repeats are no more than its own units.
+    # A document's repeats are no more than its own units; none where only
+    # repeats within the document are to be cut.
+    itself = units.where("own").select("rank", F.lit(None).cast("long").alias("unit"))
     of_doc = scratch.save(
         single.join(repeated, "unit")
         .where("rank <> first")
+        .select("rank", "unit")
+        .union(itself)
         .groupBy("rank")
         .agg(F.collect_set("unit").alias("elsewhere")),
         "of_doc",
@@ -223,9 +353,9 @@ def substring_dedup(
             rows = []
             for text, others in zip(texts, elsewhere, strict=True):
                 gone: list[tuple[int, int]] = []
-                if text:
-                    known = set() if others is None else set(others.tolist())
-                    text, gone = cut_repeats(text, split(text), known, min_run, min_line)
+                if text and others is not None:
+                    units, wide, known = split(text), split.wide(text), set(others.tolist())
+                    text, gone = cut_repeats(text, units, known, min_run, min_line, wide)
                 rows.append(
                     (text, [{"start": a, "end": b} for a, b in gone], sum(b - a for a, b in gone))
                 )

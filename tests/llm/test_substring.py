@@ -87,3 +87,33 @@ def test_edges(docs_df):
     assert [r.text for r in got if r.doc_id == 8] == [long, long]  # one document
     assert [r.text for r in got if r.doc_id == 9] == [""]
     assert substring_dedup(docs_df([])).count() == 0
+
+
+def windows(text, n=49):
+    words = text.lower().split()
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def test_no_window_of_50_words_is_left_in_two_documents(docs_df):
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        words = text_of(500 + i // 2, 110).split()
+        a = rng.randrange(60)
+        span = words[a : a + 50] if i % 2 else words
+        if i % 4 == 1:  # other capitals and other line ends
+            span = [w.title() if rng.random() < 0.5 else w for w in span]
+            span[20] += "\n" + span.pop(21)
+        rows.append((i, f"{text_of(700 + i, 30)} {' '.join(span)} {text_of(900 + i, 30)}"))
+    found = collect(substring_dedup(docs_df(rows)))
+    for i, text in rows[1::2]:
+        assert windows(rows[i - 1][1]) & windows(text)  # brute force: it is there
+        assert not windows(found[i - 1].text) & windows(found[i].text)
+        assert len(text.split()) - len(found[i].text.split()) >= 25
+        assert found[i - 1].n_removed == 0
+
+
+def test_lines_and_paragraphs_in_other_case(docs_df):
+    line, cookie = "Please read the Terms of Service", "We Use Cookies\nTo Serve You"
+    rows = [(1, f"{text_of(1)}\n{line}\n\n{cookie}"), (2, f"{line.lower()}\n{text_of(2)}\n\n{cookie.lower()}")]
+    found = collect(substring_dedup(docs_df(rows)))
+    assert found[1].n_removed == 0 and found[2].text == text_of(2) + "\n"
