@@ -3,7 +3,8 @@
 The items are indexed; the documents are the queries. Every document is read
 whole, as overlapping passages wide enough to hold any item in one piece. A
 passage retrieves every item whose BM25 score reaches a share of the item's
-own score (what a passage with all its words gets), by block-max WAND: lists
+own score (what a passage with all its words gets): the item's own share,
+below which no passage can hold the wanted shingles (`least_share`), by block-max WAND: lists
 sorted by item with a maximum per list and per block, a pivot where the
 maxima could reach the threshold, and skips over blocks that cannot. Before
 that the same safe bound is taken for the whole document: only items that a
@@ -17,7 +18,7 @@ answer is its last sentence; an item of one sentence has its last fifth.
 
 The index is broadcast in shards of at most `shard_items` items, so its size
 is bounded whatever the benchmark's; each shard is one pass over the
-documents, without a shuffle. Collection statistics are the shard's.
+documents, without a shuffle. Collection statistics are those of all items.
 
 Items without an id or a word are ignored; null or blank documents match
 nothing. Rows that repeat give repeated results. Words are runs of letters,
@@ -39,8 +40,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-# A passage with four fifths of an item's shingles has more of its score.
-RETRIEVE = 0.8
 OVERLAP = 0.8
 SHINGLE = 5
 SHARD_ITEMS = 20_000
@@ -88,10 +87,34 @@ def share_within(part: list[str], passage: list[str]) -> float:
     return len(wanted & there) / len(wanted)
 
 
+def least_share(question: list[str], answer: list[str], impacts: dict[str, float], overlap: float) -> float:
+    """No passage with less of the item's score holds `overlap` of both parts' shingles.
+
+    A missing word takes all shingles that hold it, and a shingle is taken by
+    its own words at most: the words that may be missing are bounded by a
+    fractional knapsack of shingles per part.
+    """
+    lost, seen = 0.0, set()
+    for part in (question, answer):
+        wanted = shingles(part)
+        missing = len(wanted) - math.ceil(len(wanted) * overlap - 1e-9)
+        room = missing * min(SHINGLE, len(part))
+        cost = Counter(t for s in wanted for t in set(s))
+        can = [(impacts[t], c) for t, c in cost.items() if t not in seen and c <= missing]
+        for x, c in sorted(can, key=lambda e: -e[0] / e[1]):
+            lost += x * min(1.0, room / c)
+            room -= c
+            if room <= 0:
+                break
+        seen.update(cost)
+    return 1.0 - lost
+
+
 class Lists:
     """Lists of (item, impact) by word, with maxima per list and per block."""
 
     def __init__(self, impacts: dict[int, dict[str, float]]):
+        self.items = sorted(impacts)
         self.of: dict[str, tuple[list[int], list[float]]] = {}
         for k in sorted(impacts):
             for t, x in impacts[k].items():
@@ -108,47 +131,69 @@ class Lists:
         }
 
 
+    def least(self, shares: list[float]) -> float:
+        """The lowest of the items' thresholds: a bound for all of them."""
+        return min((shares[k] for k in self.items), default=1.0)
+
+
+# Of all items: their number, their mean length, the items that hold a word.
+Statistics = tuple[int, float, dict[str, int]]
+
+
 class Index:
     """Impacts of a shard's items, relative to each item's own score."""
 
-    def __init__(self, items: list[tuple[int, str]], retrieve: float = RETRIEVE):
-        self.retrieve = retrieve
+    def __init__(
+        self,
+        items: list[tuple[int, str]],
+        retrieve: float | None = None,
+        overlap: float = OVERLAP,
+        statistics: Statistics | None = None,
+    ):
         kept = [(i, words, text) for i, text in items if i is not None and (words := words_of(text))]
         self.ids = [i for i, _, _ in kept]
         self.parts = [question_and_answer(text) for _, _, text in kept]
         self.longest = max((len(w) for _, w, _ in kept), default=0)
-        mean = sum(len(w) for _, w, _ in kept) / max(1, len(kept))
         counts = [Counter(w) for _, w, _ in kept]
-        in_items = Counter(t for c in counts for t in c)
-        idf = {t: math.log(1 + (len(kept) - n + 0.5) / (n + 0.5)) for t, n in in_items.items()}
+        total, mean, in_items = statistics or (
+            len(kept),
+            sum(len(w) for _, w, _ in kept) / max(1, len(kept)),
+            Counter(t for c in counts for t in c),
+        )
+        idf = {t: math.log(1 + (total - n + 0.5) / (n + 0.5)) for t, n in in_items.items()}
         self.impacts: dict[int, dict[str, float]] = {}
         #: Items by the words without all of which they cannot be retrieved.
         self.triggers: dict[str, list[int]] = {}
+        #: The share of its own score at which an item is retrieved.
+        self.least: list[float] = []
         for k, c in enumerate(counts):
             norm = K1 * (1 - B + B * sum(c.values()) / mean)
             impact = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in c.items()}
             own = sum(impact.values())
             self.impacts[k] = {t: x / own for t, x in impact.items()}
+            share = retrieve
+            if share is None:
+                share = least_share(*self.parts[k], self.impacts[k], overlap)
+            self.least.append(share - 1e-9)
             rest = 0.0
             for t, x in sorted(self.impacts[k].items(), key=lambda e: e[1]):
                 rest += x
-                if rest >= retrieve - 1e-9:
+                if rest >= self.least[k]:
                     self.triggers.setdefault(t, []).append(k)
         self.keys = frozenset(self.triggers)
 
     def possible(self, words: set[str]) -> dict[int, dict[str, float]]:
         """The items that some passage of these words could retrieve."""
-        least = self.retrieve - 1e-9
         found = {k for t in self.keys & words for k in self.triggers[t]}
         return {
             k: self.impacts[k]
             for k in found
-            if sum(x for t, x in self.impacts[k].items() if t in words) >= least
+            if sum(x for t, x in self.impacts[k].items() if t in words) >= self.least[k]
         }
 
     def search(self, passage: set[str], lists: Lists) -> list[tuple[int, float]]:
         """All items (positions) whose score reaches the threshold, by WAND."""
-        least = self.retrieve - 1e-9
+        least = lists.least(self.least)
         cursors = [[lists.of[t][0][0], 0, t] for t in passage if t in lists.of]
         found = []
         while cursors:
@@ -174,7 +219,7 @@ class Index:
             if bound >= least:
                 if cursors[0][0] == item:
                     total = sum(lists.of[c[2]][1][c[1]] for c in cursors[: pivot + 1])
-                    if total >= least:
+                    if total >= self.least[item]:
                         found.append((item, total))
                     target = item + 1
                 else:
@@ -216,13 +261,40 @@ class Index:
         return [best[k] for k in sorted(best)]
 
 
-def shards(items: DataFrame, shard_items: int = SHARD_ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """The items in lists of bounded expected size, dealt by a hash of the id."""
+Shard = tuple[list[tuple[int, str]], Statistics | None]
+
+
+def _item_words():
+    @F.pandas_udf("array<string>")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([words_of(t) for t in batch], dtype=object)
+
+    return run
+
+
+def shards(items: DataFrame, shard_items: int = SHARD_ITEMS) -> Iterator[Shard]:
+    """The items in lists of bounded expected size, dealt by a hash of the id.
+
+    With each list the statistics of all items, for its own words; none where
+    the list holds all items.
+    """
     items = items.select("item_id", "text").where("item_id is not null and text is not null")
     n = max(1, math.ceil(items.count() / shard_items))
+    if n == 1:
+        yield sorted((r["item_id"], r["text"]) for r in items.distinct().collect()), None
+        return
+    words = items.distinct().select("item_id", "text", _item_words()("text").alias("words"))
+    words = words.where(F.size("words") > 0)
+    size = words.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean")).first()
+    word = F.explode(F.array_distinct("words")).alias("word")
+    held = words.select(word).groupBy("word").count()
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield sorted((r["item_id"], r["text"]) for r in part.distinct().collect())
+        of_shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k
+        rows = items.where(of_shard).distinct().collect()
+        own = words.where(of_shard).select(word)
+        counts = {r["word"]: r["count"] for r in held.join(own, "word", "left_semi").collect()}
+        yield sorted((r["item_id"], r["text"]) for r in rows), (size["n"], size["mean"] or 1.0, counts)
 
 
 _FOUND = (
@@ -234,7 +306,8 @@ _FOUND = (
 def _search(held: Broadcast, overlap: float):
     @F.pandas_udf(_FOUND)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(held.value)
+        items, statistics = held.value
+        index = Index(items, overlap=overlap, statistics=statistics)
         names = ("item_id", "score", "question_overlap", "answer_overlap", "first_word",
                  "passage_words")
         for batch in texts:
@@ -252,7 +325,8 @@ def _search(held: Broadcast, overlap: float):
 def _clean(held: Broadcast, overlap: float):
     @F.pandas_udf("boolean")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(held.value)
+        items, statistics = held.value
+        index = Index(items, overlap=overlap, statistics=statistics)
         for batch in texts:
             yield pd.Series([not index.contaminations(t, overlap) for t in batch], dtype=bool)
 

@@ -84,3 +84,21 @@ def test_edges(spark, docs_df):
     empty = items.limit(0)
     assert contaminated(docs, empty).count() == 0 and reject_contaminated(docs, empty).count() == 5
     assert contaminated(docs_df([]), items).count() == 0
+
+
+def test_rare_words_cut_off_an_edge_do_not_hide_an_item(spark, docs_df):
+    # The edge's words are the item's only rare ones: most of its score goes with them.
+    common = " ".join(f"c{k}" for k in range(30))
+    items = [(1, f"xeno yarrow zephyr {common}? it was {common}.")] + [(k, f"{common}? it was {common}.") for k in range(2, 9)]
+    docs = docs_df([(1, f"so zephyr {common}? it was {common}.")])
+    found = contaminated(docs, spark.createDataFrame(items, ITEMS))
+    hit = [r for r in found.collect() if r.item_id == 1]
+    assert len(hit) == 1 and hit[0].question_overlap >= 0.8 and hit[0].score < 0.8
+
+
+def test_shards_decide_as_one_index_does(spark, docs_df):
+    docs, items, _ = _tables(spark, docs_df)
+    one, many = (
+        {(r.doc_id, r.item_id, round(r.score, 9)) for r in contaminated(docs, items, shard_items=n).collect()} for n in (100, 7)
+    )
+    assert one == many
