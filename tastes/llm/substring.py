@@ -28,9 +28,10 @@ Two shuffles of (hash, id) pairs and one join by id; texts are never grouped.
 A unit in a third of all documents is one row per task of the aggregation,
 and its join partition can be split, as both sides are scans.
 
-Null texts stay null, empty ones empty. Rows that repeat a doc_id, and all
-rows without one, count as one document: they keep what that document
-keeps. Rows without an id rank last. An empty table gives an empty result.
+Null texts stay null, empty ones empty. Rows that repeat a doc_id count as
+one document: they keep what that document keeps. Every row without an id is
+a document of its own; these rank last, in an order fixed when their keys are
+written. Repeats are gathered and joined by row, never by id alone. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -316,35 +317,50 @@ def substring_dedup(
     `n_removed` (its stretches' code points).
     """
     scratch = scratch or Scratch(docs.sparkSession, "substring")
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    names = docs.columns
+    key, row, bare, found, result = (
+        _free(n, names) for n in ("rank", "row", "unnamed", "elsewhere", "result")
+    )
+    # A row without an id is a document of its own; its key is written once.
+    unnamed = docs.where("doc_id is null").withColumn(key, F.monotonically_increasing_id())
+    unnamed = scratch.save(unnamed, "unnamed").withColumn(bare, F.lit(True))
+    named = docs.where("doc_id is not null").withColumn(key, F.col("doc_id").cast("long"))
+    docs = named.withColumn(bare, F.lit(False)).union(unnamed)
+    docs = docs.withColumn(row, F.xxhash64("text"))
+    row_key = ["rank", "row", "unnamed"]
     units = scratch.save(
-        docs.select(rank.alias("rank"), _unit_hashes(min_run, min_line)("text").alias("u")).select(
-            "rank", "u.units", "u.own"
-        ),
+        docs.select(
+            *(F.col(c).alias(n) for c, n in zip((key, row, bare), row_key, strict=True)),
+            _unit_hashes(min_run, min_line)("text").alias("u"),
+        ).select(*row_key, "u.units", "u.own"),
         "units",
     )
-    single = units.select("rank", F.explode("units").alias("unit"))
+    single = units.select(*row_key, F.explode("units").alias("unit"))
+    by_id, by_key = F.expr("if(unnamed, null, rank)"), F.expr("if(unnamed, rank, null)")
     repeated = scratch.save(
         single.groupBy("unit")
-        .agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-        .where("first <> last")
-        .select("unit", "first"),
+        .agg(
+            F.min(by_id).alias("first"),
+            F.max(by_id).alias("last"),
+            F.min(by_key).alias("first_key"),
+            F.max(by_key).alias("last_key"),
+        )
+        .where("first <> last or first_key <> last_key or (first is not null and first_key is not null)")
+        .select("unit", "first", F.expr("if(first is null, first_key, null)").alias("first_key")),
         "repeated",
     )
-    # A document's repeats are no more than its own units; none where only
-    # repeats within the document are to be cut.
-    itself = units.where("own").select("rank", F.lit(None).cast("long").alias("unit"))
+    # A row's repeats are no more than its own units; none where only repeats
+    # within the document are to be cut.
+    itself = units.where("own").select(*row_key, F.lit(None).cast("long").alias("unit"))
     of_doc = scratch.save(
         single.join(repeated, "unit")
-        .where("rank <> first")
-        .select("rank", "unit")
+        .where("not (rank <=> if(unnamed, first_key, first))")
+        .select(*row_key, "unit")
         .union(itself)
-        .groupBy("rank")
+        .groupBy(*row_key)
         .agg(F.collect_set("unit").alias("elsewhere")),
         "of_doc",
     )
-    names = docs.columns
-    key, found, result = (_free(n, names) for n in ("rank", "elsewhere", "result"))
 
     @F.pandas_udf("text string, removed array<struct<start:int,end:int>>, n_removed long")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -361,9 +377,7 @@ def substring_dedup(
                 )
             yield pd.DataFrame(rows, columns=["text", "removed", "n_removed"])
 
-    joined = docs.withColumn(key, rank).join(
-        of_doc.select(F.col("rank").alias(key), F.col("elsewhere").alias(found)), key, "left"
-    )
+    joined = docs.join(of_doc.toDF(key, row, bare, found), [key, row, bare], "left")
     return joined.withColumn(result, cut("text", found)).select(
         *(F.col(f"{result}.text") if n == "text" else F.col(f"`{n}`") for n in names),
         F.col(f"{result}.removed").alias(_free("removed", names)),

@@ -117,3 +117,11 @@ def test_lines_and_paragraphs_in_other_case(docs_df):
     rows = [(1, f"{text_of(1)}\n{line}\n\n{cookie}"), (2, f"{line.lower()}\n{text_of(2)}\n\n{cookie.lower()}")]
     found = collect(substring_dedup(docs_df(rows)))
     assert found[1].n_removed == 0 and found[2].text == text_of(2) + "\n"
+
+
+def test_rows_without_an_id_are_documents_of_their_own(docs_df):
+    rows = [(None, f"{text_of(k)} {PASSAGE} {text_of(50 + k)}") for k in range(6)] + [(1, None), (None, None)]
+    got = substring_dedup(docs_df(rows)).collect()
+    assert len(got) == len(rows)
+    assert sum(PASSAGE in r.text for r in got if r.text) == 1  # one keeps the passage
+    assert sum(r.n_removed == len(PASSAGE) for r in got) == 5
