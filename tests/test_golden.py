@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from conftest import rating_file, write_rating_files
+from rating_files import rating_file, write_rating_files
 
 from tastes.job import parse_args, run_job
 from tastes.params import JobParams, TasteParams

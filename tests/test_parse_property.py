@@ -12,7 +12,7 @@ import itertools
 
 import pytest
 from pyspark.errors import PySparkException
-from conftest import write_rating_files
+from rating_files import write_rating_files
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

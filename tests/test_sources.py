@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rating_file, write_rating_files
+from rating_files import rating_file, write_rating_files
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
