@@ -75,3 +75,11 @@ def remainder(column, modulus: int):
 def with_type(df: DataFrame, column: str, kind: T.DataType):
     """`column` of `df`, or a null of that type where the table lacks it."""
     return F.col(column) if column in df.columns else F.lit(None).cast(kind).alias(column)
+
+
+def free_name(name: str, taken) -> str:
+    """`name`, with underscores in front until no column of `taken` is called so."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tastes.llm.alignment import align_tokenizers
 from tastes.llm.bpe import round_trip
 from tastes.llm.common import remainder, table
 from tastes.llm.decontaminate import contaminated
 from tastes.llm.html_text import extract
 from tastes.llm.language import fit_languages, identify
 from tastes.llm.minhash import near_duplicates
+from tastes.llm.order_minhash import fingerprint_edits
+from tastes.llm.prefix_trie import prefix_trie
 from tastes.llm.quality import STOP_WORDS, judge
 from tastes.llm.substring import substring_dedup
 from tastes.llm.toxicity import fit_lexicon, score_toxicity
@@ -148,6 +151,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(captures(pages), list_events(pages))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -164,6 +179,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filters": op10_url_filters,
+        "op11_order_minhash": op11_order_minhash,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": pipeline,
     }
 
@@ -263,10 +281,64 @@ from c left join best on best.host = c.host and best.fetched = c.fetched
 """
 
 
+# The checksum of the id's decimal digits, bit by bit; then the rebuilt turns, a
+# node per distinct prefix, and the sums over its subtree through the members'
+# turns (c) and through the nodes' smallest members (below).
+_TRIE_SQL = r"""
+with ids as (
+  select conv_id, xor(list_reduce(list_prepend(4294967295::bigint,
+      [ord(x)::bigint for x in string_split(conv_id::varchar, '')]),
+    lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0::bigint for i in range(8)]),
+      lambda b, z: xor(b >> 1, (b & 1) * 3988292384))), 4294967295::bigint) % 9 as h
+  from (select distinct conv_id from conversations where conv_id is not null)),
+own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+  from conversations where conv_id is not null),
+turns as (
+  select ids.conv_id, i, role, text from ids
+  join own on own.conv_id = ids.conv_id - ids.conv_id % 5 and i <= h
+  union all
+  select ids.conv_id, i, role, text from ids join own using (conv_id) where i > h),
+steps as (
+  select conv_id, strlen(text)::bigint as size,
+    row_number() over (partition by conv_id order by i)::bigint as depth,
+    string_agg(md5(length(role) || ':' || role || text), '') over (partition by conv_id order by i) as path
+  from turns),
+paths as (
+  select conv_id, depth, path, size from steps union all select conv_id, 0, '', 0 from ids),
+ends as (
+  select conv_id, max(depth) as depth, arg_max(path, depth) as path from paths group by conv_id),
+nodes as (
+  select path, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size
+  from paths group by path, depth),
+c as (select p.path, p.depth, sum(q.size) as tokens
+  from paths p join paths q on p.conv_id = q.conv_id and q.depth >= p.depth group by p.path, p.depth),
+below as (
+  select p.path, p.depth, sum(n.size) as once,
+    count(*) filter (n.depth = p.depth + 1) as n_children,
+    count(*) filter (not exists (
+      select 1 from nodes m where m.depth = n.depth + 1 and left(m.path, len(n.path)) = n.path)) as n_leaves
+  from nodes n join paths p on p.conv_id = n.conv_id and p.depth <= n.depth
+  group by p.path, p.depth),
+closed as (
+  select path, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+  from ends group by path)
+select n.conv_id, n.depth, o.conv_id as parent_conv_id, n.n_convs::bigint as n_convs,
+  n_children::bigint as n_children, n_leaves::bigint as n_leaves,
+  (tokens - once)::bigint as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
+from nodes n join c using (path, depth) join below using (path, depth)
+left join nodes o on o.depth = n.depth - 1 and o.path = left(n.path, len(n.path) - 32)
+left join closed e on e.path = n.path
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL expresses; the others have tests in tests/llm."""
     return {
         "op6_warc": _WARC_SQL,
         "op9_quality_rules": _QUALITY_SQL,
         "op10_url_filters": _URL_SQL,
+        "op13_prefix_trie": _TRIE_SQL,
     }
