@@ -58,6 +58,12 @@ def _step(df: DataFrame, name: str, expression: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(expression)).alias(name))
 
 
+def _sorted(df: DataFrame, name: str, expression: str) -> DataFrame:
+    """Like `_step`, sorted; a projection sorts the numbers as compiled code."""
+    plain = free_name(name, [*df.columns, name])
+    return _step(df.withColumn(plain, F.sort_array(F.expr(expression))), name, F.col(plain)).drop(plain)
+
+
 def with_signature(
     df: DataFrame,
     text: str,
@@ -92,11 +98,7 @@ def with_signature(
     # has all of them set.
     df = _step(df, bits, F.length(F.bin(F.size(hashes))))
     df = _step(df, low, F.expr(f"shiftleft(1L, {bits}) - 1"))
-    df = _step(
-        df,
-        packed,
-        F.sort_array(F.expr(f"transform({hashes}, (h, i) -> shiftleft(h, {bits}) | cast(i as bigint))")),
-    )
+    df = _sorted(df, packed, f"transform({hashes}, (h, i) -> shiftleft(h, {bits}) | cast(i as bigint))")
     df = _step(
         df,
         starts,
@@ -119,16 +121,15 @@ def with_signature(
     # The random order of the numbered k-mers, places in the low bits, and a
     # mark (all low bits set) where each rotation begins.
     marks = ", ".join(f"{-(2**63) + 1 + j * (2**64 // size) - 1}L" if j else "(-9223372036854775807L - 1)" for j in range(size))
-    df = _step(
+    numbered = (
+        f"transform({packed}, (x, i) -> "
+        f"(x & {low}) | (~{low} & xxhash64({hashes}[cast(x & {low} as int)], {{}})))"
+    )
+    df = _sorted(
         df,
         order,
-        F.sort_array(
-            F.expr(
-                f"concat(transform({packed}, (x, i) -> (x & {low}) | (~{low} & "
-                f"xxhash64({hashes}[cast(x & {low} as int)], coalesce(get({number}, i), 0)))), "
-                f"transform(array({marks}), x -> x | {low}))"
-            )
-        ),
+        f"concat(case when size({number}) = 0 then {numbered.format('0')} "
+        f"else {numbered.format(f'{number}[i]')} end, transform(array({marks}), x -> x | {low}))",
     ).drop(packed, number)
     df = _step(df, kmers, F.expr(f"filter({order}, x -> (x & {low}) != {low})"))
     df = _step(
@@ -224,38 +225,29 @@ def fingerprint_edits(
     keys = (
         texts.select(key.alias("key"), "doc_id", text_hash.alias("text_hash"), F.length("text").alias("n"))
         .groupBy("key", "doc_id", "text_hash", "n")
-        .count()
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
     links = scratch.save(
         next_documents(keys, scratch)
-        .join(keys.select("key", (F.col("n") / 3).cast("int").alias("wanted")), "key"),
+        .join(keys.select("key", "copies", (F.col("n") / 3).cast("int").alias("wanted")), "key"),
         "links",
     )
 
-    # One row a document; the exchange below the aggregation serves both joins.
+    # One row a document; both joins read the one exchange below this aggregation.
     signed = with_signature(texts.withColumn("key", key), "text", "signature", kmer, tuple_size, size)
-    by_key = signed.groupBy("key").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("text").alias("text"),
-        F.first("signature").alias("signature"),
-        F.count(F.lit(1)).alias("copies"),
-    )
-    following = by_key.select(
-        F.col("key").alias("next_key"),
-        F.col("doc_id").alias("next_doc_id"),
-        F.col("text").alias("next_text"),
-        F.col("signature").alias("next_signature"),
-        F.col("copies").alias("next_copies"),
-    )
+    by_key = signed.groupBy("key").agg(F.first(F.struct("doc_id", "text", "signature")).alias("own"))
+    following = by_key.select(F.col("key").alias("next_key"), F.col("own").alias("next"))
     heads = links.join(following, "next_key").select(
         "key",
         "wanted",
-        "next_doc_id",
-        F.expr("substr(next_text, 1, wanted)").alias("head"),
-        "next_signature",
+        "copies",
+        F.col("next.doc_id").alias("next_doc_id"),
+        F.expr("substr(next.text, 1, wanted)").alias("head"),
+        F.col("next.signature").alias("next_signature"),
     )
+    edited = by_key.join(heads, "key").select("own.*", *heads.columns[1:])
     n = F.length("text")
-    edited = by_key.join(heads, "key").withColumn(
+    edited = edited.withColumn(
         "edited", F.concat(F.expr("substr(text, 1, length(text) - wanted)"), "head")
     )
     edited = edited.select(

@@ -96,19 +96,32 @@ def test_equals_brute_force(spark, docs_df, models):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, models)
 
 
-def test_large_groups_are_counted_by_distinct_ids(models, monkeypatch):
-    a = alignment.side_a(public_tokenizers.path(VOCABULARY_A))
-    b = alignment.side_b(public_tokenizers.path(VOCABULARY_B))
-    for text in TEXTS:
-        [ids_a], [ids_b] = a.encode([text]), b.encode([text])
-        if groups_of(text, models) is None:
-            continue
-        monkeypatch.setattr(alignment, "GROUP_LINKS", 1 << 16)
-        plain = alignment.align(ids_a, ids_b, a, b)
-        monkeypatch.setattr(alignment, "GROUP_LINKS", 0)
-        by_ids = alignment.align(ids_a, ids_b, a, b)
-        assert plain[:3] == by_ids[:3]
-        assert plain[3].tolist() == by_ids[3].tolist() and plain[4].tolist() == by_ids[4].tolist()
+def units_of(monkeypatch, whole=False, links=1 << 16):
+    monkeypatch.setattr(alignment, "GROUP_LINKS", links)
+    units = alignment.Units(
+        alignment.side_a(public_tokenizers.path(VOCABULARY_A)),
+        alignment.side_b(public_tokenizers.path(VOCABULARY_B)),
+    )
+    assert not units.whole
+    units.whole = whole
+    return units
+
+
+def row_of(units, texts):
+    block = alignment.Block()
+    for t in texts:
+        block.add([t.encode()], [2], [t], units)
+    return block.row(0).to_pydict()
+
+
+def test_units_and_large_groups_change_nothing(monkeypatch):
+    texts = [t for t in TEXTS if t] + ["two  spaces", " leads", "ends ", "a \u00a0 b", "x\x1c y", "\u3000 wide  \u2003"]
+    plain = row_of(units_of(monkeypatch, whole=True), texts)
+    assert row_of(units_of(monkeypatch), texts) == plain
+    assert row_of(units_of(monkeypatch, links=0), texts) == plain
+    monkeypatch.setattr(alignment, "MEMO_CHARACTERS", 5)
+    monkeypatch.setattr(alignment, "UNIT_CHARACTERS", 7)
+    assert row_of(units_of(monkeypatch), texts) == plain
 
 
 def test_odd_tables(spark, docs_df):
