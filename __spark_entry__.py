@@ -7,11 +7,14 @@ The oracle SQL restates the same rules in plain SQL for DuckDB.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tastes.job import run_job
 from tastes.operators import (
     best_ratings,
     contrarian_users,
@@ -24,13 +27,17 @@ from tastes.operators import (
     top_items,
     user_max_rating,
 )
-from tastes.params import TasteParams
+from tastes.params import JobParams, TasteParams
 from tastes.plans import contrarian_tastes
+from tastes.schemas import RATING_COLUMNS, REPORT_SCHEMA
+from tastes.session import ensure_checkpoint_dir
 from tastes.sinks import format_report
-from tastes.sources import parse_ratings, parse_titles
+from tastes.sources import parse_ratings, parse_titles, read_ratings, read_titles
 from tastes.sources.tables import (
     nation_rating_lines,
     nation_ratings,
+    nation_raw_lines,
+    nation_raw_title_lines,
     nation_title_lines,
     nation_titles,
     part_ratings,
@@ -41,9 +48,8 @@ from tastes.sources.tables import (
 
 try:  # The subpackage of text operators may be absent.
     from tastes.llm import queries as llm_queries
-except ImportError as missing:
-    if (missing.name or "").split(".")[-1] not in ("llm", "corpus_pipeline"):
-        raise
+except ImportError:
+    # Nor need a host have every library that the text operators use.
     llm_queries = None
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -119,8 +125,7 @@ def q_contrarian_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rated_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # An item set from a filter, not a limit: no proven bound, so the
-    # general (two-aggregation) division runs.
+    # An item set from a filter, not a limit: no proven bound.
     items = region_nations(spark, sf_dir, REGION)
     return rated_all(nation_ratings(spark, sf_dir), items)
 
@@ -169,6 +174,42 @@ def q_text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_report(contrarian_tastes(ratings, titles, NATION, share_ratings=True))
 
 
+def _rating_files(spark: SparkSession, sf_dir: str) -> str:
+    """The nation ratings, bad lines included, written as text files: a folder.
+
+    One file per item, its header first, and a titles file, in the session's
+    checkpoint folder (a temporary one only where none is set).
+    """
+    base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tastes-"))
+    folder = f"{base.rstrip('/')}/tastes-{uuid.uuid4().hex}"
+    (
+        nation_raw_lines(spark, sf_dir)
+        .repartition("file")
+        .sortWithinPartitions("file", "block", "line")
+        .select("file", "value")
+        .write.partitionBy("file")
+        .text(f"{folder}/ratings")
+    )
+    nation_raw_title_lines(spark, sf_dir).coalesce(1).write.text(f"{folder}/titles")
+    return folder
+
+
+def q_file_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating files with bad lines, read back through the file source, as a set."""
+    return read_ratings(spark, f"{_rating_files(spark, sf_dir)}/ratings").select(*RATING_COLUMNS).distinct()
+
+
+def q_file_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_titles(spark, f"{_rating_files(spark, sf_dir)}/titles")
+
+
+def q_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job from rating files to its CSV file, which is read back."""
+    folder = _rating_files(spark, sf_dir)
+    run_job(spark, JobParams(f"{folder}/ratings", f"{folder}/titles", f"{folder}/report", NATION))
+    return spark.read.schema(REPORT_SCHEMA).csv(f"{folder}/report")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the whole question on the nation mapping at sf0.001."""
     return q_contrarian_tastes(spark, FLAGSHIP_DIR, "nation", FLAGSHIP)
@@ -201,7 +242,10 @@ def taste_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "text_rating_stats": q_text_rating_stats,
         "text_titles": q_text_titles,
         "text_report": q_text_report,
-        # M above the bitmask limit: the pipeline's general division path.
+        "file_ratings": q_file_ratings,
+        "file_titles": q_file_titles,
+        "job_report": q_job_report,
+        # More items than there are: the pipeline's division over all of them.
         "contrarian_tastes_many_items": partial(
             q_contrarian_tastes, mapping="nation", p=NATION_MANY_ITEMS
         ),
@@ -374,6 +418,14 @@ having count(distinct "movieId") = (select count(*) from region_items)""",
         '"movieReleaseYear" || \',\' || "ratingDate" as line from ('
         + _as_text(_sql_pipeline("nation", NATION))
         + ")",
+        "file_ratings": _as_text(_sql_base("nation"))
+        + '\nselect distinct "movieId", cast("customerId" as integer) as "customerId", rating, '
+        + '"ratingDate" from ratings',
+        "file_titles": _as_text(_sql_base("nation")) + "\nselect * from titles",
+        "job_report": 'select cast("customerId" as integer) as "customerId", "movieTitle", '
+        '"movieReleaseYear", "ratingDate" from ('
+        + _as_text(_sql_pipeline("nation", NATION))
+        + ")",
         "contrarian_tastes": _sql_pipeline("nation", NATION),
         "contrarian_tastes_few_popular": _sql_pipeline("nation", NATION_FEW_POPULAR),
         "contrarian_tastes_parts": _sql_pipeline("part", PART_PIPELINE),

@@ -1,27 +1,24 @@
 """Relational division: users who rated every item of a set, and the
 contrarian users among them.
 
-The pipeline's item set is small by construction (it comes out of
-`top_items`, so it has at most `top_n` rows). It travels once, together with
-its own size; a set that exceeds its stated bound fails the job.
-
-The division is exact in both of its forms, and no user's ratings are ever
-collected into one list:
-
-* bounded set of at most 63 items (the pipeline's top items): every item
-  gets one bit, and one aggregation by user ORs the bits together with the
-  rating sum and row count. "Rated all" is `bit_count(mask) = set size`.
-  Two shuffles of the filtered rows (their dedup, then one row per user and
-  map partition).
-* larger set: two partial aggregations, (user, item) and then user,
-  counting distinct items exactly. An unbounded set is joined bare between
-  the two, so a hot item's partition can be split, and its size comes from a
-  scalar subquery (a partial count, not a window in one task).
+One exact division for item sets of any size, and no user's ratings are ever
+collected into one list. A set of item ids is a bitmap of 64-bit words, keyed by
+the id's high part; the rating rows of the set are aggregated to one word per
+(user, high part), the low parts ORed as bits together with the rating sum and
+the row count, and the words to one row per user. "Rated all" is: as many bits
+as the set has ids. Ids need no numbering, so nothing about the set runs in one
+task; a user has at most as many words as items of the set they rated, and one
+word where the ids lie together, as those of a small catalogue do.
+
+A bounded set (the pipeline's comes out of `top_items`, at most `top_n` rows)
+travels once, with its own size; one that exceeds its stated bound fails the
+job. An unbounded set is joined bare, so that a hot item's partition can be
+split, and its size comes from a scalar subquery, a partial count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastes.functions.joins import restrict_to
@@ -36,10 +33,9 @@ from tastes.schemas import (
 )
 
 _SET_SIZE = "_item_set_size"
-_BIT = "_item_bit"
 
-# Item sets up to this size use the one-shuffle bitmask division.
-BITMASK_ITEMS = 63
+# Fixed value: low bits of an id that choose a bit of a 64-bit word.
+LOW_BITS = 6
 
 
 def _rating_rows(ratings: DataFrame) -> DataFrame:
@@ -52,18 +48,15 @@ def _rating_rows(ratings: DataFrame) -> DataFrame:
 def _items_with_size(items: DataFrame, max_items: int) -> DataFrame:
     """Distinct item ids, each carrying the number of distinct ids.
 
-    The count is a window without a partition key: only for item sets that
-    come out of a limit. More ids than the stated bound fail the job.
+    Only for item sets that come out of a limit: they meet in one row. More
+    ids than the stated bound fail the job.
     """
-    ids = items.select(MOVIE_ID).distinct()
-    size = F.count(F.lit(1)).over(Window.partitionBy())
-    return ids.withColumn(_SET_SIZE, size).withColumn(
-        _SET_SIZE,
-        F.when(
-            F.col(_SET_SIZE) > max_items,
-            F.raise_error(F.lit("item set exceeds its stated bound")),
-        ).otherwise(F.col(_SET_SIZE)),
-    )
+    ids = items.agg(F.collect_set(MOVIE_ID).alias("_ids"))
+    size = F.size("_ids")
+    checked = F.when(
+        size > max_items, F.raise_error(F.lit("item set exceeds its stated bound"))
+    ).otherwise(size)
+    return ids.select(F.explode("_ids").alias(MOVIE_ID), checked.cast("long").alias(_SET_SIZE))
 
 
 def item_ratings(
@@ -85,60 +78,39 @@ def rated_all(
     a user's repeat ratings of one item all count; a row without a rating is
     a row but takes no part in the average, as in `rating_stats`.
     """
-    if max_items is not None and max_items <= BITMASK_ITEMS:
-        return _rated_all_bitmask(ratings, items, max_items)
-    if max_items is not None:
-        # Bounded: the set travels once, with its own size.
-        sized = _items_with_size(items, max_items)
-        rows = _rating_rows(ratings).join(sized, MOVIE_ID).distinct()
-        set_size = F.max(_SET_SIZE)
-    else:
-        rows = _rating_rows(ratings).distinct()
-        ids = items.select(MOVIE_ID).where(F.col(MOVIE_ID).isNotNull()).distinct()
-        set_size = F.lit(ids.select(F.count(F.lit(1))).scalar())
-    per_item = rows.groupBy(CUSTOMER_ID, MOVIE_ID).agg(
+    sums = (
         F.sum(RATING).alias("_sum"),
         F.count(RATING).alias("_rated"),
         F.count(F.lit(1)).alias("_rows"),
-        set_size.alias(_SET_SIZE),
     )
-    if max_items is None:
-        # After the aggregation: its order of keys is not the join's, so the
-        # join has exchanges of its own, which AQE can split.
-        per_item = restrict_to(per_item, items, MOVIE_ID)
-    per_user = per_item.groupBy(CUSTOMER_ID).agg(
-        F.count(F.lit(1)).alias("_items"),
+    if max_items is not None:
+        rows = _rating_rows(ratings).join(_items_with_size(items, max_items), MOVIE_ID).distinct()
+        rated = F.col(RATING).isNotNull().cast("int")
+        rows = rows.withColumns({"_sum": F.col(RATING), "_rated": rated, "_rows": F.lit(1)})
+    else:
+        # Joined after an aggregation: its order of keys is not the join's, so
+        # the join has exchanges of its own, which AQE can split.
+        ids = items.select(MOVIE_ID).where(F.col(MOVIE_ID).isNotNull()).distinct()
+        size = F.lit(ids.select(F.count(F.lit(1))).scalar()).alias(_SET_SIZE)
+        per_item = _rating_rows(ratings).distinct().groupBy(CUSTOMER_ID, MOVIE_ID)
+        rows = restrict_to(per_item.agg(*sums, size), items, MOVIE_ID)
+    high = F.shiftright(F.col(MOVIE_ID).cast("long"), LOW_BITS)
+    bit = F.expr(f"shiftleft(1L, cast({MOVIE_ID} & {(1 << LOW_BITS) - 1} as int))")
+    words = rows.groupBy(CUSTOMER_ID, high.alias("_high")).agg(
+        F.bit_or(bit).alias("_word"),
         F.sum("_sum").alias("_sum"),
         F.sum("_rated").alias("_rated"),
         F.sum("_rows").alias("_rows"),
         F.max(_SET_SIZE).alias(_SET_SIZE),
     )
-    return per_user.where(F.col("_items") == F.col(_SET_SIZE)).select(
-        CUSTOMER_ID,
-        (F.col("_sum") / F.nullif(F.col("_rated"), F.lit(0))).alias(AVG_RATING),
-        F.col("_rows").alias(RATINGS_COUNT),
-    )
-
-
-def _rated_all_bitmask(ratings: DataFrame, items: DataFrame, max_items: int) -> DataFrame:
-    indexed = (
-        _items_with_size(items, max_items)
-        .withColumn("_index", F.row_number().over(Window.orderBy(MOVIE_ID)) - 1)
-        .select(
-            MOVIE_ID,
-            _SET_SIZE,
-            F.expr("shiftleft(cast(1 as bigint), _index)").alias(_BIT),
-        )
-    )
-    rows = _rating_rows(ratings).join(F.broadcast(indexed), MOVIE_ID).distinct()
-    per_user = rows.groupBy(CUSTOMER_ID).agg(
-        F.bit_or(_BIT).alias("_mask"),
-        F.sum(RATING).alias("_sum"),
-        F.count(RATING).alias("_rated"),
-        F.count(F.lit(1)).alias("_rows"),
+    per_user = words.groupBy(CUSTOMER_ID).agg(
+        F.sum(F.bit_count("_word")).alias("_items"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_rated").alias("_rated"),
+        F.sum("_rows").alias("_rows"),
         F.max(_SET_SIZE).alias(_SET_SIZE),
     )
-    return per_user.where(F.bit_count("_mask") == F.col(_SET_SIZE)).select(
+    return per_user.where(F.col("_items") == F.col(_SET_SIZE)).select(
         CUSTOMER_ID,
         (F.col("_sum") / F.nullif(F.col("_rated"), F.lit(0))).alias(AVG_RATING),
         F.col("_rows").alias(RATINGS_COUNT),

@@ -16,11 +16,14 @@ pick gives the rule above. `row_number() = 1` is planned as a partial
 `WindowGroupLimit` before the shuffle: a user holding a third of all rows
 still moves one row per map partition.
 
-`best_ratings` (all rows at the maximum, ties kept) cannot shrink to one
-row per user, so it removes duplicates first, aggregates the maxima
-(partial, map-side) and joins them back: nothing above the join needs its
-distribution, so AQE can split a hot user. An unbounded user set of
-`user_max_rating` is joined after the aggregation, one row per user.
+`best_ratings` (all rows at the maximum, ties kept) cannot shrink to one row
+per user. It takes the maximum in two levels: `rank() = 1` over (user, salt of
+the row), planned as a partial `WindowGroupLimit`, drops almost all rows before
+the only shuffle of them, and spreads a hot user over `SALTS` tasks; duplicates
+share a salt, so they are removed there without another shuffle. The rows that
+are left meet their user's maximum over the salts, read from the same exchange,
+in a bare join that AQE can split. An unbounded user set of `user_max_rating`
+is joined after the aggregation, one row per user.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastes.functions.joins import restrict_to
-from tastes.operators.ranking import distinct_ratings
 from tastes.schemas import (
     CUSTOMER_ID,
     ID,
@@ -45,6 +47,9 @@ from tastes.schemas import (
     TITLE_COLUMNS,
 )
 
+# Shares of a user's rows whose maxima are taken apart first.
+SALTS = 16
+
 
 def user_max_rating(
     ratings: DataFrame, users: DataFrame | None = None, max_users: int | None = None
@@ -61,15 +66,24 @@ def best_ratings(
     ratings: DataFrame, users: DataFrame | None = None, max_users: int | None = None
 ) -> DataFrame:
     """Distinct rating rows at their user's maximum rating; all ties kept."""
-    if users is None or max_users is not None:
-        rows = restrict_to(ratings.select(*RATING_COLUMNS), users, CUSTOMER_ID, max_users)
-        rows = distinct_ratings(rows)
-    else:
-        rows = restrict_to(distinct_ratings(ratings), users, CUSTOMER_ID)
+    rows = ratings.select(*RATING_COLUMNS).where(
+        F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull() & F.col(RATING).isNotNull()
+    )
+    rows = restrict_to(rows, users, CUSTOMER_ID, max_users)
+    salt = F.pmod(F.xxhash64(*RATING_COLUMNS), F.lit(SALTS)).cast("int")
+    within = Window.partitionBy(CUSTOMER_ID, "_salt").orderBy(F.col(RATING).desc())
+    local = (
+        rows.withColumn("_salt", salt)
+        .withColumn("_rank", F.rank().over(within))
+        .where("_rank = 1")
+        .select(*RATING_COLUMNS, "_salt")
+        .distinct()
+        .drop("_salt")
+    )
     # The maximum is named `rating`, so the join keeps rows whose
     # (customerId, rating) is a user's (customerId, maximum).
-    maxima = rows.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(RATING))
-    return rows.join(maxima, [CUSTOMER_ID, RATING], "left_semi")
+    maxima = local.groupBy(CUSTOMER_ID).agg(F.max(RATING).alias(RATING))
+    return local.join(maxima, [CUSTOMER_ID, RATING], "left_semi")
 
 
 def favourite_order() -> list:

@@ -109,20 +109,52 @@ def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation ratings as lines of rating files: (file, value), headers included.
+    """The nation ratings as lines of rating files, headers first: (file, block, line, value).
 
-    The date carries a time of day, so rating lines hold colons too.
+    The date carries a time of day, so rating lines hold colons too; lines of
+    the highest rating end in a separator.
     """
     file = F.concat(F.lit("mv_"), F.col(MOVIE_ID).cast("string"), F.lit(".txt")).alias("file")
     dated = F.concat(F.col(RATING_DATE), F.lit(" 10:30"))
+    ending = F.when(F.col(RATING) == STAR_LEVELS, ",").otherwise("")
     ratings = nation_ratings(spark, sf_dir).select(
-        file, F.concat_ws(",", CUSTOMER_ID, RATING, dated).alias("value")
+        file,
+        F.lit(0).alias("block"),
+        (F.monotonically_increasing_id() + 1).alias("line"),
+        F.concat(F.concat_ws(",", CUSTOMER_ID, RATING, dated), ending).alias("value"),
     )
     items = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(MOVIE_ID))
-    headers = items.select(file, F.concat(F.col(MOVIE_ID).cast("string"), F.lit(":")).alias("value"))
+    headers = items.select(
+        file,
+        F.lit(0).alias("block"),
+        F.lit(0).cast("long").alias("line"),
+        F.concat(F.col(MOVIE_ID).cast("string"), F.lit(":")).alias("value"),
+    )
     return headers.union(ratings)
 
 
+def nation_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`nation_rating_lines` and, for every supplier, lines that are no ratings.
+
+    Short, long and blank ones, and one that is short once its trailing
+    separators are dropped, in the file of the supplier's nation.
+    """
+    bad = F.array(
+        F.concat_ws(",", "s_suppkey", F.lit("5")),
+        F.concat_ws(",", "s_suppkey", F.lit("5"), F.lit("1999-01-01"), F.lit("x")),
+        F.lit(""),
+        F.lit("   "),
+        F.concat_ws(",", "s_suppkey", F.lit("5"), F.lit(""), F.lit("")),
+    )
+    lines = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("mv_"), F.col("s_nationkey").cast("string"), F.lit(".txt")).alias("file"),
+        F.lit(0).alias("block"),
+        (F.monotonically_increasing_id() + 1).alias("line"),
+        F.explode(bad).alias("value"),
+    )
+    return nation_rating_lines(spark, sf_dir).union(lines)
+
+
 def nation_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation titles as lines of a titles file: (value); titles hold a comma."""
     title = F.concat(F.col(TITLE), F.lit(", nation"))
@@ -131,6 +163,18 @@ def nation_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_raw_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`nation_title_lines` and, for every region, lines that are no titles."""
+    bad = F.array(
+        F.concat_ws(",", "n_regionkey", F.lit("1999")),
+        F.concat_ws(",", "n_regionkey", F.lit("1999"), F.lit("")),
+        F.lit(""),
+        F.col("n_regionkey").cast("string"),
+    )
+    regions = table(spark, sf_dir, "nation").select("n_regionkey").distinct()
+    return nation_title_lines(spark, sf_dir).union(regions.select(F.explode(bad).alias("value")))
+
+
 def region_nations(spark: SparkSession, sf_dir: str, region: int) -> DataFrame:
     """Items of the nation mapping that lie in one region: (movieId INT)."""
     return (

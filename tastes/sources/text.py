@@ -7,19 +7,21 @@ Rating files (one per item)::
     ...
 
 The files are read line by line, never whole: a blockbuster's file is split
-across tasks like any other large text file. A header line (blanks, digits
-with an optional sign, a colon) carries the item id for the lines of its
-file, so header lines are aggregated to one row per file and joined back on
-the file path. Rating lines carry a salt of their own text and every header
-is repeated once per salt, so in a shuffled join a hot file spreads over
-`HEADER_SALTS` tasks; AQE broadcasts the headers where they are small.
+across tasks like any other large text file. A line's place is the start of its
+split in the file (`_metadata.file_block_start`) and a number that rises within
+the split. The header is the file's first line; its item id goes to all other
+lines of the file.
+
+The lines are derived once: one exchange by (file, salt of the line) feeds both
+the headers, one row per file, and the join that brings them to the lines. Every
+header is repeated once per salt, so a hot file spreads over `HEADER_SALTS`
+tasks.
 
 `parse_ratings` and `parse_titles` work on any DataFrame of lines; the
 readers add the file scan. Checks run inside the plan, with no extra pass: a
-rating line in a file with no header line or more than one, and a
-non-numeric id or rating, fail the job. A colon elsewhere, as in a time of
-day, is ordinary text. Not checked: that the header is the file's first
-line, as lines of a split file have no order.
+line in a file with no header line or more than one, a line before the header,
+and a non-numeric id or rating, fail the job. A colon elsewhere, as in a time
+of day, is ordinary text.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ TITLE_FIELDS = 3
 HEADER_SALTS = 16
 
 FILE = "file"
+BLOCK = "block"
+LINE = "line"
 
 
 def read_ratings(spark: SparkSession, directory: str) -> DataFrame:
@@ -55,7 +59,12 @@ def read_ratings(spark: SparkSession, directory: str) -> DataFrame:
     lines = (
         spark.read.option("pathGlobFilter", RATING_FILES_GLOB)
         .text(directory.strip())
-        .select("value", F.col("_metadata.file_path").alias(FILE))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias(FILE),
+            F.col("_metadata.file_block_start").alias(BLOCK),
+            F.monotonically_increasing_id().alias(LINE),
+        )
     )
     return parse_ratings(lines)
 
@@ -63,17 +72,34 @@ def read_ratings(spark: SparkSession, directory: str) -> DataFrame:
 def parse_ratings(lines: DataFrame) -> DataFrame:
     """Ratings as rows (movieId INT, customerId INT, rating INT, ratingDate STRING).
 
-    `lines` has columns `file` and `value`. Rating lines that do not have
-    exactly three fields (trailing empty fields ignored) are skipped. Exact
-    duplicate lines are kept here; the operators count them once.
+    `lines` has the columns `file` and `value` and, where the header's place is
+    to be checked, `block` and `line`, by which a file's lines are in order.
+    Rating lines that do not have exactly three fields (trailing empty fields
+    ignored) are skipped. Exact duplicate lines are kept here; the operators
+    count them once.
     """
+    ordered = {BLOCK, LINE} <= set(lines.columns)
+    place = F.struct(BLOCK, LINE) if ordered else F.lit(0)
+    shared = lines.select(
+        FILE,
+        "value",
+        place.alias("_place"),
+        F.pmod(F.xxhash64("value"), F.lit(HEADER_SALTS)).cast("int").alias("_salt"),
+    ).repartition(FILE, "_salt")
     is_header = F.col("value").rlike(HEADER_PATTERN)
+    # Not a plain filter: Spark would move it below the exchange, a different
+    # one for each side, and derive the lines twice.
+    here = F.spark_partition_id() >= 0
 
     header_id = strict_int(java_trim(F.substring_index("value", HEADER_MARK, 1)), "movie id")
     headers = (
-        lines.where(is_header)
+        shared.where(F.when(here, is_header))
         .groupBy(FILE)
-        .agg(F.count(F.lit(1)).alias("_headers"), F.min(header_id).alias(MOVIE_ID))
+        .agg(
+            F.count(F.lit(1)).alias("_headers"),
+            F.min(header_id).alias(MOVIE_ID),
+            F.min("_place").alias("_first"),
+        )
         .select(
             FILE,
             F.when(F.col("_headers") == 1, F.col(MOVIE_ID))
@@ -81,26 +107,27 @@ def parse_ratings(lines: DataFrame) -> DataFrame:
                 F.raise_error(F.concat(F.lit("more than one header line in "), F.col(FILE)))
             )
             .alias(MOVIE_ID),
+            "_first",
             F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALTS - 1))).alias("_salt"),
         )
     )
 
     fields = split_fields(strip_trailing_separators("value", SEPARATOR), SEPARATOR)
-    rows = (
-        lines.where(~is_header)
-        .select(
-            FILE,
-            fields.alias("_fields"),
-            F.pmod(F.xxhash64("value"), F.lit(HEADER_SALTS)).cast("int").alias("_salt"),
-        )
-        .where(F.size("_fields") == RATING_FIELDS)
+    rows = shared.where(F.when(here, ~is_header)).select(
+        FILE, "_salt", "_place", fields.alias("_fields")
+    )
+    joined = rows.join(headers, [FILE, "_salt"], "left").where(
+        (F.size("_fields") == RATING_FIELDS) | (F.col("_place") < F.col("_first"))
     )
-    joined = rows.join(headers, [FILE, "_salt"], "left")
     return joined.select(
         F.when(
             F.col(MOVIE_ID).isNull(),
             F.raise_error(F.concat(F.lit("no header line in "), F.col(FILE))),
         )
+        .when(
+            F.col("_place") < F.col("_first"),
+            F.raise_error(F.concat(F.lit("the header is not the first line of "), F.col(FILE))),
+        )
         .otherwise(F.col(MOVIE_ID))
         .alias(MOVIE_ID),
         strict_int(java_trim(field(F.col("_fields"), 0)), "customer id").alias(CUSTOMER_ID),

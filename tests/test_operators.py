@@ -302,3 +302,15 @@ def test_user_max_rating_restricted_to_users(ratings_df):
     users = ratings_df([(0, 10, 0, ""), (0, 12, 0, ""), (0, 12, 0, "")]).select("customerId")
     assert rows(user_max_rating(r, users)) == [(10, 4), (12, 1)]
     assert rows(user_max_rating(r, users, max_users=3)) == [(10, 4), (12, 1)]
+
+
+@pytest.mark.parametrize("max_items", [None, 400])
+def test_division_by_sets_of_any_ids(spark, max_items):
+    """Ids that are negative, far apart, and more than a word holds."""
+    ids = [-(2**62), -65, -64, -1, 0, 63, 64, 2**53, 2**53 + 1, 2**62 + 1, *range(1000, 1200)]
+    rows = [(i, 1, 3, "d") for i in ids] + [(i, 2, 4, "d") for i in ids if i != 2**53 + 1]
+    rows += [(i, 3, None if i == 0 else 5, "d") for i in ids] + [(7777, 2, 1, "d"), (7777, 3, 1, "d")]
+    ratings = spark.createDataFrame(rows, "movieId long, customerId long, rating int, ratingDate string")
+    items = spark.createDataFrame([(i,) for i in ids * 2], "movieId long")
+    got = sorted(tuple(r) for r in rated_all(ratings, items, max_items).collect())
+    assert got == [(1, 3.0, len(ids)), (3, 5.0, len(ids))]

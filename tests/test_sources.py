@@ -156,7 +156,7 @@ def test_header_join_without_broadcast_gives_same_rows(spark, tmp_path, shuffled
 def test_a_colon_outside_the_header_is_text(spark, tmp_path):
     d = write_rating_files(
         tmp_path / "r",
-        {"a.txt": "1:\n10,3,2005-01-01 10:30\n11,4,12:00:00\n", "b.txt": "12,5,2005-01-01\n 2 :\n", "c.txt": ""},
+        {"a.txt": "1:\n10,3,2005-01-01 10:30\n11,4,12:00:00\n", "b.txt": " 2 :\n12,5,2005-01-01\n", "c.txt": ""},
     )
     assert rows(read_ratings(spark, str(d))) == [
         (1, 10, 3, "2005-01-01 10:30"), (1, 11, 4, "12:00:00"), (2, 12, 5, "2005-01-01")]
@@ -200,3 +200,33 @@ def test_titles_with_crlf_line_ends(spark, tmp_path):
     path = tmp_path / "titles.txt"
     path.write_bytes(b"1,2000,First\r\n2,2001,Second, Part\r\n")
     assert rows(read_titles(spark, str(path))) == [(1, "2000", "First"), (2, "2001", "Second, Part")]
+
+
+def test_header_that_is_not_the_first_line_fails(spark, tmp_path):
+    folder = write_rating_files(tmp_path / "late", {"mv_1.txt": "7,5,2001-01-01\n1:\n8,4,2001-01-02\n"})
+    with pytest.raises(Exception, match="not the first line"):
+        read_ratings(spark, str(folder)).collect()
+    folder = write_rating_files(tmp_path / "blank", {"mv_1.txt": "\n1:\n8,4,2001-01-02\n"})
+    with pytest.raises(Exception, match="not the first line"):
+        read_ratings(spark, str(folder)).collect()
+
+
+def test_a_split_file_keeps_its_header(spark, tmp_path):
+    lines = [f"{u},{u % 5 + 1},2001-01-{u % 28 + 1:02d}" for u in range(4000)]
+    folder = write_rating_files(tmp_path / "split", {"mv_3.txt": rating_file(3, lines), "mv_4.txt": rating_file(4, lines[:9])})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 1
+        got = [tuple(r) for r in read_ratings(spark, str(folder)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r[1] for r in got if r[0] == 3) == list(range(4000))
+    assert sorted(r[1] for r in got if r[0] == 4) == list(range(9))
+
+
+def test_lines_are_derived_once(spark, tmp_path):
+    folder = write_rating_files(tmp_path / "once", {"mv_1.txt": rating_file(1, ["7,5,2001-01-01", "8,4,2001-01-02"])})
+    df = read_ratings(spark, str(folder))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
