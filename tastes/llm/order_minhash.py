@@ -1,6 +1,6 @@
 """Document fingerprints by Order MinHash, with DataFrame functions only.
 
-A text becomes pieces (runs of up to three characters other than ASCII blanks,
+A text becomes pieces (runs of up to four characters other than ASCII blanks,
 starting anew at each word), the pieces become k-mers, and every k-mer gets
 the number of its occurrence in the text, so that a repeat counts. Each of the
 signature's `size` components selects the `tuple_size` minimal numbered
@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 from tastes.llm.common import Scratch, free_name
 
-# Fixed value: a piece of text, up to three characters that are no blanks.
-PIECE_PATTERN = r"[^\x20\x09-\x0D]{1,3}"
+# Fixed value: a piece of text, up to four characters that are no blanks.
+PIECE_PATTERN = r"[^\x20\x09-\x0D]{1,4}"
 
 KMER = 3
 TUPLE_SIZE = 2

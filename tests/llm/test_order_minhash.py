@@ -27,7 +27,7 @@ def chain(parts) -> int:
 
 def brute_signature(text: str, kmer=3, tuple_size=2, size=SIZE) -> list[int]:
     """Every order by itself: the minimal numbered k-mers, in text order, hashed."""
-    pieces = re.findall(r"[^\x20\x09-\x0D]{1,3}", text)
+    pieces = re.findall(r"[^\x20\x09-\x0D]{1,4}", text)
     if not pieces:
         return []
     seen, kmers = Counter(), []
