@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastes.params import JobParams, TasteParams
-from tastes.plans.materialize import materialize
+from tastes.plans.materialize import materialize_files
 from tastes.plans.pipeline import contrarian_tastes
 from tastes.sinks.report import write_report
 from tastes.sources.text import RATING_FILES_GLOB, read_ratings, read_titles
@@ -67,11 +67,16 @@ def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
     """The report DataFrame for `params`.
 
     Lazy but for one step: with `materialize_ratings` the parsed ratings are
-    written as parquet before this returns.
+    written as parquet before this returns, unless the copy of an earlier run
+    over the same files is there.
     """
-    parsed = read_ratings(spark, params.ratings_dir)
-    ratings = materialize(spark, parsed, "ratings") if params.materialize_ratings else parsed
     titles = read_titles(spark, params.titles_file)
+    parsed = read_ratings(spark, params.ratings_dir)
+    ratings = parsed
+    if params.materialize_ratings:
+        ratings = materialize_files(
+            spark, params.ratings_dir, RATING_FILES_GLOB, "ratings", lambda: parsed
+        )
     # A parquet copy is cheap to rescan with pushed-down filters; unparsed
     # text is not, so then the branches share one deduplicated result.
     stored = ratings is not parsed

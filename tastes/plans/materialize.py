@@ -1,12 +1,21 @@
-"""Cut lineage by writing a table into the session's checkpoint folder."""
+"""Cut lineage by writing a table into the session's checkpoint folder.
+
+`materialize` writes a copy for one run. `materialize_files` keeps the copy of
+parsed input files from run to run: its name holds a digest of the files' paths,
+lengths and modification times, so unchanged files are not parsed again, and
+the copies of an earlier state are deleted.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastes.session import checkpoint_dir
+from tastes.session import CHECKPOINT_DIR_CONF, checkpoint_dir
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -27,3 +36,65 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/tastes-{uuid.uuid4().hex}/{name}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def files_digest(spark: SparkSession, directory: str, glob: str) -> str:
+    """A digest of the paths, lengths and modification times of the files in `directory`.
+
+    One aggregation over Spark's own file listing, one row back; file contents
+    are not selected, so they are never read.
+    """
+    file = (F.col("path"), F.col("length"), F.col("modificationTime").cast("string"))
+    row = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .load(directory)
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("bytes"),
+            F.bit_xor(F.xxhash64(*file)).alias("hashes"),
+            F.bit_xor(F.xxhash64(F.reverse("path"), *file[1:])).alias("others"),
+        )
+        .first()
+    )
+    return hashlib.sha256(repr(tuple(row)).encode()).hexdigest()[:32]
+
+
+def materialize_files(
+    spark: SparkSession,
+    directory: str,
+    glob: str,
+    name: str,
+    parse: Callable[[], DataFrame],
+    base: str | None = None,
+) -> DataFrame:
+    """`parse()` of the files in `directory`, as a parquet copy that outlives the run.
+
+    The copy lies in `base`, by default the folder of `spark.checkpoint.dir`
+    itself, not the subfolder of one application. It is written beside its place and then
+    renamed, so a copy with its final name is whole; of two runs at once the
+    first one's copy stays. Copies of other states of the same folder are
+    deleted: do not change files under a run that still reads them. Without a
+    checkpoint folder the plan is returned unchanged.
+    """
+    base = base or spark.conf.get(CHECKPOINT_DIR_CONF, None) or checkpoint_dir(spark)
+    if not base:
+        return parse()
+    directory = directory.strip().rstrip("/")
+    family = f"tastes-{name}-{hashlib.sha256(directory.encode()).hexdigest()[:16]}"
+    digest = files_digest(spark, directory, glob)
+    place = f"{base.rstrip('/')}/{family}-{digest}"
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(place).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parsed = parse()
+    if not fs.exists(path(place)):
+        written = f"{base.rstrip('/')}/writing-{uuid.uuid4().hex}"
+        parsed.write.mode("errorifexists").parquet(written)
+        if fs.exists(path(place)) or not fs.rename(path(written), path(place)):
+            fs.delete(path(written), True)
+    for other in fs.globStatus(path(f"{base.rstrip('/')}/{family}-*")) or []:
+        if other.getPath().getName() != f"{family}-{digest}":
+            fs.delete(other.getPath(), True)
+    return spark.read.schema(parsed.schema).parquet(place)

@@ -1,0 +1,71 @@
+"""Copies of parsed files: reused while the files stay, replaced when they change."""
+
+from __future__ import annotations
+
+import os
+import time
+
+import pytest
+from rating_files import rating_file, write_rating_files
+
+from tastes.plans import files_digest, materialize_files
+from tastes.sources import read_ratings
+from tastes.sources.text import RATING_FILES_GLOB
+
+
+@pytest.fixture
+def base(tmp_path):
+    folder = tmp_path / "copies"
+    folder.mkdir()
+    return folder
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def copies(base):
+    return sorted(p for p in os.listdir(base) if not p.startswith("."))
+
+
+def test_life_of_a_copy(spark, tmp_path, base):
+    folder = write_rating_files(tmp_path / "r", {"mv_1.txt": rating_file(1, ["7,5,2001-01-01"])})
+
+    def ratings():
+        return materialize_files(
+            spark, str(folder), RATING_FILES_GLOB, "ratings",
+            lambda: read_ratings(spark, str(folder)), str(base),
+        )
+
+    assert rows(ratings()) == [(1, 7, 5, "2001-01-01")]
+    [first] = copies(base)
+    written = {f: os.path.getmtime(base / first / f) for f in os.listdir(base / first)}
+    # The same files: the copy is read, not written again; the text is not in the plan.
+    again = ratings()
+    assert rows(again) == [(1, 7, 5, "2001-01-01")] and copies(base) == [first]
+    assert {f: os.path.getmtime(base / first / f) for f in os.listdir(base / first)} == written
+    assert "FileScan text" not in again._jdf.queryExecution().toString()
+    # A changed file, a new file, and one that no rating file is.
+    time.sleep(1.1)
+    write_rating_files(folder, {"mv_1.txt": rating_file(1, ["7,4,2001-01-01"])})
+    assert rows(ratings()) == [(1, 7, 4, "2001-01-01")]
+    [second] = copies(base)
+    assert second != first
+    write_rating_files(folder, {"notes.md": "none"})
+    assert rows(ratings()) == [(1, 7, 4, "2001-01-01")] and copies(base) == [second]
+    write_rating_files(folder, {"mv_2.txt": rating_file(2, ["8,1,2001-01-02"])})
+    assert len(rows(ratings())) == 2 and len(copies(base)) == 1
+    # Another folder's copy stays.
+    other = write_rating_files(tmp_path / "s", {"mv_9.txt": rating_file(9, ["1,1,d"])})
+    materialize_files(
+        spark, str(other), RATING_FILES_GLOB, "ratings", lambda: read_ratings(spark, str(other)), str(base)
+    )
+    assert len(copies(base)) == 2 and len(rows(ratings())) == 2
+
+
+def test_digest_follows_the_listing(spark, tmp_path):
+    folder = write_rating_files(tmp_path / "r", {"mv_1.txt": rating_file(1, ["7,5,d"])})
+    first = files_digest(spark, str(folder), RATING_FILES_GLOB)
+    assert files_digest(spark, str(folder), RATING_FILES_GLOB) == first
+    os.rename(folder / "mv_1.txt", folder / "mv_2.txt")
+    assert files_digest(spark, str(folder), RATING_FILES_GLOB) != first
