@@ -12,6 +12,10 @@ Units of a document, normalised (case, blanks) and hashed to 64 bits:
   before a capital that follows a word without one, and after words picked by
   their hash (1 in 32). They give a repeat its exact ends where it has them.
 
+Hashes are polynomials over code points, then over the words' hashes, mixed:
+a text's units are array work on the whole text, and a word is never an
+object of its own. Very long texts are hashed in blocks of whole words.
+
 Per hash the smallest document id is found by a partial aggregation; that
 document keeps its first such unit, every other occurrence is a repeat.
 
@@ -31,45 +35,49 @@ and its join partition can be split, as both sides are scans.
 Null texts stay null, empty ones empty. Rows that repeat a doc_id count as
 one document: they keep what that document keeps. Every row without an id is
 a document of its own; these rank last, in an order fixed when their keys are
-written. Repeats are gathered and joined by row, never by id alone. An empty table gives an empty result.
+written. Repeats are gathered and joined by row, never by id alone. An empty
+table gives an empty result. Columns called like those added or used here
+stay; the added ones then get underscores in front.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastes.llm.common import BLANKS, Scratch
+from tastes.llm.common import free_name as _free
 
 MIN_RUN = 25
 MIN_LINE = 5
-_CUT_ONE_IN = 32
+# A word ends a sentence where the upper bits of its hash are zero: 1 in 32.
+_CUT_BITS = np.uint64(64 - 5)
 # A run of MIN_RUN words is left of any 49 words: 25 + 2 * (13 - 1).
 _WINDOW = 13
 _BASE = 0x9E3779B97F4A7C15 | 1
-_CACHE = 300_000
+# Code points hashed at a time; a longer word is taken whole.
+_BLOCK = 1 << 16
 # Marks that end a sentence, and marks that may follow them.
-_ENDS = (".", "!", "?", "…", "。", "！", "？")
+_ENDS = ".!?…。！？"
 _CLOSING = "\"')]}»”’"
 
-Unit = tuple[int, int, int, int]  # start, end, words, hash
-
 
-class _Hashes(dict):
-    """Hashes of words, remembered."""
+class Units(NamedTuple):
+    """A text's words (places, lines) and its units (ranges of words, digests)."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHE:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
-        return found
+    starts: np.ndarray
+    ends: np.ndarray
+    line: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    digest: np.ndarray
+    whole: np.ndarray  # whether the unit is a line or paragraph
 
 
 class _Powers:
@@ -88,96 +96,58 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-class Splitter:
-    """Cuts a text into its units; remembers what it saw of words."""
+_powers = _Powers()
 
-    def __init__(self) -> None:
-        self.seen: dict[str, tuple[str, bool, bool]] = {}
-        self.hashes = _Hashes()
-        self.powers = _Powers()
-
-    def _look(self, word: str) -> tuple[str, bool, bool]:
-        """(normal form, cut after it, begins with a capital)."""
-        if len(self.seen) > _CACHE:
-            self.seen.clear()
-        low = word.lower()
-        cut = word.rstrip(_CLOSING).endswith(_ENDS) or (
-            zlib.crc32(low.encode("utf-8", "surrogatepass")) % _CUT_ONE_IN == 0
-        )
-        found = self.seen[word] = (low, cut, word[0].isupper())
-        return found
-
-    def __call__(self, text: str) -> list[list[Unit]]:
-        """Sentences of every line of `text`, in order; a blank line has none."""
-        lines, at = [], 0
-        seen = self.seen
-        for line in text.split("\n"):
-            units: list[Unit] = []
-            held: list[str] = []
-            start = end = -1
-            capital = True
-            find = line.find
-            pos = 0
-            for word in _words(line):
-                begin = find(word, pos)
-                low, cut, upper = seen.get(word) or self._look(word)
-                if held and upper and not capital:
-                    units.append((at + start, at + end, len(held), _digest(held)))
-                    held = []
-                if not held:
-                    start = begin
-                held.append(low)
-                pos = end = begin + len(word)
-                capital = upper
-                if cut:
-                    units.append((at + start, at + end, len(held), _digest(held)))
-                    held = []
-            if held:
-                units.append((at + start, at + end, len(held), _digest(held)))
-            lines.append(units)
-            at += len(line) + 1
-        return lines
-
-
-    def wide(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Lines, paragraphs and pairs of pieces, each kind in order of the text.
-
-        (first word, end, hash, whether a line or paragraph); words are
-        counted over the whole text.
-        """
-        # Bytes split on exactly the ASCII blanks.
-        low = text.lower().encode("utf-8", "surrogatepass")
-        lines = [line.split() for line in low.split(b"\n")]
-        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-        n = int(lengths.sum())
-        if not n:
-            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool))
-        words = chain.from_iterable(lines)
-        hashes = np.fromiter(map(self.hashes.__getitem__, words), np.int64, n).view(np.uint64)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        full = ends > starts
-        starts, ends = starts[full], ends[full]
-        # Paragraphs of more than one line.
-        at = np.flatnonzero(full)
-        new = np.flatnonzero(np.diff(at) > 1) + 1
-        first, last = np.append(0, new), np.append(new, len(at)) - 1
-        many = last > first
-        cuts = np.concatenate([[0], _cuts(hashes), [n]])
-        cuts = cuts[np.append(True, np.diff(cuts) > 0)]
-        a, b = (cuts[:-2], cuts[2:]) if len(cuts) > 2 else (cuts[:-1], cuts[1:])
-        begin = np.concatenate([starts, starts[first[many]], a])
-        end = np.concatenate([ends, ends[last[many]], b])
-        up, down = self.powers(n)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
-        digest = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)
-        digest = (digest ^ (digest >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        digest ^= digest >> np.uint64(32)
-        whole = np.arange(len(begin)) < len(begin) - len(a)
-        return begin, end, digest.view(np.int64), whole
-
-
-def _cuts(hashes: np.ndarray) -> np.ndarray:
+
+@cache
+def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point: whether it is a capital, ends a sentence, may follow an end."""
+    upper = np.fromiter((chr(c).isupper() for c in range(0x110000)), bool, 0x110000)
+    ends, closing = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+    ends[[ord(c) for c in _ENDS]] = True
+    closing[[ord(c) for c in _CLOSING]] = True
+    return upper, ends, closing
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _places(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word; only the six ASCII blanks part words."""
+    blank = np.ones(len(points) + 2, bool)
+    blank[1:-1] = (points == 32) | (points - np.uint32(9) < 5)
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _ranges(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the ranges [begin, end) of `values`."""
+    up, down = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=sums[1:])
+    return _mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+def _word_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    found = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        base = starts[a]
+        b = int(np.searchsorted(starts, base + _BLOCK))
+        block = points[base : ends[b - 1]].astype(np.uint64)
+        found[a:b] = _ranges(block, starts[a:b] - base, ends[a:b] - base)
+        a = b
+    return found
+
+
+def _piece_ends(hashes: np.ndarray) -> np.ndarray:
     """Ends of pieces: after the least hash (the last of equals) of any window."""
     n = len(hashes)
     if n < _WINDOW:
@@ -194,112 +164,154 @@ def _cuts(hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(chosen) + 1
 
 
-def _words(line: str) -> list[str]:
-    # str.split() also splits on other Unicode blanks; only these six count.
-    if line.isascii() and not any(c in line for c in "\x1c\x1d\x1e\x1f"):
-        return line.split()
-    plain = b" ".join(line.encode("utf-8", "surrogatepass").split())
-    return plain.decode("utf-8", "surrogatepass").split(" ") if plain else []
-
-
-def _digest(words: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
+def units_of(text: str) -> Units | None:
+    """The units of `text`; none where it has no word."""
+    points = _points(text)
+    starts, ends = _places(points)
+    n = len(starts)
+    if not n:
+        return None
+    # Lower case may be longer, but it has the same words.
+    low = _points(text.lower())
+    hashes = _word_hashes(low, *((starts, ends) if len(low) == len(points) else _places(low)))
+    line = np.searchsorted(np.flatnonzero(points == 10), starts)
+
+    upper, ending, closing = _kinds()
+    capital = upper[points[starts]]
+    # The last character of each word that is not a closing mark.
+    plain = np.where(closing[points], np.int32(-1), np.arange(len(points), dtype=np.int32))
+    plain = np.maximum.accumulate(plain)[ends - 1]
+    stop = (plain >= starts) & ending[points[plain]] | (hashes >> _CUT_BITS == 0)
+    last = np.append(line[1:] != line[:-1], True)
+    stop |= last
+    stop[:-1] |= capital[1:] & ~capital[:-1]
+
+    def stretches(after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([[0], after[:-1]]), after
+
+    line_begin, line_end = stretches(np.flatnonzero(last) + 1)
+    # Paragraphs of more than one line.
+    at = line[line_begin]
+    new = np.flatnonzero(np.diff(at) > 1) + 1
+    top, bottom = np.append(0, new), np.append(new, len(at)) - 1
+    many = bottom > top
+    cuts = np.concatenate([[0], _piece_ends(hashes), [n]])
+    cuts = cuts[np.append(True, np.diff(cuts) > 0)]
+    pair_begin, pair_end = (cuts[:-2], cuts[2:]) if len(cuts) > 2 else (cuts[:-1], cuts[1:])
+    part_begin, part_end = stretches(np.flatnonzero(stop) + 1)
+    begin = np.concatenate([line_begin, line_begin[top[many]], pair_begin, part_begin])
+    end = np.concatenate([line_end, line_end[bottom[many]], pair_end, part_end])
+    whole = np.arange(len(begin)) < len(line_begin) + int(many.sum())
+    digest = _ranges(hashes, begin, end).view(np.int64)
+    return Units(starts, ends, line, begin, end, digest, whole)
+
+
+def _again(units: Units) -> np.ndarray:
+    """Units that the text holds before, without overlap."""
+    order = np.lexsort((units.end, units.digest))
+    sorted_digest = units.digest[order]
+    new = np.append(True, sorted_digest[1:] != sorted_digest[:-1])
+    first_end = units.end[order][new][np.cumsum(new) - 1]
+    again = np.empty(len(order), bool)
+    again[order] = units.begin[order] >= first_end
+    return again
 
 
 def cut_repeats(
-    text: str,
-    lines: list[list[Unit]],
-    elsewhere: set[int],
-    min_run: int,
-    min_line: int,
-    wide: tuple[np.ndarray, ...] | None = None,
+    text: str, units: Units | None, elsewhere: np.ndarray, min_run: int, min_line: int
 ) -> tuple[str, list[tuple[int, int]]]:
     """The text without its repeats, and the removed stretches.
 
-    `lines` are its sentences; `wide` its lines, paragraphs and pieces.
+    `elsewhere` are the digests that a document before this one holds.
     """
-    n = sum(u[2] for units in lines for u in units)
-    repeat, doomed = np.zeros(n, bool), np.zeros(n, bool)
-    own: set[int] = set()
-    at = 0
-    for units in lines:
-        for unit in units:
-            if unit[3] in elsewhere or unit[3] in own:
-                repeat[at : at + unit[2]] = True
-            own.add(unit[3])
-            at += unit[2]
-    if wide is not None:
-        # A pair of pieces does not repeat one that it overlaps.
-        first: dict[int, int] = {}
-        for a, b, digest, whole in zip(*(c.tolist() for c in wide), strict=True):
-            if digest in elsewhere or first.setdefault(digest, b) <= a:
-                repeat[a:b] = True
-                if whole and b - a >= min_line:
-                    doomed[a:b] = True
+    if units is None:
+        return text, []
+    hit = _again(units)
+    if len(elsewhere):
+        hit |= np.isin(units.digest, elsewhere)
+    n = len(units.starts)
+
+    def covered(which: np.ndarray) -> np.ndarray:
+        opened = np.bincount(units.begin[which], minlength=n + 1)
+        return np.cumsum(opened - np.bincount(units.end[which], minlength=n + 1))[:n] > 0
+
+    repeat = covered(hit)
     if not repeat.any():
         return text, []
+    doomed = covered(hit & units.whole & (units.end - units.begin >= min_line))
     # Runs of repeats, over line ends; a blank line does not break a run.
     edges = np.flatnonzero(np.diff(np.concatenate([[False], repeat, [False]]).astype(np.int8)))
-    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-        if b - a >= min_run:
-            doomed[a:b] = True
-    at = 0
-    for units in lines:
-        start, at = at, at + sum(u[2] for u in units)
-        if at - start >= min_line and repeat[start:at].all():
-            doomed[start:at] = True
+    begin, end = edges[::2], edges[1::2]
+    # Lines that repeats fill.
+    first = np.flatnonzero(np.append(True, units.line[1:] != units.line[:-1]))
+    stop = np.append(first[1:], n)
+    sums = np.concatenate([[0], np.cumsum(repeat)])
+    full = (sums[stop] - sums[first] == stop - first) & (stop - first >= min_line)
+    long = end - begin >= min_run
+    for a, b in zip(
+        np.concatenate([begin[long], first[full]]).tolist(),
+        np.concatenate([end[long], stop[full]]).tolist(),
+        strict=True,
+    ):
+        doomed[a:b] = True
     if not doomed.any():
         return text, []
-    kept, spans, at, word = [], [], 0, 0
-    for line, units in zip(text.split("\n"), lines, strict=True):
-        count = sum(u[2] for u in units)
-        gone = doomed[word : word + count].tolist()
-        word += count
-        if not any(gone):
-            kept.append(line)
-        else:
-            places, parts, keep_from = _places(line), [], 0
-            for k, (begin, end) in enumerate(places):
-                if not gone[k]:
-                    continue
-                if k == 0 or not gone[k - 1]:
-                    parts.append(line[keep_from:begin])
-                    spans.append((at + begin, at + end))
-                else:
-                    spans[-1] = (spans[-1][0], at + end)
-                keep_from = places[k + 1][0] if k + 1 < count else end
-            parts.append(line[keep_from:])
-            if not all(gone):
-                kept.append("".join(parts).strip(BLANKS))
-        at += len(line) + 1
-    return "\n".join(kept), spans
+    return _without(text, units, doomed, first)
 
 
-def _places(line: str) -> list[tuple[int, int]]:
-    """Start and end of every word of the line."""
-    places, pos = [], 0
-    for word in _words(line):
-        begin = line.find(word, pos)
-        pos = begin + len(word)
-        places.append((begin, pos))
-    return places
+def _without(
+    text: str, units: Units, doomed: np.ndarray, first: np.ndarray
+) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the words of `doomed`; `first` are the lines' first words."""
+    n = len(doomed)
+    is_first = np.zeros(n + 1, bool)
+    is_first[first] = is_first[n] = True
+    before, after = np.append(False, doomed[:-1]), np.append(doomed[1:], False)
+    opens = np.flatnonzero(doomed & (~before | is_first[:-1]))
+    closes = np.flatnonzero(doomed & (~after | is_first[1:]))
+    spans = list(zip(units.starts[opens].tolist(), units.ends[closes].tolist(), strict=True))
+    # What follows a stretch in its line goes on with the next word.
+    ends_line = is_first[closes + 1]
+    resume = np.where(ends_line, units.ends[closes], units.starts[np.minimum(closes + 1, n - 1)])
+    lines = text.split("\n")
+    offsets = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
+    gone = is_first[opens] & ends_line  # the whole line
+    touched: dict[int, list[tuple[int, int]]] = {}
+    dropped = set(units.line[opens[gone]].tolist())
+    for at, a, b in zip(
+        units.line[opens].tolist(), units.starts[opens].tolist(), resume.tolist(), strict=True
+    ):
+        touched.setdefault(at, []).append((a, b))
+    kept = []
+    for k, line in enumerate(lines):
+        if k in dropped:
+            continue
+        if k in touched:
+            parts, at, base = [], 0, int(offsets[k])
+            for a, b in touched[k]:
+                parts.append(line[at : a - base])
+                at = b - base
+            parts.append(line[at:])
+            line = "".join(parts).strip(BLANKS)
+        kept.append(line)
+    return "\n".join(kept), spans
 
 
 def _unit_hashes(min_run: int, min_line: int):
+    nothing = np.zeros(0, np.int64)
+
     @F.pandas_udf("units array<long>, own boolean")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        split = Splitter()
         for batch in texts:
             rows = []
             for text in batch:
-                lines, wide = (split(text), split.wide(text)) if text else ([], None)
-                units = [u[3] for row in lines for u in row]
-                found = set(units)
-                digests = wide[2].tolist() if wide else []
-                own = len(found) < len(units) or len(set(digests)) < len(digests)
+                units = units_of(text) if text else None
+                if units is None:
+                    rows.append((nothing, False))
+                    continue
                 # Whether the text is cut whatever the other documents hold.
-                own = own and bool(cut_repeats(text, lines, set(), min_run, min_line, wide)[1])
-                rows.append((list(found.union(digests)), own))
+                own = bool(cut_repeats(text, units, nothing, min_run, min_line)[1])
+                rows.append((np.unique(units.digest), own))
             yield pd.DataFrame(rows, columns=["units", "own"])
 
     return run
@@ -364,14 +376,13 @@ def substring_dedup(
 
     @F.pandas_udf("text string, removed array<struct<start:int,end:int>>, n_removed long")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        split = Splitter()
         for texts, elsewhere in batches:
             rows = []
             for text, others in zip(texts, elsewhere, strict=True):
                 gone: list[tuple[int, int]] = []
                 if text and others is not None:
-                    units, wide, known = split(text), split.wide(text), set(others.tolist())
-                    text, gone = cut_repeats(text, units, known, min_run, min_line, wide)
+                    known = np.asarray(others, np.int64)
+                    text, gone = cut_repeats(text, units_of(text), known, min_run, min_line)
                 rows.append(
                     (text, [{"start": a, "end": b} for a, b in gone], sum(b - a for a, b in gone))
                 )
@@ -384,9 +395,3 @@ def substring_dedup(
         F.col(f"{result}.n_removed").alias(_free("n_removed", names)),
     )
 
-
-def _free(name: str, taken: list[str]) -> str:
-    """`name`, with underscores until it differs from the table's columns."""
-    while name.lower() in (t.lower() for t in taken):
-        name = "_" + name
-    return name

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from naive_substring import naive_dedup
 from test_entry import normalised
 from test_minhash import components
 
@@ -20,7 +21,6 @@ from tastes.llm import queries as llm_queries
 from tastes.llm.bpe import VOCABULARY, vocabulary
 from tastes.llm.common import DOCUMENT_COLUMNS, table
 from tastes.llm.decontaminate import words_of
-from tastes.llm.substring import Splitter, cut_repeats
 from tastes.llm.toxicity import features, fit_lexicon, fold, score
 
 SF = "/root/testdata/sf0.001"
@@ -103,11 +103,6 @@ def test_near_duplicates_equal_brute_force(spark, duck):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(texts, 4)
 
 
-def digests_of(split, text: str) -> list[int]:
-    """Sentences, and lines, paragraphs and pieces of the whole text."""
-    return [u[3] for units in split(text) for u in units] + split.wide(text)[2].tolist()
-
-
 def test_pipeline_equals_brute_force(spark, duck):
     lexicon = fit_lexicon(table(spark, SF, "documents"), table(spark, SF, "labels"))
     automaton = lexicon.automaton()
@@ -115,14 +110,7 @@ def test_pipeline_equals_brute_force(spark, duck):
     docs = [(d, t) for d, t in docs if score(features(fold(t), automaton), lexicon) < 0.7]
     groups = components(docs, 5)
     docs = [(d, t) for d, t in docs if groups[d][1] == d]
-    split, first, cut = Splitter(), {}, []
-    for d, t in docs:
-        for digest in digests_of(split, t or ""):
-            first.setdefault(digest, d)
-    for d, t in docs:
-        elsewhere = {x for x in digests_of(split, t or "") if first[x] < d}
-        wide = split.wide(t) if t else None
-        cut.append((d, cut_repeats(t, split(t), elsewhere, 25, 5, wide)[0] if t else t))
+    cut = [(d, text) for d, (text, _) in naive_dedup(docs).items()]
     items = [f" {' '.join(words_of(t))} " for _, t in duck.execute("from benchmark").fetchall()]
     docs = [(d, t) for d, t in cut if not any(x in f" {' '.join(words_of(t))} " for x in items)]
     enc = library()

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import random
 
+import pytest
+from naive_substring import naive_dedup, naive_sentences, naive_units
 from pyspark.sql import functions as F
 
-from tastes.llm.substring import Splitter, cut_repeats, substring_dedup
+from tastes.llm import substring
+from tastes.llm.substring import substring_dedup, units_of
 
 PASSAGE = (
     "The old harbour wall was rebuilt twice after the storms. Nobody kept a record of who paid "
@@ -43,30 +46,59 @@ def test_lines(docs_df):
     assert found[2].text.startswith("Yes.") and found[5].text.startswith("Yes.")
 
 
-def test_equals_brute_force(docs_df):
+def odd_documents():
+    """Lines, paragraphs, odd blanks, letters that grow in lower case, repeats within a text."""
     rng = random.Random(9)
     lines = [text_of(k, rng.randint(1, 40)).replace(" w1", ". W1") for k in range(30)]
-    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 6)))) for i in range(60)]
-    split, first = Splitter(), {}
-    for i, t in rows:
-        for units in split(t):
-            for u in units:
-                first.setdefault(u[3], i)
-    want = {}
-    for i, t in rows:
-        parts = split(t)
-        elsewhere = {u[3] for units in parts for u in units if first[u[3]] < i}
-        want[i] = cut_repeats(t, parts, elsewhere, 25, 5)[0] if t else t
-    got = {i: r.text for i, r in collect(substring_dedup(docs_df(rows))).items()}
+    lines += ["", "  ", "Ünd. \"Dann!\") ging's \x85 fort\u00a0hin", "İZMİR İS FAR. ΟΔΟΣ\x1cΟΔΟΣ \t x", "\U0001f600 ok", "...", ")"]
+    lines += [" ".join(["so"] * 60), "\r" + PASSAGE + "  ", PASSAGE.upper(), "\ud800 half of a pair"]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 9)))) for i in range(90)]
+    words = " ".join(lines[:8]).split()
+    for i in range(90, 130):  # stretches that begin and end anywhere
+        a = rng.randrange(100)
+        rows.append((i, f"{text_of(i, 5)} {' '.join(words[a : a + rng.randint(10, 70)])} {text_of(-i, 5)}"))
+    return [*rows, (130, None), (131, "")]
+
+
+def test_equals_brute_force(docs_df):
+    rows = [(i, None if t is None else t.replace("\ud800", "")) for i, t in odd_documents()]
+    want = naive_dedup(rows)
+    found = collect(substring_dedup(docs_df(rows)))
+    got = {i: (r.text, [(s.start, s.end) for s in r.removed]) for i, r in found.items()}
     assert got == want
+    assert sum(bool(spans) for _, spans in want.values()) > 40
+    assert all(r.n_removed == sum(s.end - s.start for s in r.removed) for r in found.values())
+
+
+@pytest.mark.parametrize("block", [1, 7, substring._BLOCK])
+def test_units_equal_brute_force(monkeypatch, block):
+    """In blocks of any size, the units are those of a loop over words."""
+    monkeypatch.setattr(substring, "_BLOCK", block)
+    digests = {}
+    for _, text in odd_documents():
+        words, ranges = naive_units(text or "")
+        units = units_of(text or "")
+        if units is None:
+            assert not words
+            continue
+        assert [(a, b) for _, a, b, _ in words] == list(zip(units.starts.tolist(), units.ends.tolist()))
+        assert ranges == list(zip(units.begin.tolist(), units.end.tolist(), units.whole.tolist()))
+        for (a, b, _), digest in zip(ranges, units.digest.tolist()):
+            digests.setdefault(tuple(w[0].lower() for w in words[a:b]), set()).add(digest)
+    assert all(len(x) == 1 for x in digests.values())
+    assert len(set().union(*digests.values())) == len(digests)
 
 
 def test_every_removed_unit_survives_somewhere(docs_df):
     rows = [(i, f"{text_of(i % 7)} {PASSAGE} {text_of(i % 5)}") for i in range(40)]
     found = collect(substring_dedup(docs_df(rows)))
-    split = Splitter()
-    left = {u[3] for r in found.values() for units in split(r.text) for u in units}
-    assert {u[3] for _, t in rows for units in split(t) for u in units} <= left
+
+    def sentences(text):
+        words = naive_units(text)[0]
+        return {tuple(w[0] for w in words[a:b]) for a, b in naive_sentences(words)}
+
+    left = set().union(*(sentences(r.text) for r in found.values()))
+    assert set().union(*(sentences(t) for _, t in rows)) <= left
 
 
 def test_edges(docs_df):
