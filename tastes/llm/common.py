@@ -25,14 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; a temporary one only where unset.
+    """The folder of `spark.checkpoint.dir`; a temporary one only in local sessions.
 
-    A session without that setting is a local one (tests): driver and
-    executors are then the same machine.
+    There driver and executors are the same machine. On a cluster every
+    executor would write to its own disk, so a missing setting is an error.
     """
-    return checkpoint_dir(spark) or ensure_checkpoint_dir(
-        spark, tempfile.mkdtemp(prefix="llm-shared-")
-    )
+    found = checkpoint_dir(spark)
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="llm-shared-"))
 
 
 class Scratch:

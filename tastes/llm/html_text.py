@@ -11,6 +11,7 @@ the host's other pages hold, and a tag token. So a page's template are the
 classes that occur on it. A text token is the template's own when it nests in a tag token of its class, that is, when an element around
 it comes as often on every page; everything else fills the template's slots.
 
+The template is deduced over all text, also what the rules below leave out.
 Text in articles is deduced like any other, but over contents instead of
 pages: the content beside a text is the longest block of the article's path
 with most text, that text left out. Copies of an article, with another
@@ -18,8 +19,9 @@ headline or another frame, are one content and cannot void each other.
 
 The main text is what the slots of the content hold. Element names, roles,
 classes and ids only tell which slots those are: the blocks inside `article`
-elements, else inside the main element, else in the body, outside elements
-marked as menu, header, footer, sidebar, notice, advert, form, script, style
+elements (unless the main element holds more text outside of them, as where
+articles are only teasers), else inside the main element, else in the body,
+outside elements marked as menu, header, footer, sidebar, notice, advert, form, script, style
 or comments. They decide alone where a host has too few pages for a template,
 or where the template would leave nothing.
 
@@ -42,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastes.llm.common import Scratch
+from tastes.llm.common import Scratch, free_name
 
 MIN_PAGES = 3
 # Templates up to this many tokens (two hashes of 8 bytes each) are broadcast.
@@ -83,8 +85,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORDS = re.compile(r"[a-z]+")
 
-# (text, path, in an article, in a main element)
-Block = tuple[str, str, bool, bool]
+# (text, path, in an article, in a main element, left out by the tag rules)
+Block = tuple[str, str, bool, bool, bool]
 
 
 def _attributes(raw: str) -> tuple[str, set[str], set[str], bool]:
@@ -111,27 +113,28 @@ def _marked(words: set[str], roles: set[str], article: bool) -> bool:
 
 
 def blocks_of(page: str | None) -> tuple[list[Block], Counter]:
-    """Blocks of text outside what is left out, and counts of element paths."""
+    """Blocks of text, and counts of element paths."""
     blocks: list[Block] = []
     tags: Counter = Counter()
     # Open elements: (name, path, left out, in an article, in a main element)
     stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
-    held: list[str] = []
+    # Text of the block at hand: what the rules keep, and what they leave out.
+    held: tuple[list[str], list[str]] = ([], [])
 
     def flush() -> None:
-        if held:
-            text = " ".join(references.unescape("".join(held)).split())
-            held.clear()
+        for out, parts in enumerate(held):
+            text = " ".join(references.unescape("".join(parts)).split()) if parts else ""
+            parts.clear()
             if text:
                 _, path, _, article, main = stack[-1]
-                blocks.append((text, path, article, main))
+                blocks.append((text, path, article, main, bool(out)))
 
     at, end = 0, len(page or "")
     while at < end:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else end
-        if stop > at and not stack[-1][2]:
-            held.append(page[at:stop])
+        if stop > at:
+            held[stack[-1][2]].append(page[at:stop])
         if not m:
             break
         at = m.end()
@@ -195,22 +198,25 @@ def main_text(page: str | None, template: dict[int, int]) -> str:
 
     `template` has the vectors of the host's template, by text and tag token.
     """
-    blocks, _ = blocks_of(page)
-    for area in (2, 3):
-        if any(b[area] for b in blocks):
-            blocks = [b for b in blocks if b[area]]
-            break
+    blocks = [b for b in blocks_of(page)[0] if not b[4]]
+    article, main = (sum(len(b[0]) for b in blocks if b[k]) for k in (2, 3))
+    beside = sum(len(b[0]) for b in blocks if b[3] and not b[2])
+    area = 2 if article and article >= beside else 3
+    if article or main:
+        blocks = [b for b in blocks if b[area]]
     kept = [b for b in blocks if not _own(b, template)] if template else blocks
     return "\n".join(b[0] for b in kept or blocks)
 
 
 def _contents(blocks: list[Block]) -> dict[tuple[str, str], int | None]:
     """By (path, text): a hash of the content beside it, none where it is alone."""
-    beside = _hash("", "\n".join(b[0] for b in blocks))
-    found: dict[tuple[str, str], int | None] = {(b[1], b[0]): beside for b in blocks if not b[2]}
+    beside = _hash("", "\n".join(b[0] for b in blocks if not b[4]))
+    found: dict[tuple[str, str], int | None] = {
+        (b[1], b[0]): beside for b in blocks if b[4] or not b[2]
+    }
     paths: dict[str, Counter] = {}
-    for text, path, article, _ in blocks:
-        if article:
+    for text, path, article, _, out in blocks:
+        if article and not out:
             paths.setdefault(path, Counter())[text] += 1
     # Per path: length of all texts, and its two longest texts.
     sizes = {p: sum(len(t) * n for t, n in c.items()) for p, c in paths.items()}
@@ -264,16 +270,18 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
         F.xxhash64("html").alias("page"),
         F.explode(_tokens()("html")).alias("t"),
     )
-    # The vector over pages; support counts different pages or contents.
+    # The vector over pages; support counts different pages or contents, exactly:
+    # rows of one of them are put together first.
     token = (
         one.select("host", "page", "t.token", "t.tag", "t.n", "t.content")
+        .withColumn("content", F.when(F.col("tag"), F.col("page")).otherwise(F.col("content")))
+        .groupBy("host", "token", "tag", "content")
+        .agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("rows"))
         .groupBy("host", "token", "tag")
         .agg(
-            F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
-            F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct(F.when(F.col("tag"), F.col("page")).otherwise(F.col("content"))).alias(
-                "different"
-            ),
+            F.bit_xor("vector").alias("vector"),
+            F.sum("rows").alias("rows"),
+            F.count("content").alias("different"),
         )
         .where(F.col("different") >= MIN_PAGES)
     )
@@ -294,7 +302,10 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """`pages`, all columns, with `main_text`."""
+    """`pages`, all columns, with `main_text`.
+
+    A column of its own called `main_text` stays; the text is then `_main_text`.
+    """
     scratch = scratch or Scratch(pages.sparkSession, "html")
     templates = deduce_templates(pages, scratch)
     size = templates.agg(F.sum(F.size("template"))).first()[0] or 0
@@ -312,13 +323,17 @@ def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
                 dtype=object,
             )
 
+    names = pages.columns
+    host, token, vector = (free_name(n, names) for n in ("_host", "_token", "_vector"))
     named = templates.select(
-        F.col("host").alias("_host"),
-        F.col("template.token").alias("_token"),
-        F.col("template.vector").alias("_vector"),
+        F.col("host").alias(host),
+        F.col("template.token").alias(token),
+        F.col("template.vector").alias(vector),
     )
     if size <= BROADCAST_HASHES:
         named = F.broadcast(named)
-    joined = pages.withColumn("_host", host_of(F.col("url"))).join(named, "_host", "left")
-    found = joined.withColumn("main_text", run("html", "_token", "_vector"))
-    return found.drop("_host", "_token", "_vector")
+    joined = pages.withColumn(host, host_of(F.col("url"))).join(named, host, "left")
+    return joined.select(
+        *(F.col(f"`{n}`") for n in names),
+        run("html", token, vector).alias(free_name("main_text", names)),
+    )

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastes.llm.common import Scratch, free_name
+
 BUCKET_DAYS = 32
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -64,51 +66,66 @@ def validity(events: DataFrame) -> DataFrame:
     )
 
 
-def filter_urls(captures: DataFrame, events: DataFrame, fetched: str = "fetched") -> DataFrame:
+def filter_urls(
+    captures: DataFrame,
+    events: DataFrame,
+    fetched: str = "fetched",
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """`captures` with host, verdict, list_name, pattern and listed (since when).
 
-    `captures` has a `url` and the date column `fetched`.
+    `captures` has a `url` and the date column `fetched`. Columns of its own
+    that are called like the five stay; the added ones then get underscores in
+    front. Without captures the result is empty.
     """
-    seen = captures.withColumns(
-        {"host": host_of(F.col("url")), "_day": _day(F.col(fetched))}
+    scratch = scratch or Scratch(captures.sparkSession, "urls")
+    names = captures.columns
+    host, day = free_name("host", names), free_name("_day", names)
+    seen = captures.withColumns({host: host_of(F.col("url")), day: _day(F.col(fetched))})
+    pairs = (
+        seen.select(F.col(host).alias("host"), F.col(day).alias("day"))
+        .where("host is not null and day is not null")
+        .distinct()
     )
-    pairs = seen.select("host", "_day").where("host is not null and _day is not null").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     keys = pairs.withColumn("pattern", F.explode(suffixes)).withColumn(
-        "_bucket", F.floor(F.col("_day") / BUCKET_DAYS)
+        "bucket", F.floor(F.col("day") / BUCKET_DAYS)
     )
-    last = pairs.select(F.max("_day")).scalar()  # open intervals end with the captures
+    last = pairs.select(F.max("day")).scalar()  # open intervals end with the captures
     spans = validity(events).where(F.col("start") <= last)
     bucket = F.sequence(
         F.floor(F.col("start") / BUCKET_DAYS),
         F.floor(F.least(F.coalesce(F.col("stop") - 1, last), last) / BUCKET_DAYS),
     )
-    spans = spans.withColumn("_bucket", F.explode(bucket))
-    held = keys.join(spans, ["pattern", "_bucket"]).where(
-        (F.col("start") <= F.col("_day"))
-        & (F.col("stop").isNull() | (F.col("_day") < F.col("stop")))
+    spans = spans.withColumn("bucket", F.explode(bucket))
+    held = keys.join(spans, ["pattern", "bucket"]).where(
+        (F.col("start") <= F.col("day"))
+        & (F.col("stop").isNull() | (F.col("day") < F.col("stop")))
     )
     # The least of (-length, verdict, list): 'allow' sorts before 'block'.
-    best = held.groupBy("host", "_day").agg(
+    best = held.groupBy("host", "day").agg(
         F.min(
             F.struct(
                 (-F.length("pattern")).alias("rank"), "verdict", "list_name", "pattern", "start"
             )
         ).alias("best")
     )
-    return (
-        seen.join(best, ["host", "_day"], "left")
-        .withColumns(
-            {
-                "verdict": F.coalesce("best.verdict", F.lit("allow")),
-                "list_name": F.col("best.list_name"),
-                "pattern": F.col("best.pattern"),
-                "listed": F.date_from_unix_date("best.start"),
-            }
-        )
-        .drop("_day", "best")
+    # Reread, so that the join has a bare scan on either side and adaptive
+    # execution can split a host and day that hold most captures.
+    found = free_name("_best", [*names, host, day])
+    best = scratch.save(best, "best").toDF(host, day, found)
+    added = {
+        "verdict": F.coalesce(F.col(found)["verdict"], F.lit("allow")),
+        "list_name": F.col(found)["list_name"],
+        "pattern": F.col(found)["pattern"],
+        "listed": F.date_from_unix_date(F.col(found)["start"]),
+    }
+    return seen.join(best, [host, day], "left").select(
+        *(F.col(f"`{n}`") for n in names),
+        F.col(host),
+        *(value.alias(free_name(name, names)) for name, value in added.items()),
     )

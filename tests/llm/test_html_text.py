@@ -1,15 +1,19 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from tastes.llm.html_text import extract, main_text
+from tastes.llm.common import Scratch
+from tastes.llm.html_text import MIN_PAGES, _hash, blocks_of, deduce_templates, extract, main_text
 
 PAGES = "page_id long, url string, html string"
 
 
 def texts(spark, rows):
-    df = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("host", "template", "t", "tag")})
+    df = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("host", "template", "t", "tag", "_host", "_token", "_vector")})
     found = extract(df.repartition(3)).collect()
     assert len(found) == len(rows)
     return {r.page_id: r.main_text for r in found}
@@ -114,3 +118,42 @@ def test_stray_pages_and_second_layouts_do_not_void_a_template(spark):
     rows = [(i, "http://h/", one.format(i)) for i in range(6)] + [(10 + i, "http://h/", two.format(i)) for i in range(4)]
     found = texts(spark, [*rows, (99, "http://h/", "<html><body>Not found")])
     assert found[2] == "Body 2\nRest 2" and found[12] == "Thing 2\nPrice 2" and found[99] == "Not found"
+
+
+def test_more_text_beside_teasers_than_in_them():
+    page = "<main><h1>Title</h1><p>Lead of the story</p><article>Related</article></main><p>Out</p>"
+    assert main_text(page, {}) == "Title\nLead of the story\nRelated"
+    page = "<main><p>By me</p><article><p>The whole story</p></article></main>"
+    assert main_text(page, {}) == "The whole story"
+
+
+def test_template_equals_brute_force(spark):
+    """Occurrence vectors as whole vectors, supports as sets; text left out by the rules counts too."""
+    rng = random.Random(5)
+    frame = "<nav><a>Home</a><a>Shop</a></nav><div class=q><p>Written by us</p></div>"
+    rows = []
+    for i in range(60):
+        some = "<div class=k><p>Seen on some pages</p></div>" if rng.random() < 0.5 else ""
+        rare = "<div class=r><p>Seen on few pages</p></div>" if i % 25 == 0 else ""
+        rows.append((i, f"http://h{i % 3}/", f"<body>{frame}{some}{rare}<div><p>Body {i}</p></div><footer>Us {i % 2}</footer>"))
+    vectors, contents = {}, {}
+    for i, url, page in rows:
+        blocks, tags = blocks_of(page)
+        kept = "\n".join(b[0] for b in blocks if not b[4])
+        for key, n in Counter((b[1], b[0]) for b in blocks).items():
+            vectors.setdefault((url[7:-1], key), {})[i] = n
+            contents.setdefault((url[7:-1], key), set()).add(kept)
+        for key, n in tags.items():
+            vectors.setdefault((url[7:-1], key), {})[i] = n
+            contents.setdefault((url[7:-1], key), set()).add(i)
+    classes = {}
+    for (host, key), v in vectors.items():
+        if len(contents[host, key]) >= MIN_PAGES:
+            classes.setdefault((host, tuple(sorted(v.items()))), []).append(key)
+    want = {}
+    for (host, _), keys in classes.items():
+        if any(isinstance(k, str) for k in keys) and any(isinstance(k, tuple) for k in keys):
+            want.setdefault(host, set()).update(_hash(k) if isinstance(k, str) else _hash(*k) for k in keys)
+    found = deduce_templates(spark.createDataFrame(rows, PAGES).repartition(4), Scratch(spark, "t")).collect()
+    assert {r.host: {t.token for t in r.template} for r in found} == want and len(want) == 3
+    assert all(_hash(">body>nav", "Home Shop") in t or _hash(">body>nav", "HomeShop") in t for t in want.values())

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 from pyspark.sql import functions as F
+from test_joins import final_plan
 
 from tastes.llm.url_filters import filter_urls, validity
 
@@ -46,12 +47,12 @@ def test_equals_brute_force(spark):
         for i in range(600)
     ]
     df = spark.createDataFrame(captures, "page_id long, url string, fetched date").withColumns(
-        {c: F.lit("x") for c in ("start", "stop", "rank", "n")}
+        {c: F.lit("x") for c in ("start", "stop", "rank", "n", "best", "_day", "day", "pattern")}
     )
     found = filter_urls(df, spark.createDataFrame(events, EVENTS)).collect()
     assert len(found) == len(captures)
     for r in found:
-        assert (r.verdict, r.list_name, r.pattern) == brute(r.host, r.fetched, events), r
+        assert (r.verdict, r.list_name, r["_pattern"]) == brute(r.host, r.fetched, events), r
 
 
 def test_intervals(spark):
@@ -74,3 +75,15 @@ def test_no_python_in_the_plan(spark):
     events = spark.createDataFrame([("L", "p", "block", "add", day(0))], EVENTS)
     plan = filter_urls(captures, events)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_hot_host_and_day_is_split(spark, shuffled_joins):
+    captures = spark.range(0, 60000, 1, 6).selectExpr(
+        "id as page_id",
+        "if(id % 2 = 0, 'http://hot.com/', concat('http://h', id % 5000, '.com/')) as url",
+        "if(id % 2 = 0, date'2024-01-01', date_add(date'2024-01-01', int(id % 90))) as fetched",
+    )
+    events = spark.createDataFrame([("L", "hot.com", "block", "add", day(0))], EVENTS)
+    found = filter_urls(captures, events)
+    assert "skew=true" in final_plan(found)
+    assert found.where("verdict = 'block'").count() == 30000
