@@ -7,9 +7,17 @@ each page of the host; it is kept as a fingerprint (an XOR of hashed page
 and count pairs), so that it is a partial aggregation however many pages a
 host has. Tokens of a host with one vector form an equivalence class. A
 class is valid by its support: `MIN_PAGES` different pages at least, whatever
-the host's other pages hold, and a tag token. So a page's template are the
-classes that occur on it. A text token is the template's own when it nests in a tag token of its class, that is, when an element around
-it comes as often on every page; everything else fills the template's slots.
+the host's other pages hold, and two tokens, one of them a tag. A page's
+template are the valid classes that occur on it, nested by their elements.
+
+Two things follow. A text token is the template's own when it nests in a tag
+token of its class, that is, when an element around it comes as often on every
+page; such text goes. And the template's elements divide the page into slots:
+the host's mean length of text in an element, less the template's own text
+there, says which of them holds the content. From the root on the region goes down to the element of the template
+with most text, as long as that element comes once on the page, holds more
+than half of its parent's text and every headline of first order in it, and is
+a container, not a paragraph, list or table; an article is never divided.
 
 The template is deduced over all text, also what the rules below leave out.
 Text in articles is deduced like any other, but over contents instead of
@@ -17,13 +25,13 @@ pages: the content beside a text is the longest block of the article's path
 with most text, that text left out. Copies of an article, with another
 headline or another frame, are one content and cannot void each other.
 
-The main text is what the slots of the content hold. Element names, roles,
-classes and ids only tell which slots those are: the blocks inside `article`
-elements (unless the main element holds more text outside of them, as where
-articles are only teasers), else inside the main element, else in the body,
-outside elements marked as menu, header, footer, sidebar, notice, advert, form, script, style
-or comments. They decide alone where a host has too few pages for a template,
-or where the template would leave nothing.
+Element names, roles, classes and ids label slots: text in elements marked as
+menu, header, footer, sidebar, notice, advert, form, script, style or comments
+is no content and has no part in the lengths. What is left in the region is the
+main text: in its `article` elements (unless the main element holds more text
+outside of them, as where articles are only teasers), else in its main element,
+else in all of it. Labels decide alone where a host has too few pages for a
+template, or where the template would leave nothing.
 
 Character references are decoded, white space in a block becomes one blank,
 blocks are joined by a line feed. A line break element ends a block. Null
@@ -47,8 +55,6 @@ from pyspark.sql import functions as F
 from tastes.llm.common import Scratch, free_name
 
 MIN_PAGES = 3
-# Templates up to this many tokens (two hashes of 8 bytes each) are broadcast.
-BROADCAST_HASHES = 1_000_000
 
 # Names of HTML elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,6 +81,11 @@ GENERIC = set(
     "share sharing signup social subscribe toolbar widget".split()
 )
 CONTENT = {"main", "content", "post", "entry", "story", "article"}
+# Elements that hold a text's parts, so that none of them is a region.
+PARTS = set(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote figure figcaption address details summary "
+    "table caption thead tbody tfoot tr td th hgroup header".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -193,12 +204,73 @@ def _own(block: Block, template: dict[int, int]) -> bool:
     return False
 
 
-def main_text(page: str | None, template: dict[int, int]) -> str:
+def _around(path: str) -> Iterator[str]:
+    """The element of a path and all elements around it, innermost first."""
+    while path:
+        yield path
+        path = path[: path.rindex(">")]
+
+
+def _name(path: str) -> str:
+    return path[path.rindex(">") + 1 :].split(".", 1)[0]
+
+
+def _sizes(blocks: list[Block]) -> Counter:
+    """Length of the text that the labels keep, by element."""
+    sizes: Counter = Counter()
+    for text, path, _, _, out in blocks:
+        if not out:
+            for p in _around(path):
+                sizes[p] += len(text)
+    return sizes
+
+
+def region_of(
+    blocks: list[Block], tags: Counter, template: dict[int, int], sizes: dict[int, float]
+) -> str:
+    """Path of the template's element whose slots hold the content, "" for the page.
+
+    `sizes` has the host's mean length of text in each element of the template.
+    """
+    fixed = _sizes([b for b in blocks if _own(b, template)])
+    mean, heads = {}, []
+    for path in dict.fromkeys(b[1] for b in blocks if not b[4]):
+        around = list(_around(path))
+        heads += [path] if any(_name(p) == "h1" for p in around) else []
+        for p in around:
+            if tags[p] == 1 and p not in mean and _name(p) not in PARTS:
+                size = sizes.get(_hash(p))
+                if size is not None:
+                    mean[p] = size - fixed[p]
+    region, held = "", 0.0
+    while _name(region or ">") != "article":
+        inside = [p for p in mean if p.startswith(f"{region}>")]
+        # The nearest ones: no other element of the template lies between.
+        near = [p for p in inside if not any(o in mean for o in _between(p, region))]
+        best = min(near, key=lambda p: (-mean[p], p), default=None)
+        if best is None or 2 * mean[best] <= held:
+            break
+        if any(h.startswith(f"{region}>") and not f"{h}>".startswith(f"{best}>") for h in heads):
+            break
+        region, held = best, mean[best]
+    return region
+
+
+def _between(path: str, region: str) -> list[str]:
+    return [p for p in _around(path) if p != path and len(p) > len(region)]
+
+
+def main_text(
+    page: str | None, template: dict[int, int], sizes: dict[int, float] | None = None
+) -> str:
     """The main text: the content's blocks that are not the template's own.
 
-    `template` has the vectors of the host's template, by text and tag token.
+    `template` has the vectors of the host's template, by text and tag token,
+    `sizes` the mean lengths of text in its elements.
     """
-    blocks = [b for b in blocks_of(page)[0] if not b[4]]
+    found, tags = blocks_of(page)
+    region = region_of(found, tags, template, sizes) if sizes else ""
+    blocks = [b for b in found if not b[4] and f"{b[1]}>".startswith(f"{region}>")]
     article, main = (sum(len(b[0]) for b in blocks if b[k]) for k in (2, 3))
     beside = sum(len(b[0]) for b in blocks if b[3] and not b[2])
     area = 2 if article and article >= beside else 3
@@ -241,20 +313,20 @@ def host_of(url):
 
 
 def _tokens():
-    @F.pandas_udf("array<struct<token:long,tag:boolean,n:int,content:long>>")
+    @F.pandas_udf("array<struct<token:long,tag:boolean,n:int,size:long,content:long>>")
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in pages:
             out = []
             for page in batch:
                 blocks, tags = blocks_of(page)
                 texts = Counter((b[1], b[0]) for b in blocks)
-                beside = _contents(blocks)
+                beside, sizes = _contents(blocks), _sizes(blocks)
                 found = [
-                    {"token": _hash(p), "tag": True, "n": n, "content": None}
+                    {"token": _hash(p), "tag": True, "n": n, "size": sizes[p], "content": None}
                     for p, n in tags.items()
                 ]
                 found += [
-                    {"token": _hash(*t), "tag": False, "n": n, "content": beside[t]}
+                    {"token": _hash(*t), "tag": False, "n": n, "size": None, "content": beside[t]}
                     for t, n in texts.items()
                 ]
                 out.append(found)
@@ -263,8 +335,27 @@ def _tokens():
     return run
 
 
+def _keys():
+    """The different tokens of a page."""
+
+    @F.pandas_udf("array<long>")
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in pages:
+            out = []
+            for page in batch:
+                blocks, tags = blocks_of(page)
+                out.append(list({_hash(p) for p in tags} | {_hash(b[1], b[0]) for b in blocks}))
+            yield pd.Series(out, dtype=object)
+
+    return run
+
+
 def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, template): tokens of each host's template and their vectors."""
+    """(host, token, vector, size): a row for each token of a host's template.
+
+    `vector` stands for the token's class; `size` is the mean length of kept text
+    in a tag token's element over the different pages that have it, null for texts.
+    """
     one = pages.where("html is not null").select(
         host_of(F.col("url")).alias("host"),
         F.xxhash64("html").alias("page"),
@@ -273,67 +364,93 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     # The vector over pages; support counts different pages or contents, exactly:
     # rows of one of them are put together first.
     token = (
-        one.select("host", "page", "t.token", "t.tag", "t.n", "t.content")
+        one.select("host", "page", "t.*")
         .withColumn("content", F.when(F.col("tag"), F.col("page")).otherwise(F.col("content")))
         .groupBy("host", "token", "tag", "content")
-        .agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+            F.count(F.lit(1)).alias("rows"),
+            F.max("size").alias("size"),
+        )
         .groupBy("host", "token", "tag")
         .agg(
             F.bit_xor("vector").alias("vector"),
             F.sum("rows").alias("rows"),
             F.count("content").alias("different"),
+            F.avg("size").alias("size"),
         )
         .where(F.col("different") >= MIN_PAGES)
     )
     token = scratch.save(token, "tokens")
     # Copies cancel in the XOR, so the number of rows is part of the vector.
     keys = ["host", "vector", "rows"]
-    tags = token.where("tag")
-    texts = scratch.save(
-        token.where("not tag").join(tags.select(*keys).distinct(), keys, "left_semi"), "texts"
+    valid = (
+        token.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("members"), F.bool_or("tag").alias("tagged"))
+        .where("tagged and members >= 2")
     )
-    tags = tags.join(texts.select(*keys).distinct(), keys, "left_semi")
-    member = F.struct("token", F.xxhash64("vector", "rows").alias("vector"))
-    # A class comes whole on each of its pages: no more than a page holds.
     return scratch.save(
-        texts.unionByName(tags).groupBy("host").agg(F.collect_set(member).alias("template")),
+        token.join(valid.select(*keys), keys, "left_semi").select(
+            "host", "token", F.xxhash64("vector", "rows").alias("vector"), "size"
+        ),
         "templates",
     )
 
 
+def page_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, page, template): for each different page its tokens in its host's template.
+
+    No row holds a host's template: a page's tokens meet it by (host, token), so an
+    array has no more members than its own page has tokens.
+    """
+    templates = deduce_templates(pages, scratch)
+    tokens = pages.where("html is not null").select(
+        host_of(F.col("url")).alias("host"),
+        F.xxhash64("html").alias("page"),
+        F.explode(_keys()("html")).alias("token"),
+    )
+    own = tokens.join(templates, ["host", "token"])
+    member = F.struct("token", "vector", "size")
+    return scratch.save(
+        own.groupBy("host", "page").agg(F.collect_set(member).alias("template")), "pages"
+    )
+
+
 def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """`pages`, all columns, with `main_text`.
 
     A column of its own called `main_text` stays; the text is then `_main_text`.
     """
     scratch = scratch or Scratch(pages.sparkSession, "html")
-    templates = deduce_templates(pages, scratch)
-    size = templates.agg(F.sum(F.size("template"))).first()[0] or 0
+    known = pages.select(
+        F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
+    )
+    templates = page_templates(known, scratch)
 
     @F.pandas_udf("string")
     def run(
-        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.Series]:
-        for html, token, vector in batches:
-            yield pd.Series(
-                [
-                    main_text(page, {} if t is None else dict(zip(t.tolist(), v.tolist(), strict=True)))
-                    for page, t, v in zip(html, token, vector, strict=True)
-                ],
-                dtype=object,
-            )
+        for columns in batches:
+            out = []
+            for html, token, vector, size in zip(*columns, strict=True):
+                if token is None:
+                    out.append(main_text(html, {}))
+                    continue
+                tokens = token.tolist()
+                sizes = {t: s for t, s in zip(tokens, size.tolist(), strict=True) if s == s}
+                out.append(main_text(html, dict(zip(tokens, vector.tolist(), strict=True)), sizes))
+            yield pd.Series(out, dtype=object)
 
     names = pages.columns
-    host, token, vector = (free_name(n, names) for n in ("_host", "_token", "_vector"))
-    named = templates.select(
-        F.col("host").alias(host),
-        F.col("template.token").alias(token),
-        F.col("template.vector").alias(vector),
-    )
-    if size <= BROADCAST_HASHES:
-        named = F.broadcast(named)
-    joined = pages.withColumn(host, host_of(F.col("url"))).join(named, host, "left")
+    host, key, template = (free_name(n, names) for n in ("_host", "_page", "_template"))
+    named = templates.toDF(host, key, template)
+    # Both sides are bare scans, so that copies of one page can be split.
+    joined = pages.withColumns(
+        {host: host_of(F.col("url")), key: F.xxhash64(F.col("html").cast("string"))}
+    ).join(named, [host, key], "left")
+    parts = (F.col(f"{template}.{n}") for n in ("token", "vector", "size"))
     return joined.select(
         *(F.col(f"`{n}`") for n in names),
-        run("html", token, vector).alias(free_name("main_text", names)),
+        run(F.col("html"), *parts).alias(free_name("main_text", names)),
     )
