@@ -55,6 +55,10 @@ from pyspark.sql import functions as F
 from tastes.llm.common import Scratch, free_name
 
 MIN_PAGES = 3
+# Templates of at most this many tokens of 24 bytes, in all and for one host, go to
+# the pages by broadcast, so that no page moves; others meet a page's own tokens.
+BROADCAST_TOKENS = 1_000_000
+HOST_TOKENS = 256
 
 # Names of HTML elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -397,35 +401,46 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
-def page_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
+def page_templates(pages: DataFrame, templates: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, page, template): for each different page its tokens in its host's template.
 
     No row holds a host's template: a page's tokens meet it by (host, token), so an
     array has no more members than its own page has tokens.
     """
-    templates = deduce_templates(pages, scratch)
     tokens = pages.where("html is not null").select(
         host_of(F.col("url")).alias("host"),
         F.xxhash64("html").alias("page"),
         F.explode(_keys()("html")).alias("token"),
     )
     own = tokens.join(templates, ["host", "token"])
-    member = F.struct("token", "vector", "size")
     return scratch.save(
-        own.groupBy("host", "page").agg(F.collect_set(member).alias("template")), "pages"
+        own.groupBy("host", "page").agg(F.collect_set(_member()).alias("template")), "pages"
     )
 
 
-def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def _member():
+    return F.struct("token", "vector", "size")
+
+
+def extract(
+    pages: DataFrame,
+    scratch: Scratch | None = None,
+    broadcast_tokens: int = BROADCAST_TOKENS,
+    host_tokens: int = HOST_TOKENS,
+) -> DataFrame:
     """`pages`, all columns, with `main_text`.
 
     A column of its own called `main_text` stays; the text is then `_main_text`.
+    Templates of at most `broadcast_tokens` tokens, at most `host_tokens` a host, are
+    broadcast; the texts do not depend on it.
     """
     scratch = scratch or Scratch(pages.sparkSession, "html")
     known = pages.select(
         F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
-    templates = page_templates(known, scratch)
+    templates = deduce_templates(known, scratch)
+    counts = templates.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
 
     @F.pandas_udf("string")
     def run(
@@ -444,11 +459,15 @@ def extract(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
     names = pages.columns
     host, key, template = (free_name(n, names) for n in ("_host", "_page", "_template"))
-    named = templates.toDF(host, key, template)
-    # Both sides are bare scans, so that copies of one page can be split.
-    joined = pages.withColumns(
-        {host: host_of(F.col("url")), key: F.xxhash64(F.col("html").cast("string"))}
-    ).join(named, [host, key], "left")
+    hosted = pages.withColumn(host, host_of(F.col("url")))
+    if (total or 0) <= broadcast_tokens and (most or 0) <= host_tokens:
+        named = templates.groupBy("host").agg(F.collect_list(_member()).alias("template"))
+        joined = hosted.join(F.broadcast(named.toDF(host, template)), host, "left")
+    else:
+        # Both sides are bare scans, so that copies of one page can be split.
+        named = page_templates(known, templates, scratch).toDF(host, key, template)
+        keyed = hosted.withColumn(key, F.xxhash64(F.col("html").cast("string")))
+        joined = keyed.join(named, [host, key], "left")
     parts = (F.col(f"{template}.{n}") for n in ("token", "vector", "size"))
     return joined.select(
         *(F.col(f"`{n}`") for n in names),

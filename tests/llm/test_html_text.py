@@ -15,7 +15,8 @@ PAGES = "page_id long, url string, html string"
 def texts(spark, rows):
     df = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("host", "template", "t", "tag", "_host", "_token", "_vector", "_page", "_template", "token", "page", "vector")})
     found = extract(df.repartition(3)).collect()
-    assert len(found) == len(rows)
+    moved = extract(df.repartition(3), broadcast_tokens=-1).collect()
+    assert len(found) == len(rows) and Counter(found) == Counter(moved)
     return {r.page_id: r.main_text for r in found}
 
 
