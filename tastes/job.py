@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastes.params import JobParams, TasteParams
-from tastes.plans.materialize import materialize_files
+from tastes.plans.materialize import Placement, materialize_files
 from tastes.plans.pipeline import contrarian_tastes
+from tastes.schemas import RATING_COLUMNS
 from tastes.sinks.report import write_report
 from tastes.sources.text import RATING_FILES_GLOB, read_ratings, read_titles
 
@@ -20,6 +21,8 @@ from tastes.sources.text import RATING_FILES_GLOB, read_ratings, read_titles
 # Target input bytes per shuffle partition when sizing from the input.
 BYTES_PER_PARTITION = 128 * 1024 * 1024
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Buckets of the copy where the session's number of shuffle partitions is none.
+DEFAULT_BUCKETS = 200
 
 
 def input_bytes(spark: SparkSession, directory: str) -> int:
@@ -68,14 +71,23 @@ def build_report(spark: SparkSession, params: JobParams) -> DataFrame:
 
     Lazy but for one step: with `materialize_ratings` the parsed ratings are
     written as parquet before this returns, unless the copy of an earlier run
-    over the same files is there.
+    over the same files is there. The copy's rows are distinct and lie in as many
+    buckets as the session has shuffle partitions, by all rating columns, so that
+    no branch has to exchange them to remove duplicates.
     """
     titles = read_titles(spark, params.titles_file)
     parsed = read_ratings(spark, params.ratings_dir)
     ratings = parsed
     if params.materialize_ratings:
+        setting = spark.conf.get(SHUFFLE_PARTITIONS)
+        buckets = int(setting) if setting.isdigit() else DEFAULT_BUCKETS
         ratings = materialize_files(
-            spark, params.ratings_dir, RATING_FILES_GLOB, "ratings", lambda: parsed
+            spark,
+            params.ratings_dir,
+            RATING_FILES_GLOB,
+            "ratings",
+            lambda: parsed,
+            placement=Placement(tuple(RATING_COLUMNS), buckets),
         )
     # A parquet copy is cheap to rescan with pushed-down filters; unparsed
     # text is not, so then the branches share one deduplicated result.

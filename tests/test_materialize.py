@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 import time
 
 import pytest
 from rating_files import rating_file, write_rating_files
 
+from tastes.job import build_report
+from tastes.operators import item_ratings, rating_stats
+from tastes.params import JobParams, TasteParams
 from tastes.plans import files_digest, materialize_files
+from tastes.plans.materialize import Placement, table_name
+from tastes.schemas import ID, MOVIE_ID, RATING_COLUMNS, TITLES_SCHEMA
 from tastes.sources import read_ratings
 from tastes.sources.text import RATING_FILES_GLOB
 
@@ -69,3 +75,91 @@ def test_digest_follows_the_listing(spark, tmp_path):
     assert files_digest(spark, str(folder), RATING_FILES_GLOB) == first
     os.rename(folder / "mv_1.txt", folder / "mv_2.txt")
     assert files_digest(spark, str(folder), RATING_FILES_GLOB) != first
+
+
+def _exchanges(df) -> list[str]:
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.fixture
+def placed(spark, tmp_path, base):
+    lines = [f"{u},{(u * m) % 5 + 1},2001-01-{m:02d}" for m in range(1, 10) for u in range(40)]
+    files = {f"mv_{m}.txt": rating_file(m, lines[m - 1 :: 9] * 2) for m in range(1, 10)}
+    folder = write_rating_files(tmp_path / "r", files)
+
+    def make(*columns, buckets=4):
+        return materialize_files(
+            spark, str(folder), RATING_FILES_GLOB, "ratings", lambda: read_ratings(spark, str(folder)),
+            str(base), Placement(columns, buckets) if columns else None,
+        )
+
+    return make
+
+
+def test_duplicates_are_removed_without_an_exchange(placed, base):
+    want = sorted(set(rows(placed())))
+    copy = placed(*RATING_COLUMNS)
+    assert rows(copy) == want and len(copies(base)) == 1
+    assert _exchanges(copy.distinct()) == []
+    assert _exchanges(copy.repartition(3).distinct()) != []  # the reading sees exchanges
+    # The stored placement is found again by a later run.
+    assert rows(placed(*RATING_COLUMNS)) == want and len(copies(base)) == 1
+
+
+def test_a_join_by_item_reuses_the_placement(spark, placed, shuffled_joins):
+    plain = rows(rating_stats(placed()))
+    copy = placed(MOVIE_ID)
+    stats = rating_stats(copy)
+    assert _exchanges(stats) == [] and rows(stats) == plain
+    titles = spark.createDataFrame([(m, "2000", f"T{m}") for m in range(1, 6)], TITLES_SCHEMA)
+    joined = stats.join(titles, stats[MOVIE_ID] == titles[ID])
+    assert len(joined.collect()) == 5
+    [only] = _exchanges(joined)
+    assert "hashpartitioning(id#" in only  # the titles move, the ratings do not
+    some = item_ratings(copy, titles.select(titles[ID].alias(MOVIE_ID)))
+    assert all("customerId" not in line for line in _exchanges(some))
+    assert len(rows(some)) == len([r for r in rows(copy) if r[0] < 6])
+
+
+def test_another_placement_replaces_the_copy(spark, placed, base):
+    rows(placed(*RATING_COLUMNS))
+    [first] = copies(base)
+    assert len(rows(placed(MOVIE_ID, buckets=2))) == len(set(rows(placed())))
+    assert first not in copies(base)
+    assert not spark.catalog.tableExists(table_name(f"{base}/{first}"))
+
+
+def test_copies_of_one_folder_in_two_places_are_two_tables(spark, tmp_path):
+    folder = write_rating_files(tmp_path / "r", {"mv_1.txt": rating_file(1, ["7,5,2001-01-01"])})
+    for place in ("a", "b"):
+        (tmp_path / place).mkdir()
+        copy = materialize_files(
+            spark, str(folder), RATING_FILES_GLOB, "ratings", lambda: read_ratings(spark, str(folder)),
+            str(tmp_path / place), Placement((MOVIE_ID,), 2),
+        )
+        assert rows(copy) == [(1, 7, 5, "2001-01-01")]
+        assert all(f"/{place}/" in f for f in copy.inputFiles())
+
+
+def test_a_placement_needs_columns_and_buckets():
+    for columns, buckets in (((), 4), ((MOVIE_ID,), 0)):
+        with pytest.raises(ValueError):
+            Placement(columns, buckets)
+
+
+def test_job_reads_its_placed_copy(spark, tmp_path):
+    files = {f"mv_{m}.txt": rating_file(m, [f"{u},{u % 5 + 1},2001-01-01" for u in range(9)]) for m in (1, 2)}
+    folder = write_rating_files(tmp_path / "r", files)
+    (tmp_path / "titles.txt").write_text("1,2001,One\n2,2002,Two\n")
+    tastes = TasteParams(min_ratings=1, top_items=2, top_users=3)
+    reports = []
+    for stored in (True, False):
+        params = JobParams(str(folder), str(tmp_path / "titles.txt"), str(tmp_path / "o"), tastes, materialize_ratings=stored)
+        report = build_report(spark, params)
+        reports.append(rows(report))
+        text = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        everything = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning\(.*ratingDate", line)]
+        assert bool(everything) != stored
+    assert reports[0] == reports[1] and len(reports[0]) == 3
