@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from html.parser import HTMLParser
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tastes.llm.common import Scratch
-from tastes.llm.html_text import MIN_PAGES, _hash, blocks_of, deduce_templates, extract, main_text
+from tastes.llm.html_text import MIN_PAGES, _hash, blocks_of, deduce_templates, extract, main_text, region_of
 
 PAGES = "page_id long, url string, html string"
 
@@ -195,3 +197,66 @@ def test_region_divides_no_article(spark):
              f"<p>{f'Story {i} is long. ' * 9}</p></div></article></body>") for i in range(6)]
     story = "Story 3 is long. " * 9
     assert texts(spark, rows)[3] == f"By 3\n{story.strip()}"
+
+
+class Articles(HTMLParser):
+    """Blocks of the text in `article` elements, read by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.out, self.blocks, self.part = 0, 0, [], ""
+
+    def end_block(self):
+        text = " ".join(self.part.split())
+        self.blocks += [text] if text else []
+        self.part = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("a", "b", "i", "em", "strong", "span", "img"):
+            self.end_block()
+        self.depth += tag == "article"
+        self.out += tag in ("script", "style", "nav", "form", "aside", "footer")
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.end_block()
+        self.depth -= tag == "article"
+        self.out -= tag in ("script", "style", "nav", "form", "aside", "footer")
+
+    def handle_data(self, data):
+        if self.depth > 0 and self.out <= 0:
+            self.part += data
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not Path(SF).is_dir(), reason="test data not available")
+def test_query_equals_another_reader(spark):
+    """Every page of the given table, read without the operator's code."""
+    import __spark_entry__ as entry
+
+    want = {}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        reader = Articles()
+        reader.feed(r.html or "")
+        reader.close()
+        reader.end_block()
+        text = "\n".join(reader.blocks)
+        want[r.page_id] = (r.url, text, len(text))
+    found = entry.queries()["op2_html_extraction"](spark, SF).collect()
+    assert {r.page_id: (r.url, r.text, r.n_chars) for r in found} == want and len(found) == len(want)
+
+
+def test_region_follows_the_lengths_of_unnamed_slots():
+    """The region is the element with over half of the text, else what holds them all."""
+    rng = random.Random(11)
+    for _ in range(50):
+        lengths = [rng.randint(1, 99) for _ in range(4)]
+        page = "<body>" + "".join(f"<div class={c}><p>x</p></div>" for c in "abcd") + "</body>"
+        sizes = {_hash(f">body>div.{c}"): n for c, n in zip("abcd", lengths, strict=True)}
+        sizes[_hash(">body")] = sum(lengths)
+        blocks, tags = blocks_of(page)
+        big = [c for c, n in zip("abcd", lengths, strict=True) if 2 * n > sum(lengths)]
+        want = f">body>div.{big[0]}" if big else ">body"
+        assert region_of(blocks, tags, {}, sizes) == want
