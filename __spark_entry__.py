@@ -42,6 +42,7 @@ from tastes.sources.tables import (
     nation_titles,
     part_ratings,
     part_titles,
+    ratings_partitions,
     region_nations,
     segment_customers,
 )
@@ -102,7 +103,7 @@ def _shared_nation(spark: SparkSession, sf_dir: str):
     The mapped ratings are a join of two fact tables, expensive to derive
     again; the operators' own dedup of this input is dropped as redundant.
     """
-    ratings = distinct_ratings(nation_ratings(spark, sf_dir))
+    ratings = distinct_ratings(nation_ratings(spark, sf_dir), ratings_partitions(spark, sf_dir))
     top = top_items(
         ratings, nation_titles(spark, sf_dir), NATION.min_ratings, NATION.top_items
     )
@@ -156,7 +157,8 @@ def q_segment_favourites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_contrarian_tastes(spark: SparkSession, sf_dir: str, mapping: str, p: TasteParams):
     ratings, titles = _inputs(spark, sf_dir, mapping)
     # The mapped ratings are a join of two fact tables: share one copy.
-    return contrarian_tastes(ratings, titles, p, share_ratings=True)
+    partitions = ratings_partitions(spark, sf_dir)
+    return contrarian_tastes(ratings, titles, p, share_ratings=True, partitions=partitions)
 
 
 def q_text_rating_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +173,10 @@ def q_text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole question from lines of text to lines of the report."""
     ratings = parse_ratings(nation_rating_lines(spark, sf_dir))
     titles = parse_titles(nation_title_lines(spark, sf_dir))
-    return format_report(contrarian_tastes(ratings, titles, NATION, share_ratings=True))
+    partitions = ratings_partitions(spark, sf_dir)
+    return format_report(
+        contrarian_tastes(ratings, titles, NATION, share_ratings=True, partitions=partitions)
+    )
 
 
 def _rating_files(spark: SparkSession, sf_dir: str) -> str:

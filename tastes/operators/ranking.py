@@ -27,19 +27,24 @@ from tastes.schemas import (
 )
 
 
-def distinct_ratings(ratings: DataFrame) -> DataFrame:
+def distinct_ratings(ratings: DataFrame, partitions: int | None = None) -> DataFrame:
     """Ratings as a set: exact-duplicate removal over the four columns.
 
     The same line twice, in one file or in two files of the same movie,
     counts once. A row without an item or a user id is not a rating. Stating
     that here also makes every plan that shares this result carry the same
     null checks, so Spark can reuse its exchange across branches.
+
+    `partitions` is for ratings too many for the session's shuffle partitions:
+    the rows are dealt to that many, which AQE does not merge again, so a task's
+    hash tables hold a bounded share of them however many rows there are.
     """
-    return (
-        ratings.select(*RATING_COLUMNS)
-        .where(F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull())
-        .distinct()
+    rows = ratings.select(*RATING_COLUMNS).where(
+        F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull()
     )
+    if partitions:
+        rows = rows.repartition(partitions, *RATING_COLUMNS)
+    return rows.distinct()
 
 
 def unique_titles(titles: DataFrame) -> DataFrame:

@@ -46,17 +46,19 @@ def contrarian_tastes(
     titles: DataFrame,
     params: TasteParams = TasteParams(),
     share_ratings: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Report rows: customerId, movieTitle, movieReleaseYear, ratingDate.
 
     A row without an item or a user id is not a rating and is ignored. The
     filter is stated once here, so every branch carries the same one: the
     null checks each branch's join would infer are then redundant, and the
-    branches stay identical up to the shared exchange.
+    branches stay identical up to the shared exchange. `partitions` is the
+    number of partitions of the shared ratings, where the session's is too small.
     """
     ratings = ratings.where(F.col(MOVIE_ID).isNotNull() & F.col(CUSTOMER_ID).isNotNull())
     if share_ratings:
-        ratings = distinct_ratings(ratings)
+        ratings = distinct_ratings(ratings, partitions)
     top = top_items(
         ratings, titles, params.min_ratings, params.top_items, params.inclusive
     )

@@ -20,6 +20,8 @@ broadcast. Dimension joins (supplier) are left to Catalyst and AQE.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,8 @@ STAR_LEVELS = 5
 FIRST_RELEASE_YEAR = 2000
 FIRST_PART_RELEASE_YEAR = 1990
 PART_YEAR_SPREAD = 5
+# Stored bytes of line items whose ratings make one partition, when sizing from the input.
+BYTES_PER_PARTITION = 4 * 1024 * 1024
 
 
 # The columns read from each driver table, with their stored types. Declaring
@@ -57,6 +61,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ratings_partitions(spark: SparkSession, sf_dir: str) -> int | None:
+    """How many partitions the ratings of all line items need; None if the session has them.
+
+    The number of shuffle partitions is fixed when a query is planned, so without
+    this a task's share of the ratings grows with the table. The length of the
+    table comes from its file system, no file is read. A non-numeric setting is
+    left to its owner.
+    """
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    if not setting.isdigit():
+        return None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = math.ceil(fs.getContentSummary(path).getLength() / BYTES_PER_PARTITION)
+    return wanted if wanted > int(setting) else None
+
+
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
