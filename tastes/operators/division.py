@@ -18,7 +18,7 @@ split, and its size comes from a scalar subquery, a partial count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastes.functions.joins import restrict_to
@@ -33,6 +33,7 @@ from tastes.schemas import (
 )
 
 _SET_SIZE = "_item_set_size"
+_HIGH = "_high"
 
 # Fixed value: low bits of an id that choose a bit of a 64-bit word.
 LOW_BITS = 6
@@ -45,18 +46,28 @@ def _rating_rows(ratings: DataFrame) -> DataFrame:
     )
 
 
+def _high_part() -> Column:
+    """The key of an id's word."""
+    return F.shiftright(F.col(MOVIE_ID).cast("long"), LOW_BITS)
+
+
 def _items_with_size(items: DataFrame, max_items: int) -> DataFrame:
-    """Distinct item ids, each carrying the number of distinct ids.
+    """Distinct item ids, each carrying the number of distinct ids and its high part.
 
     Only for item sets that come out of a limit: they meet in one row. More
-    ids than the stated bound fail the job.
+    ids than the stated bound fail the job. The aggregation by id, of one row
+    each, tells Catalyst that ids are distinct: a join with them repeats no row,
+    so distinct ratings stay distinct and are not hashed again.
     """
     ids = items.agg(F.collect_set(MOVIE_ID).alias("_ids"))
     size = F.size("_ids")
     checked = F.when(
         size > max_items, F.raise_error(F.lit("item set exceeds its stated bound"))
     ).otherwise(size)
-    return ids.select(F.explode("_ids").alias(MOVIE_ID), checked.cast("long").alias(_SET_SIZE))
+    sized = ids.select(F.explode("_ids").alias(MOVIE_ID), checked.cast("long").alias(_SET_SIZE))
+    return sized.groupBy(MOVIE_ID).agg(
+        F.max(_SET_SIZE).alias(_SET_SIZE), F.max(_high_part()).alias(_HIGH)
+    )
 
 
 def item_ratings(
@@ -84,9 +95,9 @@ def rated_all(
         F.count(F.lit(1)).alias("_rows"),
     )
     if max_items is not None:
+        # Nothing is computed between this and the sums, the high part comes with
+        # the items: so Catalyst drops the duplicate removal of what is a set already.
         rows = _rating_rows(ratings).join(_items_with_size(items, max_items), MOVIE_ID).distinct()
-        rated = F.col(RATING).isNotNull().cast("int")
-        rows = rows.withColumns({"_sum": F.col(RATING), "_rated": rated, "_rows": F.lit(1)})
     else:
         # Joined after an aggregation: its order of keys is not the join's, so
         # the join has exchanges of its own, which AQE can split.
@@ -94,13 +105,12 @@ def rated_all(
         size = F.lit(ids.select(F.count(F.lit(1))).scalar()).alias(_SET_SIZE)
         per_item = _rating_rows(ratings).distinct().groupBy(CUSTOMER_ID, MOVIE_ID)
         rows = restrict_to(per_item.agg(*sums, size), items, MOVIE_ID)
-    high = F.shiftright(F.col(MOVIE_ID).cast("long"), LOW_BITS)
+        rows = rows.withColumn(_HIGH, _high_part())
+        sums = tuple(F.sum(c).alias(c) for c in ("_sum", "_rated", "_rows"))
     bit = F.expr(f"shiftleft(1L, cast({MOVIE_ID} & {(1 << LOW_BITS) - 1} as int))")
-    words = rows.groupBy(CUSTOMER_ID, high.alias("_high")).agg(
+    words = rows.groupBy(CUSTOMER_ID, _HIGH).agg(
         F.bit_or(bit).alias("_word"),
-        F.sum("_sum").alias("_sum"),
-        F.sum("_rated").alias("_rated"),
-        F.sum("_rows").alias("_rows"),
+        *sums,
         F.max(_SET_SIZE).alias(_SET_SIZE),
     )
     per_user = words.groupBy(CUSTOMER_ID).agg(

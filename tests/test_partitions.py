@@ -7,7 +7,7 @@ import io
 import random
 import re
 
-from tastes.operators import distinct_ratings
+from tastes.operators import distinct_ratings, rated_all, top_items
 from tastes.params import TasteParams
 from tastes.plans import contrarian_tastes
 from tastes.sources import tables
@@ -41,6 +41,24 @@ def test_partitions_of_shared_ratings(spark, ratings_df, titles_df):
     )
 
 
+def test_distinct_ratings_are_hashed_once_a_branch(ratings_df, titles_df):
+    ratings, titles = inputs(ratings_df, titles_df)
+    by_date = re.compile(r"Aggregate \[[^\]]*ratingDate#\d+[^\]]*\]")
+
+    def hashed(df):
+        return len(by_date.findall(df._jdf.queryExecution().optimizedPlan().toString()))
+
+    # Top items, division, favourites: one each.
+    assert hashed(contrarian_tastes(ratings, titles, PARAMS)) == 3
+    distinct = distinct_ratings(ratings)
+    top = top_items(distinct, titles, 3, 4)
+    assert hashed(rated_all(distinct, top, 4)) == hashed(top) + 1
+    # Ratings that are no set are made one, with the same result.
+    unshared = rated_all(ratings, top_items(ratings, titles, 3, 4), 4)
+    assert hashed(unshared) == hashed(top) + 1
+    assert sorted(unshared.collect()) == sorted(rated_all(distinct, top, 4).collect())
+
+
 def test_partitions_follow_the_stored_line_items(spark, tmp_path, monkeypatch):
     spark.range(20_000).selectExpr("id as l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert tables.ratings_partitions(spark, str(tmp_path)) is None
