@@ -12,8 +12,9 @@ commonest function words of four languages; the default rule asks only that
 texts of 100 words or more are not entirely without them.
 
 Repeated words: three-word windows are hashed (64 bits); in texts where a
-hash comes again they are sorted with their places, equal neighbours are
-repeats, and the words under any repeated window count once each.
+hash comes again the bare hashes are sorted, equal neighbours are repeats. Where
+those are few, a window's place is looked up among them; otherwise the windows
+are sorted with their places. The words under any repeated window count once each.
 
 Null and empty texts have no words: counts are 0, and they fail the length
 rule. Columns named like a measure are replaced by it.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from tastes.llm.common import BLANK_PATTERN, BLANKS
 
 SYMBOLS = "#*$%&|<>"
+# Distinct repeated windows of a text up to which looking one up beats sorting all.
+FEW_REPEATS = 100
 # Common function words of English, French, German, Spanish.
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "on", "are", "as",
@@ -70,7 +73,7 @@ RULES = (
 
 
 def _count(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+    return F.regexp_count(text, F.lit(f"[{re.escape(characters)}]")).cast("long")
 
 
 def words_of(text: Column) -> Column:
@@ -89,7 +92,29 @@ def _windows(words: Column) -> Column:
     return F.slice(hashed, 1, F.greatest(F.size(words) - 2, F.lit(0)))
 
 
-def _repeat_places(hashes: Column) -> Column:
+def _sorted(hashes: Column) -> Column:
+    """The hashes in order; none for the most texts, which repeat nothing."""
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.sort_array(hashes)).otherwise(
+        F.array().cast("array<long>")
+    )
+
+
+def _repeats(ordered: Column) -> Column:
+    """The distinct hashes that come again; `ordered` is a column."""
+    return F.array_distinct(F.filter(ordered, lambda h, i: h == F.get(ordered, i + 1)))
+
+
+def _repeat_places(hashes: Column, repeats: Column) -> Column:
+    """Places of windows whose hash is among the repeats, in order; both are columns."""
+    none, n = F.array().cast("array<int>"), F.size(repeats)
+    places = F.transform(
+        hashes, lambda h, i: F.when(F.array_contains(repeats, h), i).otherwise(-1)
+    )
+    few = F.array_remove(places, -1)
+    return F.when(n == 0, none).when(n <= FEW_REPEATS, few).otherwise(_sorted_places(hashes))
+
+
+def _sorted_places(hashes: Column) -> Column:
     """Places of windows whose hash comes again, in order.
 
     Sorted by hash, a repeat equals the one after it or the one before it.
@@ -109,11 +134,7 @@ def _repeat_places(hashes: Column) -> Column:
         F.zip_with(after, before, lambda a, b: a | b),
         lambda w, same: F.when(same, w["i"]),
     )
-    places = F.sort_array(F.filter(flagged, lambda i: i.isNotNull()))
-    # Most texts repeat nothing and need no sorting.
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), places).otherwise(
-        F.array().cast("array<int>")
-    )
+    return F.sort_array(F.filter(flagged, lambda i: i.isNotNull()))
 
 
 def _covered(places: Column) -> Column:
@@ -134,12 +155,14 @@ def judge(
     stops = r"(?<!\p{L})(?:" + "|".join(map(re.escape, stop_words)) + r")(?!\p{L})"
     step = docs.withColumns({"_words": words_of(text), "_lines": lines})
     step = step.withColumns({"_windows": _windows(F.col("_words"))})
-    step = step.withColumns({"_places": _repeat_places(F.col("_windows"))})
+    step = step.withColumns({"_ordered": _sorted(F.col("_windows"))})
+    step = step.withColumns({"_repeats": _repeats(F.col("_ordered"))})
+    step = step.withColumns({"_places": _repeat_places(F.col("_windows"), F.col("_repeats"))})
     n_words, n_lines = F.size("_words").cast("long"), F.size("_lines").cast("long")
     step = step.withColumns(
         {
             "n_words": n_words,
-            "word_chars": F.length(F.translate(text, BLANKS, "")).cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
             "n_symbols": _count(text, SYMBOLS),
             "n_bangs": _count(text, "!"),
             "n_lines": n_lines,
@@ -167,4 +190,4 @@ def judge(
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return step.withColumns({"failed_rules": failed, "base_failed": base}).withColumn(
         "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)
-    ).drop("_words", "_lines", "_windows", "_places")
+    ).drop("_words", "_lines", "_windows", "_ordered", "_repeats", "_places")

@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tastes.llm import quality
 from tastes.llm.quality import Rule, judge
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -37,6 +38,27 @@ def test_measures_equal_brute_force(docs_df):
     }
 
 
+def test_few_and_many_repeated_windows(docs_df, monkeypatch):
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words + words[k:] + rng.sample(words, 300)) for k in (0, 100, 299, 300, 301, 397, 398, 400)]
+    texts += [" ".join(rng.choice(words[:n]) for _ in range(300)) for n in (1, 2, 5, 8, 12, 30)]
+    rows = docs_df(list(enumerate(texts)))
+    for few in (0, 1, quality.FEW_REPEATS, 10**6):
+        monkeypatch.setattr(quality, "FEW_REPEATS", few)
+        found = judge(rows).collect()
+        assert {r.doc_id: tuple(r[c] for c in COLUMNS) for r in found} == {
+            i: measured(t) for i, t in enumerate(texts)
+        }
+
+
+def test_no_character_by_character_replacement_and_no_sort_with_places_for_few(docs_df):
+    """What took most of the time: three translations of every text, all windows sorted with places."""
+    plan = judge(docs_df([(1, "a b c a b c")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+    assert "array_contains(_repeats" in plan and "sort_array(_windows" in plan
+
+
 def test_rules_name_what_failed(docs_df):
     rng = random.Random(1)
     plain = " ".join(f"the w{rng.randrange(10**6)}" for _ in range(100))
