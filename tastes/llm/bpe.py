@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastes.llm.common import bound_batches
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _NONE = 1 << 62
 _CACHE = 200_000
@@ -240,6 +242,7 @@ def unpack(tokens: dict[int, bytes], packed: bytes | None) -> bytes:
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
            text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with the packed token ids of its text column."""
+    bound_batches(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
 
     @F.pandas_udf("binary")

@@ -16,6 +16,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLANK_PATTERN = r"[\x20\x09-\x0D]+"
 
+BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "2m"
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -24,6 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Python workers get rows by batches of bounded bytes.
+
+    Spark's default counts rows only, so a batch of texts is all of a task's and
+    stands in the executor and in the worker, as Arrow and as objects, several times.
+    A session that names its own bound keeps it. Results that are computed after
+    the operator has returned need it too, so it stays set.
+    """
+    if spark.conf.get(BATCH_BYTES_CONF, None) is None:
+        spark.conf.set(BATCH_BYTES_CONF, BATCH_BYTES)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; a temporary one only in local sessions.
 

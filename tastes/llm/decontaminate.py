@@ -39,6 +39,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastes.llm.common import bound_batches
+
 K1, B = 1.2, 0.75
 OVERLAP = 0.8
 SHINGLE = 5
@@ -337,6 +339,7 @@ def contaminated(
     docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, shard_items: int = SHARD_ITEMS
 ) -> DataFrame:
     """One row per document row and benchmark item that it holds."""
+    bound_batches(docs.sparkSession)
     out = None
     for shard in shards(items, shard_items):
         held = docs.sparkSession.sparkContext.broadcast(shard)
@@ -350,6 +353,7 @@ def reject_contaminated(
     docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, shard_items: int = SHARD_ITEMS
 ) -> DataFrame:
     """The rows of `docs`, all columns, that hold no benchmark item."""
+    bound_batches(docs.sparkSession)
     for shard in shards(items, shard_items):
         held = docs.sparkSession.sparkContext.broadcast(shard)
         docs = docs.where(_clean(held, overlap)("text"))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastes.llm.common import Scratch, ascii_lower_words
+from tastes.llm.common import Scratch, ascii_lower_words, bound_batches
 
 BANDS, ROWS = 32, 5
 MINIMA = 320
@@ -47,7 +47,7 @@ SIGNATURE_LIMIT = 0.725
 # Members of a bucket compared with each other in one task.
 BLOCK = 256
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_WORD_CACHE = 400_000
+_WORD_CACHE = 1 << 16
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -336,6 +336,7 @@ def near_duplicates(
     `shingle_words`-word shingles (fewer words: the whole sequence is one).
     `component_id` is the smallest id reachable over links.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scratch = scratch or Scratch(docs.sparkSession, "minhash")
     sketches = scratch.save(

@@ -51,7 +51,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastes.llm.common import BLANKS, Scratch
+from tastes.llm.common import BLANKS, Scratch, bound_batches
 from tastes.llm.common import free_name as _free
 
 MIN_RUN = 25
@@ -328,6 +328,7 @@ def substring_dedup(
     Adds `removed` (array of start, end in the original text) and
     `n_removed` (its stretches' code points).
     """
+    bound_batches(docs.sparkSession)
     scratch = scratch or Scratch(docs.sparkSession, "substring")
     names = docs.columns
     key, row, bare, found, result = (

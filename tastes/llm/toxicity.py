@@ -37,11 +37,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastes.llm.common import Scratch
+from tastes.llm.common import Scratch, bound_batches
 
 FIT_ROWS = 4000
 THRESHOLD = 0.7
 STEM_LENGTHS = range(3, 13)
+# Terms that a task counts before it hands them on, and those of one text.
+_TERMS = 50_000
 
 # Characters that look like a Latin letter, and that letter.
 HOMOGLYPHS = {
@@ -127,8 +129,18 @@ def score(f: tuple[float, float, int, int], lexicon: Lexicon) -> float:
 
 
 def _count_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of either label for each stem, whole word and pair of words."""
+    """Documents of either label for each stem, whole word and pair of words.
+
+    A term's counts come in parts, to be added up.
+    """
     counts: dict[tuple[str, str], list[int]] = {}
+
+    def part() -> pd.DataFrame:
+        return pd.DataFrame(
+            [(kind, term, *n) for (kind, term), n in counts.items()],
+            columns=["kind", "term", "clean", "toxic"],
+        )
+
     for batch in batches:
         for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
             words = fold(text).split()
@@ -139,10 +151,10 @@ def _count_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             }
             for term in terms:
                 counts.setdefault(term, [0, 0])[toxic] += 1
-    yield pd.DataFrame(
-        [(kind, term, *n) for (kind, term), n in counts.items()],
-        columns=["kind", "term", "clean", "toxic"],
-    )
+            if len(counts) >= _TERMS:
+                yield part()
+                counts.clear()
+    yield part()
 
 
 def choose_stems(
@@ -192,6 +204,7 @@ def fit_lexicon(
     docs: DataFrame, labels: DataFrame, usable: Column | None = None, fit_rows: int = FIT_ROWS
 ) -> Lexicon:
     """Learn from the labelled rows for which `usable` (over doc_id) holds."""
+    bound_batches(docs.sparkSession)
     labelled = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     labelled = labelled.where("doc_id is not null and toxic in (0, 1)")
     if usable is not None:
@@ -251,6 +264,7 @@ def fit_lexicon(
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with one more column `toxicity`: score, predicted, hits, weight, words."""
+    bound_batches(docs.sparkSession)
 
     @F.pandas_udf("score double, predicted int, hits long, weight double, words long")
     def rate(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -273,6 +287,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHO
 
 def reject_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, all columns, whose text scores under the threshold."""
+    bound_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -8,10 +8,13 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
 from naive_substring import naive_dedup
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 from test_entry import normalised
 from test_minhash import components
 
@@ -19,7 +22,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tastes.llm import queries as llm_queries
 from tastes.llm.bpe import VOCABULARY, vocabulary
-from tastes.llm.common import DOCUMENT_COLUMNS, table
+from tastes.llm.common import BATCH_BYTES_CONF, DOCUMENT_COLUMNS, table
 from tastes.llm.decontaminate import words_of
 from tastes.llm.toxicity import features, fit_lexicon, fold, score
 
@@ -129,3 +132,24 @@ def test_stages_handle_odd_tables(spark, docs_df):
                 assert tuple(docs.columns) == DOCUMENT_COLUMNS
         kept = sorted(str(r.doc_id) for r in docs.collect())
         assert kept == (["1", "2", "3", "4", "None"] if n_rows else [])
+
+
+@pytest.mark.parametrize("n", range(len(corpus_pipeline.STAGES)))
+def test_stages_give_python_bounded_batches(spark, n):
+    """A task's texts go to its worker by bytes, not all at once; a session's own bound stays."""
+
+    @pandas_udf("long")
+    def together(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    def largest(session):
+        texts = session.range(64, numPartitions=1).select(F.repeat(F.lit("x y "), 50_000).alias("text"))
+        return texts.select(together("text").alias("n")).agg(F.max("n")).first()[0]
+
+    for own in (None, "1g"):
+        session = spark.newSession()
+        session.conf.unset(BATCH_BYTES_CONF) if own is None else session.conf.set(BATCH_BYTES_CONF, own)
+        rows = [(1, "a first text", None, None, 12), (2, "another one", None, None, 11)]
+        docs = session.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        corpus_pipeline.STAGES[n][1](session, docs, SF)
+        assert largest(session) <= 12 if own is None else largest(session) == 64

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tastes.llm import toxicity
 from tastes.llm.toxicity import (
     Lexicon,
     choose_stems,
@@ -88,3 +90,14 @@ def test_without_labels_nothing_is_toxic(spark, docs_df):
     for labels in ([], [(1, 1)], [(99, 1), (98, 0)]):
         lexicon = fit_lexicon(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert {r.toxicity.score for r in score_toxicity(docs, lexicon).collect()} == {0.0}
+
+
+def test_terms_are_counted_in_bounded_parts(monkeypatch):
+    texts = [f"word{n} again other{n % 7}" for n in range(400)]
+    batches = [pd.DataFrame({"text": texts, "toxic": [n % 2 for n in range(400)]})]
+    whole = pd.concat(toxicity._count_stems(iter(batches)))
+    monkeypatch.setattr(toxicity, "_TERMS", 50)
+    parts = list(toxicity._count_stems(iter(batches)))
+    assert len(parts) > 10 and max(map(len, parts)) < 50 + 20  # a text has fewer than 20 terms
+    sums = [x.groupby(["kind", "term"]).sum().sort_index() for x in (whole, pd.concat(parts))]
+    assert sums[0].equals(sums[1])
